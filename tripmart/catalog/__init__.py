@@ -20,23 +20,23 @@ from tripmart.catalog import (
     reports,
     runs,
 )
-from tripmart.session import use_utc
+from tripmart.session import prepare
 
 _MODULES = (ingest, cleaning, mart, features, models, demand, reports, runs)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _in_utc(query: Query) -> Query:
+def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(use_utc(spark), sf_dir)
+        return query(prepare(spark), sf_dir)
 
     run.__doc__ = query.__doc__
     return run
 
 
 def all_queries() -> dict[str, Query]:
-    return {name: _in_utc(q) for m in _MODULES for name, q in m.QUERIES.items()}
+    return {name: _prepared(q) for m in _MODULES for name, q in m.QUERIES.items()}
 
 
 def all_oracles() -> dict[str, str]:

@@ -27,8 +27,9 @@ def calendar_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fourier_design(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trend, hinge, yearly and weekly columns of every day, six decimals."""
-    days = forecast.spine(_city(spark, sf_dir), HORIZON)
-    columns = forecast.design(F.col("ds"), F.col("lo"), F.col("hi"), SHAPE)
+    city = materialise(_city(spark, sf_dir), "city")
+    columns = forecast.design(F.col("ds"), forecast.history_of(city), SHAPE)
+    days = forecast.spine(city, HORIZON)
     return days.select("ds", *[F.round(c, 6).alias(n) for n, c in columns.items()])
 
 
@@ -45,14 +46,17 @@ def forecast_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forecast_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     city = materialise(_city(spark, sf_dir), "city")
-    return forecast.forecast_city(forecast.fit_city(city, SHAPE), city, HORIZON, SHAPE)
+    history = forecast.history_of(city)
+    model = forecast.fit_city(city, history, SHAPE)
+    return forecast.forecast_city(model, city, history, HORIZON, SHAPE)
 
 
 def forecast_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["PULocationID"]
     series = materialise(features.daily_demand(sample_gold(spark, sf_dir), tuple(keys)), "zones")
-    fitted = forecast.fit_many(series, keys, SHAPE)
-    return forecast.forecast_many(fitted, series, keys, HORIZON, SHAPE)
+    history = forecast.history_of(series)
+    fitted = forecast.fit_many(series, keys, history, SHAPE)
+    return forecast.forecast_many(fitted, keys, history, HORIZON, SHAPE)
 
 
 QUERIES = {

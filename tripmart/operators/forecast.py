@@ -13,10 +13,12 @@ and Letham, "Forecasting at Scale", 2018), fitted by ridge regression.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from collections.abc import Iterator
 from functools import reduce
 from operator import add
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -36,18 +38,41 @@ YEAR_DAYS, WEEK_DAYS = 365.25, 7
 # -- calendar and design ----------------------------------------------------
 
 
-def bounds(series: DataFrame) -> tuple[Column, Column]:
-    """First and last day of a series, as scalar subqueries."""
-    return series.agg(F.min("ds")).scalar(), series.agg(F.max("ds")).scalar()
+class History(NamedTuple):
+    """First and last day a model is fitted on."""
+
+    first: dt.date
+    last: dt.date
+
+    @property
+    def span(self) -> int:
+        return max((self.last - self.first).days, 1)
+
+
+def history_of(series: DataFrame) -> History:
+    """Bounds of a series.  The one row fetched makes every design column an
+    expression of the date and constants."""
+    row = series.agg(F.min("ds").alias("first"), F.max("ds").alias("last")).first()
+    if row.first is None:
+        raise ValueError("no history to fit a forecast on")
+    return History(row["first"], row["last"])
 
 
 def spine(series: DataFrame, horizon: int = 0) -> DataFrame:
     """Every day from the first to the last of the series, plus ``horizon``.
 
-    Each day carries the fit bounds ``lo`` and ``hi``.
+    Each day carries the bounds ``lo`` and ``hi`` of the series.
     """
     ends = series.agg(F.min("ds").alias("lo"), F.max("ds").alias("hi")).where("lo is not null")
-    return ends.select(F.explode(F.expr(f"sequence(lo, date_add(hi, {horizon}))")).alias("ds"), "lo", "hi")
+    return ends.select(_days(F.col("lo"), F.col("hi"), horizon).alias("ds"), "lo", "hi")
+
+
+def _days(first: Column, last: Column, horizon: int) -> Column:
+    return F.explode(F.sequence(first, F.date_add(last, horizon), F.expr("interval 1 day")))
+
+
+def _day(value: dt.date) -> Column:
+    return F.lit(value.isoformat()).cast("date")
 
 
 def fourier(day: Column, period: float, order: int, prefix: str) -> dict[str, Column]:
@@ -59,11 +84,10 @@ def fourier(day: Column, period: float, order: int, prefix: str) -> dict[str, Co
     return out
 
 
-def design(day: Column, lo: Column, hi: Column, cfg: ForecastConfig) -> dict[str, Column]:
+def design(day: Column, history: History, cfg: ForecastConfig) -> dict[str, Column]:
     """Design columns of a day, in fixed order; time runs from 0 to 1 over
     the history, and the hinges are spread over its first part."""
-    span = F.greatest(F.date_diff(hi, lo), F.lit(1))
-    t = F.date_diff(day, lo) / span
+    t = F.date_diff(day, _day(history.first)) / F.lit(history.span)
     columns = {"one": F.lit(1.0), "t": t}
     for j in range(1, cfg.hinges + 1):
         at = cfg.hinge_range * j / cfg.hinges
@@ -73,9 +97,12 @@ def design(day: Column, lo: Column, hi: Column, cfg: ForecastConfig) -> dict[str
     return columns
 
 
-def design_matrix(days: np.ndarray, lo: int, hi: int, cfg: ForecastConfig) -> np.ndarray:
-    """The same columns for epoch day numbers, inside a task."""
-    t = (days - lo) / max(hi - lo, 1)
+def design_matrix(history: History, cfg: ForecastConfig) -> np.ndarray:
+    """The same columns for every day of the history, inside a task."""
+    first = (history.first - dt.date(1970, 1, 1)).days
+    length = (history.last - history.first).days + 1
+    days = np.arange(first, first + length)
+    t = (days - first) / history.span
     columns = [np.ones(len(days)), t]
     columns += [np.maximum(t - cfg.hinge_range * j / cfg.hinges, 0.0) for j in range(1, cfg.hinges + 1)]
     for period, order in ((YEAR_DAYS, cfg.yearly_order), (WEEK_DAYS, cfg.weekly_order)):
@@ -105,10 +132,11 @@ def with_band(df: DataFrame, value: Column, sigma: Column, cfg: ForecastConfig)
 # -- one series -------------------------------------------------------------
 
 
-def fit_city(series: DataFrame, cfg: ForecastConfig = ForecastConfig(), reg: float = 0.1) -> PipelineModel:
+def fit_city(
+    series: DataFrame, history: History, cfg: ForecastConfig = ForecastConfig(), reg: float = 0.1
+) -> PipelineModel:
     """Ridge fit of one ``ds, y`` series on its observed days."""
-    lo, hi = bounds(series)
-    columns = design(F.col("ds"), lo, hi, cfg)
+    columns = design(F.col("ds"), history, cfg)
     names = [n for n in columns if n != "one"]
     frame = series.select(
         F.col("y").cast("double").alias("y"), *[columns[n].alias(n) for n in names]
@@ -121,12 +149,18 @@ def fit_city(series: DataFrame, cfg: ForecastConfig = ForecastConfig(), reg: flo
 
 
 def forecast_city(
-    model: PipelineModel, series: DataFrame, horizon: int, cfg: ForecastConfig = ForecastConfig()
+    model: PipelineModel,
+    series: DataFrame,
+    history: History,
+    horizon: int,
+    cfg: ForecastConfig = ForecastConfig(),
 ) -> DataFrame:
     """Fitted history and ``horizon`` future days, with the actual ``y``
     beside them (null on future and unobserved days)."""
-    days = spine(series, horizon)
-    columns = design(F.col("ds"), F.col("lo"), F.col("hi"), cfg)
+    days = series.sparkSession.range(1).select(
+        _days(_day(history.first), _day(history.last), horizon).alias("ds")
+    )
+    columns = design(F.col("ds"), history, cfg)
     frame = days.select("ds", *[c.alias(n) for n, c in columns.items() if n != "one"])
     sigma = F.lit(float(model.stages[-1].summary.rootMeanSquaredError))
     scored = with_band(model.transform(frame), F.col("prediction"), sigma, cfg)
@@ -136,19 +170,18 @@ def forecast_city(
 # -- many series ------------------------------------------------------------
 
 
-def _solver(keys: list[str], cfg: ForecastConfig):
+def _solver(keys: list[str], history: History, cfg: ForecastConfig):
+    """Ridge solve of a batch of keys from their demand-by-column sums."""
+
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gram = None
+        matrix = design_matrix(history, cfg)
+        gram = matrix.T @ matrix
+        ridge = gram + np.diag(penalties(cfg))
         for batch in batches:
             if batch.empty:
                 continue
-            if gram is None:
-                lo, hi = int(batch["lo_day"].iloc[0]), int(batch["hi_day"].iloc[0])
-                matrix = design_matrix(np.arange(lo, hi + 1), lo, hi, cfg)
-                gram = matrix.T @ matrix
-                n = len(matrix)
             sums = np.vstack(batch["sums"].to_list())
-            beta = np.linalg.lstsq(gram + np.diag(penalties(cfg)), sums.T, rcond=None)[0].T
+            beta = np.linalg.lstsq(ridge, sums.T, rcond=None)[0].T
             # Residual sum of squares from the same sums, without a second pass.
             rss = (
                 batch["squares"].to_numpy()
@@ -157,41 +190,37 @@ def _solver(keys: list[str], cfg: ForecastConfig):
             )
             out = batch[keys].copy()
             out["beta"] = list(beta)
-            out["sigma"] = np.sqrt(np.maximum(rss, 0.0) / n)
+            out["sigma"] = np.sqrt(np.maximum(rss, 0.0) / len(matrix))
             yield out
 
     return solve
 
 
 def fit_many(
-    series: DataFrame, keys: list[str], cfg: ForecastConfig = ForecastConfig()
+    series: DataFrame, keys: list[str], history: History, cfg: ForecastConfig = ForecastConfig()
 ) -> DataFrame:
     """Coefficients and residual deviation per key of a ``keys, ds, y`` table.
 
     A day without a row is a day without trips, so it adds nothing to any sum
     and the table need not be filled up.
     """
-    lo, hi = bounds(series)
-    # The scalar bounds come first, so each design column refers to a column.
-    dated = series.select(*keys, "ds", F.col("y").cast("double").alias("y"), lo.alias("lo"), hi.alias("hi"))
-    columns = design(F.col("ds"), F.col("lo"), F.col("hi"), cfg)
-    sums = dated.groupBy(*keys).agg(
-        F.array(*[F.sum(F.col("y") * c) for c in columns.values()]).alias("sums"),
-        F.sum(F.col("y") * F.col("y")).alias("squares"),
-        F.first(F.unix_date("lo")).alias("lo_day"),
-        F.first(F.unix_date("hi")).alias("hi_day"),
+    y = F.col("y").cast("double")
+    columns = design(F.col("ds"), history, cfg)
+    sums = series.groupBy(*keys).agg(
+        F.array(*[F.sum(y * c) for c in columns.values()]).alias("sums"),
+        F.sum(y * y).alias("squares"),
     )
     schema = StructType(
         [sums.schema[k] for k in keys]
         + [StructField("beta", ArrayType(DoubleType())), StructField("sigma", DoubleType())]
     )
-    return sums.mapInPandas(_solver(keys, cfg), schema)
+    return sums.mapInPandas(_solver(keys, history, cfg), schema)
 
 
 def forecast_many(
     fitted: DataFrame,
-    series: DataFrame,
     keys: list[str],
+    history: History,
     horizon: int,
     cfg: ForecastConfig = ForecastConfig(),
 ) -> DataFrame:
@@ -199,13 +228,10 @@ def forecast_many(
 
     Each key makes its own days, so no key x day join is needed.
     """
-    lo, hi = bounds(series)
-    dated = fitted.withColumns({"lo": lo, "hi": hi})
-    days = dated.withColumn("ds", F.explode(F.expr(f"sequence(lo, date_add(hi, {horizon}))")))
-    columns = design(F.col("ds"), F.col("lo"), F.col("hi"), cfg)
+    days = fitted.select("*", _days(_day(history.first), _day(history.last), horizon).alias("ds"))
+    columns = design(F.col("ds"), history, cfg)
     value = reduce(add, [F.col("beta")[i] * c for i, c in enumerate(columns.values())])
-    scored = days.select(*keys, "ds", "sigma", value.alias("value"))
-    return with_band(scored, F.col("value"), F.col("sigma"), cfg).select(
+    return with_band(days, value, F.col("sigma"), cfg).select(
         *keys, "ds", "yhat", "yhat_lower", "yhat_upper"
     )
 

@@ -12,7 +12,7 @@ from tripmart.config import Months, Run, TripContract
 from tripmart.functions.calendar import in_month_list
 from tripmart.operators import gold as mart
 from tripmart.operators import silver as cleaning
-from tripmart.session import use_utc
+from tripmart.session import prepare
 from tripmart.sources import landing as files
 from tripmart.sources.lake import (
     Lake,
@@ -70,7 +70,7 @@ def rebuild(
 
     Running it again gives the same partitions and touches no others.
     """
-    use_utc(spark)
+    prepare(spark)
     pairs = sorted(pairs)
     if pairs:
         build_silver(spark, lake, pairs, contract, processed_at)
@@ -91,7 +91,7 @@ def backfill(
     Months that are too recent are skipped; an older month without a file stops
     the run before anything is written.  Returns the gate table.
     """
-    use_utc(spark)
+    prepare(spark)
     landed = month_inventory(file_inventory(spark, landing))
     gate = files.month_gate(landed, months, as_of)
     missing = files.missing_months(gate)

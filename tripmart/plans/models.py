@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripmart.config import ForecastConfig, ModelConfig, Run
 from tripmart.functions.keys import bucket
 from tripmart.operators import features, forecast, metrics, models, windows
-from tripmart.session import use_utc
+from tripmart.session import prepare
 from tripmart.sources.lake import Lake, in_run, overwrite_run, read_table
 
 
@@ -71,9 +71,10 @@ def demand(
     """City and zone forecasts from the mart up to the end of the run month."""
     gold = windows.mart_until(read_table(spark, lake.gold), run.months)
     city = features.daily_demand(gold)
-    model = forecast.fit_city(city, shape)
+    history = forecast.history_of(city)
+    model = forecast.fit_city(city, history, shape)
     overwrite_run(
-        forecast.forecast_city(model, city, cfg.horizon_days, shape),
+        forecast.forecast_city(model, city, history, cfg.horizon_days, shape),
         lake.forecasts,
         run.year,
         run.month,
@@ -81,9 +82,9 @@ def demand(
     )
     keys = ["PULocationID"]
     by_zone = features.daily_demand(gold, tuple(keys))
-    fitted = forecast.fit_many(by_zone, keys, shape)
+    fitted = forecast.fit_many(by_zone, keys, history, shape)
     overwrite_run(
-        forecast.forecast_many(fitted, by_zone, keys, cfg.horizon_days, shape),
+        forecast.forecast_many(fitted, keys, history, cfg.horizon_days, shape),
         lake.zone_forecasts,
         run.year,
         run.month,
@@ -103,7 +104,7 @@ def run_models(
 ) -> None:
     """All four models of a month; each replaces its own run partition, and
     their metrics are stored together."""
-    use_utc(spark)
+    prepare(spark)
     parts = [
         fares(spark, lake, run, cfg),
         tips(spark, lake, run, cfg),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 # the initial partition number is only an upper bound that it coalesces.
 CLUSTER_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -32,6 +33,9 @@ def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> Sp
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # Off: recording the Python call site of every column expression,
+        # which costs more than building a wide plan itself.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -40,10 +44,21 @@ def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> Sp
     return spark
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session zone: trip files hold wall-clock times without a zone."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings the plans rely on.
+
+    * Zone: trip files hold wall-clock times without a zone.
+    * Method limit: the JVM leaves methods of more than 8000 bytes uncompiled.
+      The wide cleaning projection can exceed that once other expressions are
+      merged into it; with this limit Spark splits it up instead.
+    """
+    wanted = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+    }
+    for key, value in wanted.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from tripmart.sources.contract import union_drifted
 from tripmart.sources.lake import file_inventory, overwrite_partitions
 
 READY, TOO_RECENT, MISSING = "ready", "too_recent", "missing"
+FOOTER_READERS = 16
 
 
 def month_gate(
@@ -70,22 +72,26 @@ def read_landing(
     """
     unit = F.regexp_extract("path", r"^(.*\d{4}-\d{2}\.parquet)", 1)
     listed = file_inventory(spark, root).where(in_month_list(pairs)).select(unit.alias("unit"))
-    by_schema = defaultdict(list)
-    for row in listed.distinct().orderBy("unit").collect():
-        by_schema[spark.read.parquet(row.unit).schema.json()].append(row.unit)
-    if not by_schema:
+    units = [row.unit for row in listed.distinct().orderBy("unit").collect()]
+    if not units:
         raise FileNotFoundError(f"no landed file for {pairs} in {root}")
+    # Footers only; the reads are independent, so several are in flight at once.
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:
+        schemas = list(pool.map(lambda u: spark.read.parquet(u).schema, units))
+    by_schema = defaultdict(list)
+    for name, schema in zip(units, schemas):
+        by_schema[schema.json()].append((name, schema))
+
+    # The month in the path, by substring: a pattern match would run per row.
+    stem = F.substring_index(F.col("_metadata.file_path"), ".parquet", 1 + root.count(".parquet"))
+    year = F.substring(stem, -7, 4).cast("int").alias("year")
+    month = F.substring(stem, -2, 2).cast("int").alias("month")
 
-    def scan(units: list[str]) -> DataFrame:
-        # Every unit of the group has this schema, so the footer of the first
-        # one (already inferred) serves all.
-        schema = spark.read.parquet(units[0]).schema
-        path = F.col("_metadata.file_path")
-        month = [F.regexp_extract(path, r"(\d{4})-(\d{2})\.parquet", g).cast("int") for g in (1, 2)]
+    def scan(group: list) -> DataFrame:
         return (
-            spark.read.schema(schema)
-            .parquet(*units)
-            .select("*", month[0].alias("year"), month[1].alias("month"))
+            spark.read.schema(group[0][1])
+            .parquet(*[name for name, _ in group])
+            .select("*", year, month)
         )
 
     return union_drifted([scan(u) for u in by_schema.values()], contract)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.config import Months
+from tripmart.sources.lake import spread
 
 # Placeholders: {pick} and {drop} are the engine's way to add seconds.
 TRIPS_SQL = """
@@ -68,7 +69,7 @@ def trips(spark: SparkSession, sf_dir: str, months: Months | None = None) -> Dat
     range of order dates.  That range cuts the orders scan before the join;
     the exact month filter is still the caller's.
     """
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lineitem = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     if months is not None:
         orders = orders.where(

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripmart.config import TripContract
 from tripmart.plans.elt import rebuild
-from tripmart.session import use_utc
+from tripmart.session import prepare
 from tripmart.sources.lake import Lake
 
 
@@ -34,7 +34,7 @@ def follow_raw_table(
     Call it again (or on a schedule) for later files; its checkpoint in the
     lake remembers what was seen.
     """
-    use_utc(spark)
+    prepare(spark)
     stamp = None if processed_at is None else F.lit(processed_at).cast("timestamp")
 
     def on_batch(batch: DataFrame, _batch_id: int) -> None:
