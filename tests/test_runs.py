@@ -98,7 +98,3 @@ def test_no_python_outside_the_zone_solver(reports):
     for df in (reports.monthly_kpis(1998, 3), reports.forecast(), reports.tip_distribution(1998, 3)):
         text = plan_of(df)
         assert "Python" not in text and "InPandas" not in text
-
-
-def test_partitioned_write_of_month_aligned_input_does_not_sort(reports, spark):
-    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0

@@ -1,6 +1,8 @@
 from decimal import Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from helpers import by_id, plan_of, raw_trips, same_rows
 from pyspark.sql import functions as F
 
@@ -44,11 +46,23 @@ def test_zero_passengers_become_one_and_null_stays(spark):
 
 
 def test_money_null_is_zero_and_half_cents_round_up(spark):
-    values = [None, 0.005, 1.005, -0.015, 12.344999, 1e9]
-    df = raw_trips(spark, *[{"extra": v} for v in values])
+    cases = [
+        (None, "0.00"), (0.005, "0.01"), (1.005, "1.01"), (-0.015, "-0.02"), (12.344999, "12.34"),
+        (99999999.99, "99999999.99"), (1e8, None), (-1e9, None), (1e300, None),
+        (float("nan"), None), (float("inf"), None),
+    ]
+    df = raw_trips(spark, *[{"extra": v} for v, _ in cases])
     out = by_id(silver.repair(df))
-    want = ["0.00", "0.01", "1.01", "-0.02", "12.34", None]
-    assert [out[i].extra for i in range(6)] == [None if w is None else Decimal(w) for w in want]
+    got = [out[i].extra for i in range(len(cases))]
+    assert got == [None if w is None else Decimal(w) for _, w in cases]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(-2e8, 2e8) | st.integers(-10**7, 10**7).map(lambda n: n / 1000), max_size=80))
+def test_money_equals_the_plain_cast(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    cast = F.col("x").try_cast("decimal(10,2)")
+    assert df.where(~silver.money("x").eqNullSafe(cast)).isEmpty()
 
 
 @pytest.mark.parametrize(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 from operator import add
 
@@ -40,9 +41,19 @@ def passengers(column: str) -> Column:
 
 
 def money(column: str) -> Column:
-    """Null is 0; cents are rounded half up; too large a number is null."""
+    """Null is 0; cents are rounded half up; too large a number is null.
+
+    A cast of a double to decimal goes through its text.  A value that is not
+    near half a cent rounds the same way as plain binary arithmetic, so only
+    the others (and those out of range) take the cast.
+    """
     value = F.coalesce(F.col(column).try_cast("double"), F.lit(0.0))
-    return value.try_cast(MONEY_TYPE)
+    cents = value * 100
+    nearest = F.rint(cents)
+    by_cents = nearest.try_cast("bigint").try_cast("decimal(10,0)") * F.lit(Decimal("0.01"))
+    return F.when(F.abs(cents - nearest) < 0.49, by_cents.try_cast(MONEY_TYPE)).otherwise(
+        value.try_cast(MONEY_TYPE)
+    )
 
 
 def card_tip(tip: Column, payment: Column, card: int) -> Column:

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 CLUSTER_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.sql.maxConcurrentOutputFileWriters": "4",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -52,14 +51,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     * Method limit: the JVM leaves methods of more than 8000 bytes uncompiled.
       The wide cleaning projection can exceed that once other expressions are
       merged into it; with this limit Spark splits it up instead.
-    * Open writers: a partitioned write sorts every task's rows by partition
-      first.  Tasks of month-aligned input hold one or two months, so they may
-      keep that many files open instead; a task with more sorts the rest.
     """
     wanted = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.codegen.hugeMethodLimit": "8000",
-        "spark.sql.maxConcurrentOutputFileWriters": "4",
     }
     for key, value in wanted.items():
         if spark.conf.get(key) != value:

@@ -11,6 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.config import Months
 from tripmart.sources.lake import spread
 
+# The columns used, so that no footer has to be read to plan a query.
+LINEITEM = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string"
+)
+ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"
+
 # Placeholders: {pick} and {drop} are the engine's way to add seconds.
 TRIPS_SQL = """
 SELECT
@@ -69,8 +77,11 @@ def trips(spark: SparkSession, sf_dir: str, months: Months | None = None) -> Dat
     range of order dates.  That range cuts the orders scan before the join;
     the exact month filter is still the caller's.
     """
-    lineitem = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    lineitem = spread(
+        spark.read.schema(LINEITEM).parquet(f"{sf_dir}/lineitem.parquet"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+    )
+    orders = spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet")
     if months is not None:
         orders = orders.where(
             f"o_orderdate > timestamp_ntz'{months.start_day}' - interval 1 day"
