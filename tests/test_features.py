@@ -47,6 +47,14 @@ def test_split_does_not_depend_on_partitioning(silver_table, parts):
     assert 0.77 < share < 0.83
 
 
+def test_sample_and_split_are_independent(silver_table):
+    columns = ("tpep_pickup_datetime", "PULocationID", "total_amount")
+    part = windows.key_sample(silver_table, bucket(columns, purpose="sample"), 30)
+    train, test = windows.holdout_split(part.withColumn("k", bucket(columns)), F.col("k"))
+    assert 0.27 < part.count() / silver_table.count() < 0.33
+    assert 0.77 < train.count() / part.count() < 0.83 and not test.isEmpty()
+
+
 @pytest.mark.parametrize(
     "tip, fare, label",
     [

@@ -19,7 +19,7 @@ from tripmart.sources.lake import (
     read_table,
     warn_if_empty,
 )
-from tripmart.streaming.months import follow_raw_table
+from tripmart.streaming.months import follow_landing, follow_raw_table
 
 AS_OF = dt.date(2024, 12, 31)
 
@@ -212,3 +212,19 @@ def test_stream_equals_batch_when_a_month_arrives_in_parts(spark, tmp_path):
     before = {r.path: r.modified for r in file_inventory(spark, lake.gold).collect()}
     follow_raw_table(spark, lake).awaitTermination()
     assert {r.path: r.modified for r in file_inventory(spark, lake.gold).collect()} == before
+
+
+def test_landing_stream_loads_each_month_once_it_arrives(spark, tmp_path):
+    landing, lake = str(tmp_path / "landing"), Lake(str(tmp_path / "lake"))
+    other = Lake(str(tmp_path / "batch"))
+    df = months_of_trips(spark, "2024-01", "2024-02", rows=6)
+    land(df.where("id < 3"), landing, "2024-01")
+    follow_landing(spark, landing, lake).awaitTermination()
+    assert stored(spark, lake.gold).agg(F.sum("row_count")).first()[0] == 3
+    # The rest of January and all of February.
+    df.where("id >= 3 AND id < 6").coalesce(1).write.mode("append").parquet(f"{landing}/trips_2024-01.parquet")
+    land(df, landing, "2024-02")
+    follow_landing(spark, landing, lake).awaitTermination()
+    elt.backfill(spark, landing, other, Months.between("2024-01", "2024-02"), AS_OF)
+    assert same_rows(stored(spark, other.gold), stored(spark, lake.gold))
+    assert stored(spark, lake.gold).agg(F.sum("row_count")).first()[0] == 12

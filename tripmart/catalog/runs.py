@@ -13,8 +13,10 @@ from tripmart.catalog.common import (
     WINDOW,
     YEAR,
     plain,
+    sample_gold,
     sample_lake,
     sample_landing,
+    sample_silver,
     with_tables,
 )
 from tripmart.config import Months, Run
@@ -23,8 +25,7 @@ from tripmart.plans import models as training
 from tripmart.plans.month import run_full_month
 from tripmart.sources import landing as files
 from tripmart.sources.lake import file_inventory, in_run, month_inventory, overwrite_partitions, read_table
-from tripmart.catalog.common import sample_gold, sample_silver
-from tripmart.streaming.months import follow_raw_table
+from tripmart.streaming.months import follow_landing, follow_raw_table
 
 AS_OF = dt.date(2002, 6, 1)
 RUN = Run(YEAR, MONTH, AS_OF)
@@ -63,6 +64,14 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(read_table(spark, lake.gold))
 
 
+def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All landed files found by the stream and loaded."""
+    landing = sample_landing(spark, sf_dir)
+    lake = sample_lake(spark)
+    follow_landing(spark, landing, lake).awaitTermination()
+    return plain(read_table(spark, lake.gold))
+
+
 def ml_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All models of a month on a stored lake; the stored metrics."""
     lake = sample_lake(spark)
@@ -86,6 +95,7 @@ QUERIES = {
     "elt_month": elt_month,
     "backfill_range": backfill_range,
     "stream_equals_batch": stream_equals_batch,
+    "landing_stream": landing_stream,
     "ml_month": ml_month,
     "full_month": full_month,
 }
@@ -94,4 +104,5 @@ ORACLE = {
     "elt_month": with_tables("gold", f"SELECT * FROM gold WHERE year = {YEAR} AND month = {MONTH}"),
     "backfill_range": with_tables("gold", "SELECT * FROM gold"),
     "stream_equals_batch": with_tables("gold", "SELECT * FROM gold"),
+    "landing_stream": with_tables("gold", "SELECT * FROM gold"),
 }

@@ -152,6 +152,8 @@ class ModelConfig:
     subsample: float = 0.5
     seed: int = 42
     train_percent: int = 80
+    # Below 100, models are trained on a repeatable sample of the window.
+    sample_percent: int = 100
     clusters: int = 4
     cluster_iterations: int = 20
     horizon_days: int = 30

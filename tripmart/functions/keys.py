@@ -8,6 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def bucket(columns: Sequence[str], buckets: int = 100) -> Column:
-    """Stable bucket number of a row, from a hash of the named columns."""
-    return F.pmod(F.xxhash64(*columns), F.lit(buckets))
+def bucket(columns: Sequence[str], buckets: int = 100, purpose: str = "split") -> Column:
+    """Stable bucket number of a row, from a hash of the named columns.
+
+    Different purposes give independent buckets.
+    """
+    return F.pmod(F.xxhash64(F.lit(purpose), *[F.col(c) for c in columns]), F.lit(buckets))

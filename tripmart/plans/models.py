@@ -12,6 +12,16 @@ from tripmart.session import prepare
 from tripmart.sources.lake import Lake, in_run, overwrite_run, read_table
 
 
+def training_trips(silver: DataFrame, run: Run, cfg: ModelConfig) -> DataFrame:
+    """Trips of the training window with their split key; all of them, unless
+    the settings ask for a sample."""
+    past = windows.training_window(silver, run.months, cfg.window_months)
+    if cfg.sample_percent < 100:
+        key = bucket(cfg.split_columns, purpose="sample")
+        past = windows.key_sample(past, key, cfg.sample_percent)
+    return past.withColumn("split_key", bucket(cfg.split_columns))
+
+
 def fares(spark: SparkSession, lake: Lake, run: Run, cfg: ModelConfig) -> DataFrame:
     """Train on the window before the run month, predict the run month.
 
@@ -20,11 +30,8 @@ def fares(spark: SparkSession, lake: Lake, run: Run, cfg: ModelConfig) -> DataFr
     passes.  Returns the hold-out metrics.
     """
     silver = read_table(spark, lake.silver)
-    past = windows.training_window(silver, run.months, cfg.window_months)
-    keyed = past.withColumn("split_key", bucket(cfg.split_columns))
-    train, test = windows.holdout_split(
-        features.fare_features(keyed, cfg, ("split_key",)), F.col("split_key"), cfg.train_percent
-    )
+    rows = features.fare_features(training_trips(silver, run, cfg), cfg, ("split_key",))
+    train, test = windows.holdout_split(rows, F.col("split_key"), cfg.train_percent)
     model = models.fit_fares(train, cfg)
     score = metrics.rmse(
         models.predict_fares(model, test), F.col("total_amount"), F.col("predicted_total_amount")
@@ -36,11 +43,8 @@ def fares(spark: SparkSession, lake: Lake, run: Run, cfg: ModelConfig) -> DataFr
 
 def tips(spark: SparkSession, lake: Lake, run: Run, cfg: ModelConfig) -> DataFrame:
     silver = read_table(spark, lake.silver)
-    past = windows.training_window(silver, run.months, cfg.window_months)
-    keyed = past.withColumn("split_key", bucket(cfg.split_columns))
-    train, test = windows.holdout_split(
-        features.tip_features(keyed, cfg, ("split_key",)), F.col("split_key"), cfg.train_percent
-    )
+    rows = features.tip_features(training_trips(silver, run, cfg), cfg, ("split_key",))
+    train, test = windows.holdout_split(rows, F.col("split_key"), cfg.train_percent)
     model = models.fit_tips(train, cfg)
     matrix = metrics.confusion(models.predict_tips(model, test), "label", "prediction")
     now = features.tip_features(windows.prediction_window(silver, run.months), cfg)

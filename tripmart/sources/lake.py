@@ -6,7 +6,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -113,31 +113,36 @@ def warn_if_empty(df: DataFrame, what: str) -> bool:
     return empty
 
 
-def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Parquet files below ``root``: path, size, time and month.
+def file_month(path: Column) -> tuple[Column, Column]:
+    """Year and month of a file, from ``year=/month=`` folders or from a
+    ``YYYY-MM.parquet`` name; null if the path has neither."""
 
-    The month comes from ``year=/month=`` folders or from a ``YYYY-MM.parquet``
-    file name.  Only the listing is read; the contents column is pruned.
-    """
-    path = F.col("path")
-
-    def part(folder: str, group: int) -> F.Column:
+    def part(folder: str, group: int) -> Column:
         by_folder = F.regexp_extract(path, folder, 1)
         by_name = F.regexp_extract(path, r"(\d{4})-(\d{2})\.parquet", group)
         return F.coalesce(by_folder.try_cast("int"), by_name.try_cast("int"))
 
+    return part(r"/year=(\d+)/", 1), part(r"/month=(\d+)/", 2)
+
+
+def file_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """Parquet files below ``root``: path, size, time and month.
+
+    Only the listing is read; the contents column is pruned.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
         .load(root)
     )
+    year, month = file_month(F.col("path"))
     return files.select(
         "path",
         F.col("length").alias("bytes"),
         F.col("modificationTime").alias("modified"),
-        part(r"/year=(\d+)/", 1).alias("year"),
-        part(r"/month=(\d+)/", 2).alias("month"),
+        year.alias("year"),
+        month.alias("month"),
     )
 
 

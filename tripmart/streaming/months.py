@@ -1,8 +1,8 @@
-"""Process months as their files arrive in the raw table.
+"""Process months as their files arrive.
 
-The stream only tells *which* months got new files.  Those months are then
-recomputed from all of their raw files and their partitions are overwritten, so
-a month may arrive in any number of files, and a repeated batch changes nothing.
+A stream only tells *which* months got new files.  Those months are then
+recomputed from all of their files and their partitions are overwritten, so a
+month may arrive in any number of files, and a repeated batch changes nothing.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tripmart.config import TripContract
 from tripmart.plans.elt import rebuild
 from tripmart.session import prepare
-from tripmart.sources.lake import Lake
+from tripmart.sources.lake import Lake, file_month
+from tripmart.sources.landing import ingest
 
 
 def touched_months(batch: DataFrame) -> list[tuple[int, int]]:
@@ -51,3 +52,39 @@ def follow_raw_table(
         .foreachBatch(on_batch)
         .start()
     )
+
+
+def follow_landing(
+    spark: SparkSession,
+    landing: str,
+    lake: Lake,
+    contract: TripContract = TripContract(),
+    files_per_batch: int = 1000,
+) -> StreamingQuery:
+    """Start a query that loads all landed files not seen yet, then stops.
+
+    Only the file listing is streamed; the contents are read by the load of the
+    months concerned.
+    """
+    prepare(spark)
+
+    def on_batch(batch: DataFrame, _batch_id: int) -> None:
+        months = touched_months(batch.where("year IS NOT NULL AND month IS NOT NULL"))
+        if months:
+            ingest(batch.sparkSession, landing, lake.bronze, months, contract)
+            rebuild(batch.sparkSession, lake, months, contract)
+
+    year, month = file_month(F.col("path"))
+    return (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(landing)
+        .select(year.alias("year"), month.alias("month"))
+        .writeStream.option("checkpointLocation", f"{lake.checkpoints}/landing")
+        .trigger(availableNow=True)
+        .foreachBatch(on_batch)
+        .start()
+    )
