@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import packing
+from tripmart.llm import packing, quality
 from tripmart.llm.common import read
 
 
@@ -16,7 +16,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op8_packing": op8_packing,
+    "op9_quality": op9_quality,
 }
 ORACLE: dict[str, str] = {}
