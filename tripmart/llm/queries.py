@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import packing, quality
+from tripmart.llm import packing, quality, warc
 from tripmart.llm.common import read
 
 
@@ -20,8 +20,24 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_digests(warc.round_trip(read(spark, sf_dir, "pages"), least_bytes=1000))
+
+
 QUERIES = {
+    "op6_warc": op6_warc,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages
+        ), s AS (
+            SELECT *, octet_length(encode(html)) AS size, max(page_id) OVER (PARTITION BY digest) AS response FROM p
+        )
+        SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, digest AS payload_digest,
+          CASE WHEN size < 1000 OR page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN size >= 1000 AND page_id <> response THEN response END AS refers_to
+        FROM s""",
+}
