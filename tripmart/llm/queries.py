@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import packing, quality, warc
+from tripmart.llm import chat, packing, quality, warc
 from tripmart.llm.common import read
 
 
@@ -24,12 +24,47 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_digests(warc.round_trip(read(spark, sf_dir, "pages"), least_bytes=1000))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.preference_segments(chat.swapped_replies(read(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
+    "op7_chat": op7_chat,
     "op6_warc": op6_warc,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
 }
 ORACLE: dict[str, str] = {
+    "op7_chat": """
+        WITH t AS (
+            SELECT conv_id AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        ), r AS (
+            SELECT pair_id, max(turn) AS place, max_by(text, (turn, text)) AS reply
+            FROM t WHERE role = 'assistant' GROUP BY pair_id
+        ), both_sides AS (
+            SELECT *, 1 AS c, 0 AS r FROM t
+            UNION ALL
+            SELECT t.pair_id, t.turn, t.role, CASE WHEN t.role = 'assistant' AND t.turn = r.place
+                THEN coalesce(o.reply, '') ELSE t.text END, 0, 1
+            FROM t LEFT JOIN r USING (pair_id) LEFT JOIN r o ON o.pair_id = xor(t.pair_id, 1)
+        ), counted AS (
+            SELECT pair_id, turn, role, text, sum(c) AS c, sum(r) AS r FROM both_sides GROUP BY ALL
+        ), parted AS (
+            SELECT *, min(CASE WHEN c <> r THEN turn END) OVER (PARTITION BY pair_id) AS parting FROM counted
+        ), parts AS (
+            SELECT *, 'prompt' AS part, c AS copies FROM parted WHERE parting IS NULL OR turn < parting
+            UNION ALL SELECT *, 'chosen', c FROM parted WHERE turn >= parting AND c > 0
+            UNION ALL SELECT *, 'rejected', r FROM parted WHERE turn >= parting AND r > 0
+        ), pieces AS (
+            SELECT *, '<|im_start|>' || replace(role, '<|', '< |') || chr(10) AS head,
+              replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS body,
+              part <> 'prompt' AND role = 'assistant' AS learned
+            FROM parts
+        )
+        SELECT pair_id, part, turn, CAST(copies AS BIGINT) AS copies, role, head || body AS rendered,
+          CAST(CASE WHEN learned THEN length(head) ELSE 0 END AS INTEGER) AS mask_start,
+          CAST(CASE WHEN learned THEN length(body) ELSE 0 END AS INTEGER) AS mask_length
+        FROM pieces""",
     "op6_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages
