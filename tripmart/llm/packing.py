@@ -20,12 +20,15 @@ pieces; other columns are not read.
 from __future__ import annotations
 
 import heapq
-import re
+import os
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,53 +43,107 @@ PACKED = (
     " sequence_id long, offset long"
 )
 GROUP_ITEMS = 2048
-_ODD_SPACES = "\x1c\x1d\x1e\x1f"  # white space for str.split, not for the tokenizer
-_SPACES = re.compile("[ \t\n\r\x0b\x0c]+")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII without the apostrophe, which starts contractions
 
 
 class WordIds:
     """Token ids of texts as little-endian bytes, encoding each distinct word once.
 
-    For tokenizers that drop white space and never join across it: a text's
-    ids are those of its words in turn.  The store of words is emptied when
-    it is full, so its memory is bounded.
+    For lower-casing tokenizers that drop white space, never join across it and
+    end the last token of a piece with a suffix: a text's ids are those of its
+    words in turn.  Words of letters, also with ASCII marks behind them, are
+    encoded many at a time and told apart by the suffix; other words go by their
+    offsets.  The store of words is emptied when full, so its memory is bounded.
     """
 
-    def __init__(self, encode_batch: Callable, most: int = 400_000, longest: int = 64):
-        self._encode, self._most, self._longest = encode_batch, most, longest
+    def __init__(self, tokenizer, suffix: str, most: int = 700_000, longest: int = 64):
+        self._tokenizer, self._most, self._longest = tokenizer, most, longest
+        vocabulary = tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self._known: dict[str, bytes] = {}
+        self._cores: dict[str, bytes] = {}
 
-    @staticmethod
-    def words(text: str) -> list[str]:
-        if any(c in text for c in _ODD_SPACES):
-            return [w for w in _SPACES.split(text) if w]
-        return text.split()
+    def _letters(self, cores: list[str]) -> None:
+        """Ids of words that are one piece each."""
+        for i in range(0, len(cores), 2000):
+            part = cores[i : i + 2000]
+            coded = self._tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
+            ids = np.asarray(coded.ids, "<u4")
+            stops = np.flatnonzero(self._ends[ids]) + 1
+            if len(stops) != len(part):
+                self._by_offset(part, self._cores)
+                continue
+            raw, to = ids.tobytes(), (4 * stops).tolist()
+            self._cores.update(zip(part, [raw[x:y] for x, y in zip([0, *to], to)]))
 
-    def of(self, texts: list[str | None]) -> list[bytes]:
-        split = [self.words(t) if t else [] for t in texts]
+    def _by_offset(self, words: list[str], store: dict[str, bytes]) -> None:
+        for i in range(0, len(words), 1000):
+            part = words[i : i + 1000]
+            coded = self._tokenizer.encode(" ".join(part), add_special_tokens=False)
+            starts = np.array([o[0] for o in coded.offsets], np.int64)
+            to = (4 * np.searchsorted(starts, np.cumsum([len(w) + 1 for w in part]))).tolist()
+            raw = np.asarray(coded.ids, "<u4").tobytes()
+            store.update(zip(part, [raw[x:y] for x, y in zip([0, *to], to)]))
+
+    def _learn(self, words: list[str]) -> None:
+        cores = self._cores
+        whole, lows, tails, odd = [], [], [], []
+        for word in words:
+            core = word.rstrip(_MARKS)
+            low = core.lower()
+            # A capital sigma at the end of a word is lowered in another way by the tokenizer.
+            if low.isalpha() and (low.isascii() or ("\u03a3" not in core and is_normalized("NFC", low))):
+                whole.append(word)
+                lows.append(low)
+                tails.append(word[len(core) :])
+            else:
+                odd.append(word)
+        self._letters(list(set(lows).difference(cores)))
+        self._by_offset(list(set(tails).difference(cores, [""])), cores)
+        cores[""] = b""
+        self._by_offset(odd, self._known)
+        heads = map(cores.__getitem__, lows)
+        self._known.update(zip(whole, map(bytes.__add__, heads, map(cores.__getitem__, tails))))
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and where each text ends."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         known = self._known
-        fresh = list({w for words in split for w in words if w not in known})
+        fresh = [w for w in words if w not in known]
         if fresh:
             if len(known) + len(fresh) > self._most:
                 known.clear()
-                fresh = list({w for words in split for w in words})
-            for i in range(0, len(fresh), 20_000):
-                part = fresh[i : i + 20_000]
-                for word, coded in zip(part, self._encode(part, add_special_tokens=False)):
-                    known[word] = np.asarray(coded.ids, "<u4").tobytes()
-        out = [b"".join([known[w] for w in words]) for words in split]
-        for word in fresh:
-            if len(word) > self._longest:
-                del known[word]
-        return out
-
-
-def tokenizer_words(path: str) -> WordIds:
+                self._cores.clear()
+                fresh = words
+            self._learn([w for w in fresh if w])
+            known[""] = b""
+        each = [known[w] for w in words]
+        for word in [w for w in fresh if len(w) > self._longest]:
+            del known[word]
+            self._cores.pop(word.rstrip(_MARKS).lower(), None)
+        flat = np.frombuffer(b"".join(each), "<u4")
+        length = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        place = coded.indices.to_numpy()
+        taken = length[place]
+        stops = np.cumsum(taken)
+        start = (np.cumsum(length) - length)[place]
+        ids = flat[np.repeat(start - (stops - taken), taken) + np.arange(stops[-1] if len(stops) else 0)]
+        return ids, np.r_[0, stops][lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
+
+
+@lru_cache(maxsize=1)
+def tokenizer_words(path: str, suffix: str = "</w>") -> WordIds:
+    """One store per Python worker, kept from task to task."""
     from tokenizers import Tokenizer
 
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     tokenizer = Tokenizer.from_file(path)
+    tokenizer.model._resize_cache(0)  # words are kept here
     tokenizer.encode_special_tokens = True  # text is data, also where it spells a marker
-    return WordIds(tokenizer.encode_batch)
+    return WordIds(tokenizer, suffix)
 
 
 def cut_documents(
@@ -101,8 +158,10 @@ def cut_documents(
         slot = TaskContext.get().partitionId() << 36
         for block in text_blocks(batches, "text"):
             rows = []
-            for doc, ids in zip(block.column("id").to_pylist(), words.of(block.column("text").to_pylist())):
-                ids += end
+            ids, stops = words.of(block.column("text"))
+            raw, at = ids.tobytes(), 0
+            for doc, stop in zip(block.column("id").to_pylist(), (4 * stops).tolist()):
+                ids, at = raw[at:stop] + end, stop
                 tokens = len(ids) // 4
                 for start in range(0, tokens, capacity):
                     part = ids[4 * start : 4 * (start + capacity)]
