@@ -45,7 +45,7 @@ class CollisionIndex:
         self.width = 0.1 * float(values.std(axis=0).mean()) or 1e-9
 
     def search(
-        self, query_id: int, query: np.ndarray, k: int, threshold: float = 0.5, growth: float = 1.3,
+        self, query_id: int, query: np.ndarray, k: int, threshold: float = 0.7, growth: float = 1.3,
         share: float = 0.08,
     ) -> tuple[np.ndarray, np.ndarray]:
         """Ids and distances of up to ``k`` nearest vectors other than the query's row."""

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripmart.llm import chat, packing, quality, warc
+from tripmart.llm import chat, collisions, packing, quality, warc
 from tripmart.llm.common import read
 
 
@@ -28,7 +29,12 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.preference_segments(chat.swapped_replies(read(spark, sf_dir, "conversations")))
 
 
+def op5_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collisions.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 QUERIES = {
+    "op5_collisions": op5_collisions,
     "op7_chat": op7_chat,
     "op6_warc": op6_warc,
     "op8_packing": op8_packing,
