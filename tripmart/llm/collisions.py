@@ -6,7 +6,7 @@ each array; a vector collides in an array when it lies in the window.  Windows
 grow by a factor per round (virtual rehashing: the arrays stay as they are), only
 the new ends are counted, and vectors whose collisions reach the threshold are
 verified by exact distance.  A query stops when it has verified enough of its
-shard (``share`` of it beyond the neighbours wanted) or its windows hold all.
+shard (64 rows and ``share`` of it beyond the neighbours wanted) or its windows hold all.
 
 Shards are dealt by a hash of the id, queries are sent to every shard in blocks;
 each shard answers with its nearest, and the answers are merged.
@@ -52,7 +52,7 @@ class CollisionIndex:
         n, m = len(self.ids), len(self.order)
         at = query @ self.axes
         counts = np.zeros(n, np.int32)
-        wanted, need = min(n, k + 1 + int(share * n)), max(1, int(np.ceil(threshold * m)))
+        wanted, need = min(n, k + 64 + int(share * n)), max(1, int(np.ceil(threshold * m)))
         left = np.array([np.searchsorted(v, a) for v, a in zip(self.values, at)])
         right, half = left.copy(), self.width
         while True:

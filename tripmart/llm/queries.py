@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import chat, collisions, packing, quality, warc
+from tripmart.llm import chat, collisions, hnsw, packing, quality, warc
 from tripmart.llm.common import read
 
 
@@ -33,7 +33,12 @@ def op5_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collisions.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op3_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 QUERIES = {
+    "op3_hnsw": op3_hnsw,
     "op5_collisions": op5_collisions,
     "op7_chat": op7_chat,
     "op6_warc": op6_warc,
