@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import chat, collisions, hnsw, packing, quality, warc
+from tripmart.llm import chat, collisions, hnsw, packing, partenum, quality, warc
 from tripmart.llm.common import read
 
 
@@ -37,7 +37,12 @@ def op3_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op10_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.similar_groups(read(spark, sf_dir, "documents"), n=3, similarity=90)
+
+
 QUERIES = {
+    "op10_partenum": op10_partenum,
     "op3_hnsw": op3_hnsw,
     "op5_collisions": op5_collisions,
     "op7_chat": op7_chat,
