@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import chat, collisions, hnsw, packing, partenum, quality, warc
+from tripmart.llm import backoff, chat, collisions, hnsw, packing, partenum, quality, warc
 from tripmart.llm.common import read
 
 
@@ -41,7 +41,15 @@ def op10_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.similar_groups(read(spark, sf_dir, "documents"), n=3, similarity=90)
 
 
+def op2_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = backoff.scores(read(spark, sf_dir, "documents"), order=3, least=2)
+    return scored.select(
+        "doc_id", "n_words", F.round("log_score", 6).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score")
+    )
+
+
 QUERIES = {
+    "op2_backoff": op2_backoff,
     "op10_partenum": op10_partenum,
     "op3_hnsw": op3_hnsw,
     "op5_collisions": op5_collisions,
@@ -51,6 +59,35 @@ QUERIES = {
     "op9_quality": op9_quality,
 }
 ORACLE: dict[str, str] = {
+    "op2_backoff": r"""
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^ \t\n\x0b\f\r]+') AS words
+            FROM documents
+        ), p AS (
+            SELECT doc_id, unnest(words) AS w3, unnest(list_prepend(NULL, words[:-2])) AS w2,
+              unnest(list_prepend(NULL, list_prepend(NULL, words[:-3]))[:len(words)]) AS w1
+            FROM w WHERE len(words) > 0
+        ), n1 AS (SELECT w3 AS a, count(*) AS c FROM p GROUP BY ALL),
+        n2 AS (SELECT w2 AS a, w3 AS b, count(*) AS c FROM p WHERE w2 IS NOT NULL GROUP BY ALL),
+        n3 AS (SELECT w1 AS a, w2 AS b, w3 AS c3, count(*) AS c FROM p WHERE w1 IS NOT NULL GROUP BY ALL),
+        s AS (
+            SELECT doc_id, CASE
+                WHEN n3.c >= 2 THEN ln(n3.c / h2.c)
+                WHEN n2.c >= 2 THEN ln(n2.c / h1.c) + CASE WHEN w1 IS NULL THEN 0 ELSE ln(0.4) END
+                ELSE ln(n1.c) - ln((SELECT count(*) FROM p))
+                  + CASE WHEN w2 IS NULL THEN 0 WHEN w1 IS NULL THEN ln(0.4) ELSE 2 * ln(0.4) END
+              END AS v
+            FROM p JOIN n1 ON n1.a = w3
+            LEFT JOIN n1 h1 ON h1.a = w2
+            LEFT JOIN n2 ON n2.a = w2 AND n2.b = w3
+            LEFT JOIN n2 h2 ON h2.a = w1 AND h2.b = w2
+            LEFT JOIN n3 ON n3.a = w1 AND n3.b = w2 AND n3.c3 = w3
+        ), d AS (SELECT doc_id, count(*) AS n, sum(v) AS v FROM s GROUP BY ALL)
+        SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_words, round(coalesce(v, 0.0), 6) AS log_score,
+          round(v / n, 6) AS mean_log_score
+        FROM w LEFT JOIN d USING (doc_id)""",
     "op7_chat": """
         WITH t AS (
             SELECT conv_id AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
