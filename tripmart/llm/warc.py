@@ -141,62 +141,62 @@ class Window:
         return True
 
     def drop(self, position: int) -> None:
-        self.data, self.start = self.data[position - self.start :], position
-
-
-def decoded(window: Window) -> tuple[bytes, int, bool] | None:
-    """The member at the start of ``window``: data, length in the file, whole or not.
+        """Forget what lies a block or more before ``position``."""
+        if position - self.start >= self.block:
+            self.data, self.start = self.data[position - self.start :], position
+
+    def find(self, sought: bytes, position: int) -> int:
+        """Next place of ``sought`` from ``position`` on, -1 if the file has none."""
+        while True:
+            self.drop(position)
+            found = self.data.find(sought, position - self.start)
+            if found >= 0:
+                return self.start + found
+            position = max(position, self.start + len(self.data) - len(sought) + 1)
+            if not self.more():
+                return -1
+
+    def piece(self, position: int, most: int = 16_384) -> bytes:
+        if position >= self.start + len(self.data):
+            self.more()
+        return self.data[position - self.start : position - self.start + most]
+
+
+def decoded(window: Window, start: int) -> tuple[bytes, int, bool] | None:
+    """The member at ``start``: data, where it ends, whole or not.
 
     None if it is not a gzip member that begins with a record header.
     """
-    unpack, out, used, checked = zlib.decompressobj(31), [], 0, False
+    unpack, out, at, checked = zlib.decompressobj(31), [], start, False
     head = b""
-    while True:
-        part = window.data[used:]
-        if not part:
-            if not window.more():
-                return (b"".join(out), used, False) if checked else None
-            continue
+    while not unpack.eof:
+        part = window.piece(at)
         try:
-            got = unpack.decompress(part)
+            got = unpack.decompress(part) if part else None
         except zlib.error:
-            return (b"".join(out), used, False) if checked else None
+            got = None
+        if got is None:
+            return (b"".join(out), at, False) if checked else None
         out.append(got)
-        used += len(part) - len(unpack.unused_data)
+        at += len(part) - len(unpack.unused_data)
         if not checked:
             head += got
             if len(head) >= 7 or unpack.eof:
                 if not head.startswith(b"WARC/1."):
                     return None
                 checked = True
-        if unpack.eof:
-            return b"".join(out), used, True
+    return b"".join(out), at, True
 
 
 def members_of(file, start: int, end: int) -> Iterator[tuple[int, bytes, bool]]:
     """Records whose member starts in ``[start, end)``: position, data, whole or not."""
-    window, at = Window(file, start), start
-    while at < end:
-        window.drop(at)
-        while len(window.data) < len(MAGIC) and window.more():
-            pass
-        found = window.data.find(MAGIC)
-        if found < 0:
-            at = window.start + max(1, len(window.data) - len(MAGIC) + 1)
-            continue
-        at = window.start + found
-        if at >= end:
-            return
-        window.drop(at)
-        member = decoded(window)
-        if member is None:
-            at += 1
-        elif member[2]:
-            yield at, member[0], True
-            at += member[1]
-        else:
-            yield at, member[0], False
-            at += 1
+    window = Window(file, start)
+    at = window.find(MAGIC, start)
+    while 0 <= at < end:
+        member = decoded(window, at)
+        if member is not None:
+            yield at, member[0], member[2]
+        at = window.find(MAGIC, member[1] if member is not None and member[2] else at + 1)
 
 
 def fields(data: bytes) -> tuple[dict[str, str], bytes]:
