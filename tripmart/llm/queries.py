@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import backoff, chat, collisions, hnsw, packing, partenum, quality, warc
+from tripmart.llm import backoff, chat, collisions, hnsw, language, packing, partenum, quality, warc
 from tripmart.llm.common import read
 
 
@@ -48,7 +48,18 @@ def op2_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return language.of_documents(docs, language.learn(docs))
+
+
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.of_pages(read(spark, sf_dir, "pages"), language.learn(read(spark, sf_dir, "documents")))
+
+
 QUERIES = {
+    "op4_language": op4_language,
+    "language_of_pages": language_of_pages,
     "op2_backoff": op2_backoff,
     "op10_partenum": op10_partenum,
     "op3_hnsw": op3_hnsw,
