@@ -12,7 +12,8 @@ n-grams of each chunk; a chunk looks up its exploded n-grams and sums per docume
 Within a chunk an n-gram is sent once however frequent it is, so a word or
 passage in a third of all documents costs a bucket one entry per chunk.  Rows
 between the steps hold sorted arrays of n-gram hashes rather than one n-gram, and
-chunks and buckets have a bounded size, whatever the size of the corpus.
+chunks and buckets have a bounded size, whatever the size of the corpus.  Texts
+cross the network compressed, and sorted hashes as differences.
 
 Defined cases: null, empty and blank texts have no words and score 0; a
 document shorter than an n-gram uses the histories it has; repeated rows are
@@ -22,12 +23,15 @@ columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import materialise, split_count
+from tripmart.llm.common import materialise, split_count, text_blocks
 from tripmart.llm.grams import chained, word_hashes
 
 ASKED = "chunk long, bucket long, grams binary, counts binary"
@@ -50,15 +54,43 @@ def numbered_grams(hashes: np.ndarray, stops: np.ndarray, order: int) -> list[tu
     return out
 
 
-def grams_of(texts: pa.ChunkedArray, order: int):
-    hashes, stops = word_hashes(texts.combine_chunks())
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """The texts of doc_id, text, chunk as compressed frames."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for block in text_blocks(batches, "text"):
+            frames = [packer.compress(t or b"") for t in block.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [block.column("doc_id"), block.column("chunk"), pa.array(frames, pa.binary())],
+                names=["doc_id", "chunk", "frame"],
+            )
+
+    return docs.mapInArrow(pack, "doc_id long, chunk long, frame binary")
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys: lower halves as they are, differences of the upper halves byte by byte."""
+    steps = np.diff(keys >> np.uint64(32), prepend=np.uint64(0)).astype("<u4")
+    return keys.astype("<u4").tobytes() + steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    n = len(data) // 8
+    steps = np.frombuffer(data, np.uint8)[4 * n :].reshape(4, n).T.copy().view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.uint64) << np.uint64(32) | np.frombuffer(data, "<u4", n)
+
+
+def grams_of(frames: pa.ChunkedArray, order: int):
+    unpacker = zstandard.ZstdDecompressor()
+    hashes, stops = word_hashes(pa.array([unpacker.decompress(f) for f in frames.to_pylist()], pa.large_binary()))
     numbered = numbered_grams(hashes, stops, order)
     return hashes, stops, numbered
 
 
 def bucket_edges(buckets: int) -> np.ndarray:
-    """Smallest key of every bucket."""
-    return np.array([i * 2**64 // buckets for i in range(buckets)], np.uint64)
+    """Smallest key of every bucket; the bits that tell n stay clear."""
+    return np.array([i * 2**64 // buckets & ~3 for i in range(buckets)], np.uint64)
 
 
 def scores(
@@ -78,19 +110,22 @@ def scores(
 
     def ask(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk")[0].as_py()
-        _, _, numbered = grams_of(table.column("text"), order)
+        _, _, numbered = grams_of(table.column("frame"), order)
         keys, counts = np.unique(np.concatenate([k for _, k in numbered]), return_counts=True)
         cuts = np.r_[np.searchsorted(keys, edges), len(keys)]
         filled = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-        part = lambda a: [a[cuts[b] : cuts[b + 1]].tobytes() for b in filled]
+        spans = [(b, slice(cuts[b], cuts[b + 1])) for b in filled]
         return pa.table({
             "chunk": pa.array([chunk] * len(filled), pa.int64()), "bucket": pa.array(filled, pa.int64()),
-            "grams": pa.array(part(keys), pa.binary()), "counts": pa.array(part(counts.astype(np.uint32)), pa.binary()),
+            "grams": pa.array([packed_keys(keys[s] - edges[b]) for b, s in spans], pa.binary()),
+            "counts": pa.array([counts[s].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for _, s in spans], pa.binary()),
         })
 
     def answer(table: pa.Table) -> pa.Table:
-        held = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
-        counts = np.concatenate([np.frombuffer(c, np.uint32) for c in table.column("counts").to_pylist()])
+        held = [unpacked_keys(g) for g in table.column("grams").to_pylist()]
+        counts = np.concatenate([
+            np.frombuffer(c, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel() for c in table.column("counts").to_pylist()
+        ])
         keys, place = np.unique(np.concatenate(held), return_inverse=True)
         total = np.bincount(place, counts).astype(np.int64)
         # A history of words is counted in full; what is too rare is not found at all.
@@ -101,7 +136,7 @@ def scores(
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.int64())], names=["doc_id", "n_words", "part", "singles"])
-        hashes, stops, numbered = grams_of(texts.column("text"), order)
+        hashes, stops, numbered = grams_of(texts.column("frame"), order)
         keys, place = np.unique(np.concatenate([k for _, k in numbered]), return_inverse=True)
         answers = answers.sort_by("bucket")
         totals = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(t, np.int64) for t in answers.column("totals").to_pylist())])
@@ -135,7 +170,7 @@ def scores(
         })
 
     # The same exchange serves both steps that read the texts.
-    dealt = narrow.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
+    dealt = packed_texts(narrow.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))))
     answers = dealt.groupBy("chunk").applyInArrow(ask, ASKED).groupBy("bucket").applyInArrow(answer, ANSWERED)
     parts = materialise(
         dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, SCORED), "scores"
