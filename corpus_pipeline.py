@@ -1,12 +1,80 @@
-"""Corpus pipeline over the documents table."""
+"""Corpus pipeline over the documents table: language, quality, near duplicates, packing.
+
+Every stage is a function of (session, documents, table folder).  All but the
+last return rows of their input with its columns.  A stage decides by row
+(language, quality) or by document id (near duplicates), stores the rows that go
+as narrow keys, and takes them out of its input: where few rows go, Spark broadcasts
+their keys by their stored size, else it joins.
+
+Rows with null id pass the first two stages by their own merits, are never near
+duplicates of others, and are packed.  Empty tables pass as empty tables.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripmart.llm import language, packing, partenum, quality
+from tripmart.llm.common import materialise, read
+
+ROW = "pipeline_row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """With a key of what a decision depends on, so equal rows get equal decisions."""
+    return docs.withColumn(ROW, F.xxhash64("doc_id", "text", "source"))
+
+
+def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    return docs.join(materialise(gone.select(key).distinct(), "gone"), key, "left_anti")
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose language cannot be told."""
+    keyed = _keyed(docs)
+    judged = language.of_documents(keyed, language.learn(docs), id_col=ROW)
+    return _without(keyed, judged.where("rejected"), ROW).select(docs.columns)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the classifier holds for label 0."""
+    net = quality.learned(docs, read(spark, sf_dir, "labels"))
+    keyed = _keyed(docs)
+    return _without(keyed, quality.scored(keyed, net, id_col=ROW).where("score < 0.5").withColumnRenamed("doc_id", ROW), ROW).select(docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group, once."""
+    groups = partenum.similar_groups(docs)
+    left = _without(docs, groups.where("component_id <> doc_id"), "doc_id")
+    often = materialise(left.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
+    once = left.join(often, "doc_id", "left_anti")
+    first = left.join(often, "doc_id").groupBy("doc_id").agg(
+        F.min(F.struct(*[F.col(c) for c in docs.columns if c != "doc_id"])).alias("row")
+    ).select("doc_id", "row.*")
+    return once.select(docs.columns).unionByName(first.select(docs.columns))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Windows of 4096 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", language_stage),
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("packing", packing_stage),
+]
+# Learned tables, a network and a tokenizer are not SQL: tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages, each written as Parquet and read again for the next."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
