@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import backoff, chat, collisions, hnsw, language, packing, partenum, quality, warc
+from tripmart.llm import backoff, chat, collisions, hnsw, language, packing, partenum, pieces, quality, warc
 from tripmart.llm.common import read
 
 
@@ -57,7 +57,13 @@ def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.of_pages(read(spark, sf_dir, "pages"), language.learn(read(spark, sf_dir, "documents")))
 
 
+def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.digests(pieces.encode(read(spark, sf_dir, "documents"), model), model)
+
+
 QUERIES = {
+    "op1_pieces": op1_pieces,
     "op4_language": op4_language,
     "language_of_pages": language_of_pages,
     "op2_backoff": op2_backoff,
