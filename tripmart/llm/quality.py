@@ -228,9 +228,12 @@ def scored(
     return narrow.mapInArrow(score, "doc_id long, score double")
 
 
-def quality(docs: DataFrame, labels: DataFrame, **columns: str) -> DataFrame:
+def quality(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **learning: int | str
+) -> DataFrame:
     """Score every document with a network learned from the labels that are not held out."""
-    out = scored(docs, learned(docs, labels, **columns), **columns)
+    net = learned(docs, labels, id_col=id_col, text_col=text_col, **learning)
+    out = scored(docs, net, id_col, text_col)
     return out.select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
