@@ -208,8 +208,8 @@ def test_quality_on_held_out_labels(spark, medium):
     docs, labels = (spark.read.parquet(f"{medium}/{t}.parquet") for t in ("documents", "labels"))
     got = quality.quality(docs, labels, per_class=400).join(labels, "doc_id").where("held_out")
     good, bad, hit_good, hit_bad = got.select(
-        F.count_if("quality = 1"), F.count_if("quality = 0"),
-        F.count_if("quality = 1 AND predicted = 1"), F.count_if("quality = 0 AND predicted = 0"),
+        *[F.count_if(F.expr(c)) for c in ("quality = 1", "quality = 0")],
+        *[F.count_if(F.expr(c)) for c in ("quality = 1 AND predicted = 1", "quality = 0 AND predicted = 0")],
     ).first()
     assert hit_good >= 0.93 * good and hit_bad >= 0.85 * bad
 
