@@ -4,7 +4,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tripmart.config import CLASSIFICATION_FEATURES, REGRESSION_FEATURES, Months, ZoneRules
+from tripmart.config import CLASSIFICATION_FEATURES, REGRESSION_FEATURES, Months, ZONE_LABELS, ZoneLabel
 from tripmart.functions.keys import bucket
 from tripmart.operators import features, metrics, models, windows
 
@@ -127,7 +127,7 @@ def test_cluster_rules_apply_in_order(spark):
         1: "Premium Zone", 2: "High Frequency Zone", 3: "High Tip Zone",
         4: "Standard Zone", 5: "Standard Zone",
     }
-    strict = models.label_zones(df, ZoneRules(premium_revenue_above=50)).where("cluster = 0")
+    strict = models.label_zones(df, (ZoneLabel("Premium Zone", {"avg_revenue": (50, None)}), *ZONE_LABELS[1:])).where("cluster = 0")
     assert strict.first().cluster_label == "High Tip Zone"
 
 

@@ -6,7 +6,7 @@ from tripmart.config import (
     Months,
     Run,
     TripContract,
-    ZoneRules,
+    ZoneLabel,
 )
 
 __all__ = [
@@ -15,5 +15,5 @@ __all__ = [
     "Months",
     "Run",
     "TripContract",
-    "ZoneRules",
+    "ZoneLabel",
 ]

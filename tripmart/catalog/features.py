@@ -25,19 +25,22 @@ from tripmart.config import (
     CLASSIFICATION_FEATURES,
     REGRESSION_FEATURES,
     ZONE_FEATURES,
-    ZoneRules,
+    ZONE_FREQUENT,
+    ZONE_PREMIUM,
+    ZONE_STANDARD,
+    ZONE_TIP,
+    ZoneLabel,
 )
 from tripmart.functions.exact import ratio_half_up
 from tripmart.operators import features, metrics, models, windows
 
 TRIP_COLUMNS = ("trip_key", "tpep_pickup_datetime", "PULocationID")
 # Thresholds in the range of the sample data, so that every label occurs.
-SAMPLE_RULES = ZoneRules(
-    premium_revenue_above=38.5,
-    premium_distance_above=6,
-    frequent_trips_above=1880,
-    frequent_distance_below=6.3,
-    tip_above=5.5,
+SAMPLE_LABELS = (
+    ZoneLabel(ZONE_PREMIUM, {"avg_revenue": (38.5, None), "avg_distance": (6, None)}),
+    ZoneLabel(ZONE_FREQUENT, {"total_trips": (1880, None), "avg_distance": (None, 6.3)}),
+    ZoneLabel(ZONE_TIP, {"avg_tip_efficiency": (5.5, None)}),
+    ZoneLabel(ZONE_STANDARD, {}),
 )
 
 
@@ -175,7 +178,7 @@ def metric_table_given(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_labels_given(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.label_zones(given_clusters(sample_gold(spark, sf_dir)), SAMPLE_RULES)
+    return models.label_zones(given_clusters(sample_gold(spark, sf_dir)), SAMPLE_LABELS)
 
 
 QUERIES = {
@@ -237,9 +240,9 @@ PROFILE_SQL = PROFILE.format(source="gold")
 CLUSTERS_SQL = f"""{PROFILE_SQL},
 clusters AS (SELECT *, CAST(PULocationID % 4 AS INT) AS cluster FROM profile),
 labels AS (SELECT cluster, CASE
-  WHEN AVG(avg_revenue) > {SAMPLE_RULES.premium_revenue_above} AND AVG(avg_distance) > {SAMPLE_RULES.premium_distance_above} THEN 'Premium Zone'
-  WHEN AVG(total_trips) > {SAMPLE_RULES.frequent_trips_above} AND AVG(avg_distance) < {SAMPLE_RULES.frequent_distance_below} THEN 'High Frequency Zone'
-  WHEN AVG(avg_tip_efficiency) > {SAMPLE_RULES.tip_above} THEN 'High Tip Zone'
+  WHEN AVG(avg_revenue) > 38.5 AND AVG(avg_distance) > 6 THEN 'Premium Zone'
+  WHEN AVG(total_trips) > 1880 AND AVG(avg_distance) < 6.3 THEN 'High Frequency Zone'
+  WHEN AVG(avg_tip_efficiency) > 5.5 THEN 'High Tip Zone'
   ELSE 'Standard Zone' END AS cluster_label FROM clusters GROUP BY cluster)"""
 
 SCORES_SQL = f"""cells AS (SELECT {LABEL_SQL} AS a, {GUESS_SQL} AS p, COUNT(*) AS n FROM silver GROUP BY ALL),

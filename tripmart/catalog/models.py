@@ -79,7 +79,7 @@ def rf_tip_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kmeans_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = _profile(spark, sf_dir)
     model = models.fit_zones(profile, CFG)
-    return models.label_zones(models.assign_zones(model, profile, CFG), CFG.zone_rules)
+    return models.label_zones(models.assign_zones(model, profile, CFG), CFG.zone_labels)
 
 
 def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from tripmart.catalog.features import (
     CLUSTERS_SQL,
     GUESS_SQL,
     LABEL_SQL,
-    SAMPLE_RULES,
+    SAMPLE_LABELS,
     given_clusters,
     given_fares,
     given_tips,
@@ -63,7 +63,7 @@ def reg_daily_given(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.label_zones(given_clusters(sample_gold(spark, sf_dir)), SAMPLE_RULES)
+    return models.label_zones(given_clusters(sample_gold(spark, sf_dir)), SAMPLE_LABELS)
 
 
 def zone_clusters_given(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -133,14 +133,20 @@ class TripContract:
 
 
 @dataclass(frozen=True)
-class ZoneRules:
-    """Thresholds that turn cluster means into a label, tried in order."""
+class ZoneLabel:
+    """A label and the bounds of profile means it asks for: metric -> (above, below), either may be None."""
 
-    premium_revenue_above: float = 20
-    premium_distance_above: float = 5
-    frequent_trips_above: float = 5000
-    frequent_distance_below: float = 3
-    tip_above: float = 15
+    name: str
+    bounds: dict[str, tuple[float | None, float | None]]
+
+
+# Tried in order; the label of a cluster that none of them fits comes last.
+ZONE_LABELS = (
+    ZoneLabel(ZONE_PREMIUM, {"avg_revenue": (20, None), "avg_distance": (5, None)}),
+    ZoneLabel(ZONE_FREQUENT, {"total_trips": (5000, None), "avg_distance": (None, 3)}),
+    ZoneLabel(ZONE_TIP, {"avg_tip_efficiency": (15, None)}),
+    ZoneLabel(ZONE_STANDARD, {}),
+)
 
 
 @dataclass(frozen=True)
@@ -152,7 +158,8 @@ class ModelConfig:
     subsample: float = 0.5
     seed: int = 42
     train_percent: int = 80
-    # Below 100, models are trained on a repeatable sample of the window.
+    # Below 100, the tip classifier is fitted on a repeatable sample of its
+    # training side; hold-out rows and the fare model are never sampled.
     sample_percent: int = 100
     clusters: int = 4
     cluster_iterations: int = 20
@@ -160,7 +167,12 @@ class ModelConfig:
     regression_features: tuple[str, ...] = REGRESSION_FEATURES
     classification_features: tuple[str, ...] = CLASSIFICATION_FEATURES
     zone_features: tuple[str, ...] = ZONE_FEATURES
-    zone_rules: ZoneRules = ZoneRules()
+    zone_labels: tuple[ZoneLabel, ...] = ZONE_LABELS
+    # Partitions that rows are laid out in before a fit, so that the fit does not
+    # depend on the splits of a cluster.  For the forests that is a shuffle of
+    # all training rows, so it has to be asked for.
+    zone_layout: int = 8
+    forest_layout: int | None = None
     # Columns whose hash decides on which side of the hold-out split a trip is.
     split_columns: tuple[str, ...] = (
         "tpep_pickup_datetime",

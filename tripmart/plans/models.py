@@ -13,12 +13,8 @@ from tripmart.sources.lake import Lake, in_run, overwrite_run, read_table
 
 
 def training_trips(silver: DataFrame, run: Run, cfg: ModelConfig) -> DataFrame:
-    """Trips of the training window with their split key; all of them, unless
-    the settings ask for a sample."""
+    """All trips of the training window with their split key."""
     past = windows.training_window(silver, run.months, cfg.window_months)
-    if cfg.sample_percent < 100:
-        key = bucket(cfg.split_columns, purpose="sample")
-        past = windows.key_sample(past, key, cfg.sample_percent)
     return past.withColumn("split_key", bucket(cfg.split_columns))
 
 
@@ -43,8 +39,13 @@ def fares(spark: SparkSession, lake: Lake, run: Run, cfg: ModelConfig) -> DataFr
 
 def tips(spark: SparkSession, lake: Lake, run: Run, cfg: ModelConfig) -> DataFrame:
     silver = read_table(spark, lake.silver)
-    rows = features.tip_features(training_trips(silver, run, cfg), cfg, ("split_key",))
+    trips = training_trips(silver, run, cfg).withColumn(
+        "sample_key", bucket(cfg.split_columns, purpose="sample")
+    )
+    rows = features.tip_features(trips, cfg, ("split_key", "sample_key"))
     train, test = windows.holdout_split(rows, F.col("split_key"), cfg.train_percent)
+    if cfg.sample_percent < 100:
+        train = windows.key_sample(train, F.col("sample_key"), cfg.sample_percent)
     model = models.fit_tips(train, cfg)
     matrix = metrics.confusion(models.predict_tips(model, test), "label", "prediction")
     now = features.tip_features(windows.prediction_window(silver, run.months), cfg)
@@ -63,7 +64,7 @@ def zones(spark: SparkSession, lake: Lake, run: Run, cfg: ModelConfig) -> DataFr
     )
     profile = in_run(read_table(spark, lake.zone_profiles), run.year, run.month)
     model = models.fit_zones(profile, cfg)
-    labelled = models.label_zones(models.assign_zones(model, profile, cfg), cfg.zone_rules)
+    labelled = models.label_zones(models.assign_zones(model, profile, cfg), cfg.zone_labels)
     overwrite_run(labelled, lake.clusters, run.year, run.month, rebalance=True)
     score = spark.range(1).select(F.lit(float(models.silhouette(model, profile))).alias("silhouette"))
     return metrics.metric_rows(score, "zone_clusters", run.year, run.month)

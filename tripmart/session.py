@@ -2,26 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# What a cluster session should carry.  Widths are left to adaptive execution:
-# the initial partition number is only an upper bound that it coalesces.
-CLUSTER_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-}
-
-
 def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> SparkSession:
     """A single-machine session for tests and the bench."""
     builder = (
@@ -63,16 +47,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder of the cluster.
+    """A new folder name under a folder that driver and executors share.
 
-    The folder is the one named by ``spark.checkpoint.dir``.  Only a local
-    session, where driver and executors share one machine, may go without.
+    That is the one named by ``spark.checkpoint.dir``, else the warehouse.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="run-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -93,18 +93,6 @@ def read_table(
     return df if columns is None else df.select(*columns)
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Distribute a scan that has fewer splits than there are cores.
-
-    A file of one row group is read by one task, and all narrow work after it
-    would stay in that task.  A scan with enough splits is returned as it is,
-    so a large table is never shuffled for this.  ``columns`` together should
-    tell rows apart, so that no single value decides where many rows go.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
-
-
 def warn_if_empty(df: DataFrame, what: str) -> bool:
     """Log a warning for an input without rows; reads at most one row."""
     empty = df.isEmpty()

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.config import Months
-from tripmart.sources.lake import spread
 
 # The columns used, so that no footer has to be read to plan a query.
 LINEITEM = (
@@ -48,7 +47,7 @@ FROM (
   CASE WHEN l_partkey % 53 = 0 THEN -1 ELSE 1 END * gross_c AS fare_c,
   CAST(FLOOR(gross_c * CAST(ROUND(l_discount * 100) AS BIGINT) * 3 / 100E0) AS BIGINT) AS tip_c
  FROM (
-  SELECT *,
+  SELECT {hint} *,
    300 + CAST(l_quantity AS BIGINT) * 80 + CAST(FLOOR(l_extendedprice / 100E0) AS BIGINT) AS gross_c,
    CASE WHEN l_tax > 0.065E0 THEN 694 ELSE 0 END AS tolls_c,
    CASE WHEN l_partkey % 31 = 0 THEN NULL ELSE 250 END AS cong_c,
@@ -64,6 +63,8 @@ SPARK_TIMES = {
     "pick": "timestampadd(SECOND, sec, o_orderdate)",
     "drop": "timestampadd(SECOND, sec + dur, o_orderdate)",
 }
+# Both tables grow with the scale, so they are joined by a shuffle at every scale.
+JOIN_HINT = "/*+ SHUFFLE_HASH(orders) */"
 DUCKDB_TIMES = {
     "pick": "o_orderdate + to_seconds(sec)",
     "drop": "o_orderdate + to_seconds(sec + dur)",
@@ -77,20 +78,17 @@ def trips(spark: SparkSession, sf_dir: str, months: Months | None = None) -> Dat
     range of order dates.  That range cuts the orders scan before the join;
     the exact month filter is still the caller's.
     """
-    lineitem = spread(
-        spark.read.schema(LINEITEM).parquet(f"{sf_dir}/lineitem.parquet"),
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-    )
+    lineitem = spark.read.schema(LINEITEM).parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet")
     if months is not None:
         orders = orders.where(
             f"o_orderdate > timestamp_ntz'{months.start_day}' - interval 1 day"
             f" AND o_orderdate < timestamp_ntz'{months.stop_day}'"
         )
-    text = TRIPS_SQL.format(lineitem="{lineitem}", orders="{orders}", **SPARK_TIMES)
+    text = TRIPS_SQL.format(lineitem="{lineitem}", orders="{orders}", hint=JOIN_HINT, **SPARK_TIMES)
     return spark.sql(text, lineitem=lineitem, orders=orders)
 
 
 def trips_sql() -> str:
     """The same table as a DuckDB query."""
-    return TRIPS_SQL.format(lineitem="lineitem", orders="orders", **DUCKDB_TIMES)
+    return TRIPS_SQL.format(lineitem="lineitem", orders="orders", hint="", **DUCKDB_TIMES)
