@@ -9,7 +9,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
 import check  # noqa: E402
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from tripmart.catalog import all_oracles as oracle_sql  # noqa: E402
+from tripmart.catalog import all_queries as queries  # noqa: E402
 
 ROWS_ONLY = {
     "rf_regression", "rf_regression_rmse", "rf_tip_class", "rf_tip_scores", "kmeans_zones",

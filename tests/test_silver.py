@@ -160,6 +160,7 @@ def test_audit_counts_every_failed_rule(spark):
     got = {r.rule: r.row_count for r in silver.reject_audit(df, JANUARY).collect()}
     assert got == {
         "distance_positive": 1,
+        "distance_finite": 0,
         "rate_code_known": 1,
         "fare_positive": 1,
         "pickup_in_month": 1,

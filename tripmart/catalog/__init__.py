@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.catalog import (
+    changes,
     cleaning,
     demand,
     features,
@@ -22,7 +23,7 @@ from tripmart.catalog import (
 )
 from tripmart.session import prepare
 
-_MODULES = (ingest, cleaning, mart, features, models, demand, reports, runs)
+_MODULES = (ingest, cleaning, mart, features, models, demand, reports, runs, changes)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -104,9 +104,10 @@ _OTHER_MONEY = ", ".join(
 _MINUTES = "seconds / 60.0"
 
 
-def _audit(in_month: str, group: str = "") -> str:
+def audit_sql(in_month: str, group: str = "") -> str:
     bad = {
         "distance_positive": "NOT COALESCE(trip_distance > 0, FALSE)",
+        "distance_finite": "NOT COALESCE(trip_distance <= 1e9, FALSE)",
         "rate_code_known": "NOT COALESCE(RatecodeID BETWEEN 1 AND 6, FALSE)",
         "fare_positive": "NOT COALESCE(fare_c > 0, FALSE)",
         "pickup_in_month": f"NOT COALESCE({in_month}, FALSE)",
@@ -157,12 +158,12 @@ ORACLE = {
         f"""SELECT trip_key, tpep_pickup_datetime, year, month FROM silver
  WHERE {in_months("tpep_pickup_datetime", RUN_MONTH)}""",
     ),
-    "reject_audit": with_tables("derived", _audit("tpep_pickup_datetime IS NOT NULL")),
+    "reject_audit": with_tables("derived", audit_sql("tpep_pickup_datetime IS NOT NULL")),
     "reject_audit_month": with_tables(
-        "derived", _audit(in_months("tpep_pickup_datetime", RUN_MONTH))
+        "derived", audit_sql(in_months("tpep_pickup_datetime", RUN_MONTH))
     ),
     "reject_audit_zones": with_tables(
         "derived",
-        _audit("tpep_pickup_datetime IS NOT NULL", "PULocationID"),
+        audit_sql("tpep_pickup_datetime IS NOT NULL", "PULocationID"),
     ),
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.config import Months
+from tripmart.config import MONEY_COLUMNS, Months
 from tripmart.operators import gold as mart
 from tripmart.operators import silver as cleaning
 from tripmart.session import scratch_path
@@ -44,14 +44,21 @@ def sample_lake(spark: SparkSession) -> Lake:
 def sample_landing(spark: SparkSession, sf_dir: str, months: Months | None = None) -> str:
     """A landing folder with one ``...YYYY-MM.parquet`` file set per month."""
     root = scratch_path(spark, "landing")
-    name = F.concat(F.date_format("tpep_pickup_datetime", "yyyy-MM"), F.lit(".parquet"))
     table = trips(spark, sf_dir, months)
     if months is not None:
         table = table.where(F.date_format("tpep_pickup_datetime", "yyyy-MM") == months.start_day[:7])
-    overwrite_partitions(table.withColumn("trips", name), root, ("trips",), rebalance=True)
+    land(table, root)
     return root
 
 
+def land(table: DataFrame, root: str, mode: str = "append") -> None:
+    """Trips as files of the months of their pickups, added to a landing folder."""
+    name = F.concat(F.date_format("tpep_pickup_datetime", "yyyy-MM"), F.lit(".parquet"))
+    rows = table.withColumn("trips", name).hint("rebalance", F.col("trips"))
+    writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("trips")
+    writer.parquet(root)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, for comparison with another engine."""
     casts = {
@@ -84,19 +91,6 @@ def dollars(cents: str) -> str:
     return f"CAST(({cents}) / 100.0 AS DOUBLE)"
 
 
-_MONEY = (
-    "fare_amount",
-    "extra",
-    "mta_tax",
-    "tip_amount",
-    "tolls_amount",
-    "improvement_surcharge",
-    "total_amount",
-    "congestion_surcharge",
-    "airport_fee",
-)
-
-
 def _cents(c: str) -> str:
     return f"CAST(ROUND(100 * COALESCE({c}, 0)) AS BIGINT) AS {c}_raw_c"
 
@@ -110,7 +104,7 @@ REPAIRED = f"""repaired AS (
   COALESCE(store_and_fwd_flag = 'Y', FALSE) AS store_and_fwd_flag,
   CAST(PULocationID AS INT) AS PULocationID, CAST(DOLocationID AS INT) AS DOLocationID,
   CAST(payment_type AS INT) AS payment_type,
-  {", ".join(_cents(c) for c in _MONEY)},
+  {", ".join(_cents(c) for c in MONEY_COLUMNS)},
   CAST(epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime) AS BIGINT) AS seconds
  FROM trips)"""
 
@@ -127,7 +121,7 @@ DERIVED = """derived AS (
 
 SILVER = """silver AS (
  SELECT *, total_c = calc_c AS is_total_correct FROM derived
- WHERE trip_distance > 0 AND RatecodeID BETWEEN 1 AND 6 AND fare_c > 0
+ WHERE trip_distance > 0 AND trip_distance <= 1e9 AND RatecodeID BETWEEN 1 AND 6 AND fare_c > 0
   AND tpep_pickup_datetime IS NOT NULL)"""
 
 GOLD_SUMS = """gold_sums AS (

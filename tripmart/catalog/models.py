@@ -24,10 +24,9 @@ CFG = ModelConfig()
 
 
 def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned trips of the run month and its window, stored and read back."""
+    """Cleaned trips of the whole history, stored and read back."""
     lake: Lake = sample_lake(spark)
-    silver = sample_silver(spark, sf_dir, RUN_MONTH.widened(WINDOW))
-    overwrite_partitions(silver, lake.silver, rebalance=True)
+    overwrite_partitions(sample_silver(spark, sf_dir), lake.silver, rebalance=True)
     return read_table(spark, lake.silver)
 
 

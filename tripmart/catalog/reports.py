@@ -34,7 +34,7 @@ EMPTY_YEAR, EMPTY_MONTH = 1990, 1
 
 
 def kpi_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.monthly_kpis(sample_gold(spark, sf_dir, RUN_MONTH), YEAR, MONTH)
+    return serving.monthly_kpis(sample_gold(spark, sf_dir), YEAR, MONTH)
 
 
 def kpi_all_months(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def kpi_empty_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.top_zones(sample_gold(spark, sf_dir, RUN_MONTH), RUN_MONTH)
+    return serving.top_zones(sample_gold(spark, sf_dir), RUN_MONTH)
 
 
 def tip_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,11 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.catalog.common import (
     HISTORY,
     MONTH,
-    RUN_MONTH,
-    WINDOW,
     YEAR,
     plain,
-    sample_gold,
     sample_lake,
     sample_landing,
     sample_silver,
@@ -39,7 +36,7 @@ def _landed(spark: SparkSession, landing: str) -> Months:
 
 
 def elt_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing = sample_landing(spark, sf_dir, RUN_MONTH)
+    landing = sample_landing(spark, sf_dir)
     lake = sample_lake(spark)
     elt.run_month(spark, landing, lake, RUN)
     return plain(read_table(spark, lake.gold))
@@ -68,16 +65,15 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All landed files found by the stream and loaded."""
     landing = sample_landing(spark, sf_dir)
     lake = sample_lake(spark)
-    follow_landing(spark, landing, lake).awaitTermination()
+    follow_landing(spark, landing, lake, as_of=AS_OF).awaitTermination()
     return plain(read_table(spark, lake.gold))
 
 
 def ml_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All models of a month on a stored lake; the stored metrics."""
+    """All models of a month on a stored lake with the whole history; the stored metrics."""
     lake = sample_lake(spark)
-    window = RUN_MONTH.widened(WINDOW)
-    overwrite_partitions(sample_silver(spark, sf_dir, window), lake.silver, rebalance=True)
-    overwrite_partitions(sample_gold(spark, sf_dir), lake.gold, rebalance=True)
+    overwrite_partitions(sample_silver(spark, sf_dir), lake.silver, rebalance=True)
+    elt.build_gold(spark, lake, HISTORY.pairs)
     training.run_models(spark, lake, RUN)
     return in_run(read_table(spark, lake.metrics), YEAR, MONTH)
 

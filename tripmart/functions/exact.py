@@ -18,9 +18,10 @@ def units(value: Column, scale: int = 2) -> Column:
     """``value`` as a whole number of ``10**-scale`` units.
 
     For a value with at most ``scale`` decimals the product differs from an
-    integer by rounding noise only, which ``rint`` removes.
+    integer by rounding noise only, which ``rint`` removes.  Not a number,
+    infinity and what is too large to count are null.
     """
-    return F.rint(value.cast("double") * (10**scale)).cast("bigint")
+    return F.rint(value.cast("double") * (10**scale)).try_cast("bigint")
 
 
 def from_units(count: Column, scale: int = 2) -> Column:

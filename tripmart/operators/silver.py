@@ -78,6 +78,7 @@ def validity_rules(contract: TripContract) -> dict[str, Column]:
     low, high = contract.rate_codes
     return {
         "distance_positive": F.col("trip_distance") > 0,
+        "distance_finite": F.col("trip_distance") <= contract.distance_most,
         "rate_code_known": F.col("RatecodeID").between(low, high),
         "fare_positive": F.col("fare_amount") > 0,
     }

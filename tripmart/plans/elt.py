@@ -6,7 +6,6 @@ import datetime as dt
 import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripmart.config import Months, Run, TripContract
 from tripmart.functions.calendar import in_month_list
@@ -44,7 +43,9 @@ def build_silver(
     """
     span = Months.between("%d-%d" % pairs[0], "%d-%d" % pairs[-1])
     raw = read_table(spark, lake.bronze).where(in_month_list(pairs))
-    overwrite_partitions(cleaning.clean(raw, span, contract, processed_at), lake.silver)
+    overwrite_partitions(
+        cleaning.clean(raw, span, contract, processed_at), lake.silver, rebuilt=pairs
+    )
 
 
 def build_gold(
@@ -56,7 +57,7 @@ def build_gold(
     """Aggregate the *stored* cleaned months; the cleaning is not repeated."""
     silver = read_table(spark, lake.silver).where(in_month_list(pairs))
     # A month of the mart is small, so it is gathered into few files.
-    overwrite_partitions(mart.zone_day(silver, contract), lake.gold, rebalance=True)
+    overwrite_partitions(mart.zone_day(silver, contract), lake.gold, rebalance=True, rebuilt=pairs)
 
 
 def rebuild(
@@ -85,18 +86,22 @@ def backfill(
     as_of: dt.date,
     contract: TripContract = TripContract(),
     processed_at: Column | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Load every loadable month of a range in one job per layer.
 
-    Months that are too recent are skipped; an older month without a file stops
-    the run before anything is written.  Returns the gate table.
+    Months that are too recent and older months without a file are left out and
+    reported in the gate table, which is returned; with ``strict`` an older
+    month without a file stops the run before anything is written.
     """
     prepare(spark)
     landed = month_inventory(file_inventory(spark, landing))
     gate = files.month_gate(landed, months, as_of)
     missing = files.missing_months(gate)
-    if missing:
+    if missing and strict:
         raise MissingMonths(f"no file for {missing} in {landing}")
+    if missing:
+        log.warning("no file for %s in %s", missing, landing)
     pairs = files.ready_months(gate)
     if not pairs:
         log.warning("nothing to load for %s up to %s", months.start_day, months.stop_day)
@@ -115,10 +120,6 @@ def run_month(
     contract: TripContract = TripContract(),
 ) -> bool:
     """One month of ELT; False if the month is too recent to load."""
-    gate = backfill(spark, landing, lake, run.months, run.as_of, contract)
+    gate = backfill(spark, landing, lake, run.months, run.as_of, contract, strict=True)
     return bool(files.ready_months(gate))
 
-
-def stored_months(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Months present in the mart."""
-    return month_inventory(read_table(spark, lake.gold).select(F.col("year"), F.col("month")))

@@ -6,12 +6,13 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripmart.config import Months
-from tripmart.functions.calendar import in_partitions
+from tripmart.functions.calendar import in_month_list, in_partitions
 
 log = logging.getLogger(__name__)
 
@@ -85,8 +86,13 @@ def read_table(
 
     ``months`` becomes a partition filter and ``columns`` the read schema; both
     are done by the optimizer.  A month that was never written gives no rows.
+
+    Without ``schema`` the table has the columns of all of its files: a column
+    that came with a later month is null before it.  Footers are merged by a
+    distributed job.  Raw types are fixed by the contract; a column outside it
+    must keep its type, or the read stops with the two types.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
     df = reader.parquet(path)
     if months is not None:
         df = df.where(in_partitions(months, *keys))
@@ -101,7 +107,7 @@ def warn_if_empty(df: DataFrame, what: str) -> bool:
     return empty
 
 
-def file_month(path: Column) -> tuple[Column, Column]:
+def file_month(path: Column, keys: tuple[str, str] = MONTH_KEYS) -> tuple[Column, Column]:
     """Year and month of a file, from ``year=/month=`` folders or from a
     ``YYYY-MM.parquet`` name; null if the path has neither."""
 
@@ -110,10 +116,10 @@ def file_month(path: Column) -> tuple[Column, Column]:
         by_name = F.regexp_extract(path, r"(\d{4})-(\d{2})\.parquet", group)
         return F.coalesce(by_folder.try_cast("int"), by_name.try_cast("int"))
 
-    return part(r"/year=(\d+)/", 1), part(r"/month=(\d+)/", 2)
+    return part(rf"/{keys[0]}=(\d+)/", 1), part(rf"/{keys[1]}=(\d+)/", 2)
 
 
-def file_inventory(spark: SparkSession, root: str) -> DataFrame:
+def file_inventory(spark: SparkSession, root: str, keys: tuple[str, str] = MONTH_KEYS) -> DataFrame:
     """Parquet files below ``root``: path, size, time and month.
 
     Only the listing is read; the contents column is pruned.
@@ -124,7 +130,7 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .load(root)
     )
-    year, month = file_month(F.col("path"))
+    year, month = file_month(F.col("path"), keys)
     return files.select(
         "path",
         F.col("length").alias("bytes"),
@@ -135,40 +141,67 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
 
 
 def month_inventory(table: DataFrame, keys: tuple[str, str] = MONTH_KEYS) -> DataFrame:
-    """Months present in a table; reads partition values only."""
+    """Distinct months of a table or of a file listing."""
     return table.select(*keys).distinct()
 
 
+def stored_files(
+    spark: SparkSession, path: str, keys: tuple[str, str], pairs: Sequence[tuple[int, int]]
+) -> dict[tuple[int, int], set[str]]:
+    """Paths of the files of the given partitions, from the listing."""
+    try:
+        listed = file_inventory(spark, path, keys)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    found: dict[tuple[int, int], set[str]] = {}
+    for r in listed.where(in_month_list(pairs)).select("year", "month", "path").collect():
+        found.setdefault((r.year, r.month), set()).add(r.path)
+    return found
+
+
 def overwrite_partitions(
     df: DataFrame,
     path: str,
-    keys: tuple[str, ...] = MONTH_KEYS,
+    keys: tuple[str, str] = MONTH_KEYS,
     rebalance: bool = False,
     rows_per_file: int = 20_000_000,
+    rebuilt: Sequence[tuple[int, int]] | None = None,
 ) -> None:
-    """Replace just the partitions that occur in ``df``.
+    """Replace the partitions that occur in ``df``, and those named in ``rebuilt``.
 
     The overwrite mode is an option of this write, not of the session.  With
     ``rebalance=False`` tasks write what they hold, which needs no shuffle and
     is right when the input is laid out by month already.  ``rebalance=True``
     is for scattered input: it shuffles by partition key to sized partitions,
     and a month of any size is split over as many tasks as it needs.
+
+    A partition of ``rebuilt`` that got no row still holds its old files after
+    the write; it is replaced by an empty one.
     """
-    if rebalance:
-        df = df.hint("rebalance", *[F.col(k) for k in keys])
+    spark, pairs = df.sparkSession, list(rebuilt or ())
+    before = stored_files(spark, path, keys, pairs) if pairs else {}
+    rows = df.hint("rebalance", *[F.col(k) for k in keys]) if rebalance else df
     (
-        df.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(*keys)
         .parquet(path)
     )
+    after = stored_files(spark, path, keys, list(before)) if before else {}
+    empty = spark.createDataFrame([], df.drop(*keys).schema)
+    for pair, names in before.items():
+        if names & after.get(pair, set()):
+            folder = "/".join(f"{k}={v}" for k, v in zip(keys, pair))
+            empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
 def overwrite_run(df: DataFrame, path: str, year: int, month: int, rebalance: bool = False) -> None:
-    """Replace the result of one run, keeping all other runs."""
+    """Replace the result of one run, also by an empty one, keeping all other runs."""
     keyed = df.withColumns({RUN_KEYS[0]: F.lit(year), RUN_KEYS[1]: F.lit(month)})
-    overwrite_partitions(keyed, path, RUN_KEYS, rebalance)
+    overwrite_partitions(keyed, path, RUN_KEYS, rebalance, rebuilt=[(year, month)])
 
 
 def in_run(table: DataFrame, year: int, month: int) -> DataFrame:

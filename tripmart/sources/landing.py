@@ -66,35 +66,36 @@ def read_landing(
 ) -> DataFrame:
     """Rows of the given months' files plus the month each file is for.
 
-    Monthly files differ in column types and spelling.  Files with the same
-    footer schema are read together, so the plan has one scan per distinct
-    schema, not one per file.
+    Files differ in column types, spelling and columns, also within a month, so
+    each is read with the schema of its own footer.  Files with the same schema
+    are read together: the plan has one scan per distinct schema (two, if some
+    files carry their month in the name and others in their folders).
     """
-    unit = F.regexp_extract("path", r"^(.*\d{4}-\d{2}\.parquet)", 1)
-    listed = file_inventory(spark, root).where(in_month_list(pairs)).select(unit.alias("unit"))
-    units = [row.unit for row in listed.distinct().orderBy("unit").collect()]
-    if not units:
+    listed = file_inventory(spark, root).where(in_month_list(pairs))
+    files = [(r.path, "/year=" in r.path) for r in listed.select("path").orderBy("path").collect()]
+    if not files:
         raise FileNotFoundError(f"no landed file for {pairs} in {root}")
     # Footers only; the reads are independent, so several are in flight at once.
     with ThreadPoolExecutor(FOOTER_READERS) as pool:
-        schemas = list(pool.map(lambda u: spark.read.parquet(u).schema, units))
-    by_schema = defaultdict(list)
-    for name, schema in zip(units, schemas):
-        by_schema[schema.json()].append((name, schema))
+        schemas = list(pool.map(lambda f: spark.read.parquet(f[0]).schema, files))
+    alike = defaultdict(list)
+    for (path, in_folders), schema in zip(files, schemas):
+        alike[schema.json(), in_folders].append((path, schema))
 
     # The month in the path, by substring: a pattern match would run per row.
-    stem = F.substring_index(F.col("_metadata.file_path"), ".parquet", 1 + root.count(".parquet"))
-    year = F.substring(stem, -7, 4).cast("int").alias("year")
-    month = F.substring(stem, -2, 2).cast("int").alias("month")
+    path = F.col("_metadata.file_path")
+    stem = F.substring_index(path, ".parquet", 1 + root.count(".parquet"))
+    named = (F.substring(stem, -7, 4), F.substring(stem, -2, 2))
+    folder = lambda key: F.substring_index(F.substring_index(path, f"/{key}=", -1), "/", 1)
+    foldered = (folder("year"), folder("month"))
 
-    def scan(group: list) -> DataFrame:
-        return (
-            spark.read.schema(group[0][1])
-            .parquet(*[name for name, _ in group])
-            .select("*", year, month)
-        )
+    def scan(group: list, in_folders: bool) -> DataFrame:
+        year, month = foldered if in_folders else named
+        months = (year.cast("int").alias("year"), month.cast("int").alias("month"))
+        rows = spark.read.schema(group[0][1]).parquet(*[name for name, _ in group])
+        return rows.select(*[c for c in rows.columns if c not in ("year", "month")], *months)
 
-    return union_drifted([scan(u) for u in by_schema.values()], contract)
+    return union_drifted([scan(group, in_folders) for (_, in_folders), group in alike.items()], contract)
 
 
 def ingest(
@@ -104,8 +105,9 @@ def ingest(
     pairs: list[tuple[int, int]],
     contract: TripContract = TripContract(),
 ) -> None:
-    """Copy months from landing to the raw table, rows and values unchanged.
+    """Copy months from landing to the raw table, in the types of the contract.
 
-    A scan task holds rows of one file's month, so no shuffle is needed.
+    A scan task holds rows of one file's month, so no shuffle is needed.  A value
+    that its column's type cannot hold becomes null.
     """
-    overwrite_partitions(read_landing(spark, landing, pairs, contract), bronze)
+    overwrite_partitions(read_landing(spark, landing, pairs, contract), bronze, rebuilt=pairs)

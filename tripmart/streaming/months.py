@@ -7,15 +7,17 @@ month may arrive in any number of files, and a repeated batch changes nothing.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripmart.config import TripContract
+from tripmart.config import Months, TripContract
 from tripmart.plans.elt import rebuild
 from tripmart.session import prepare
 from tripmart.sources.lake import Lake, file_month
-from tripmart.sources.landing import ingest
+from tripmart.sources.landing import ingest, month_gate, ready_months
 
 
 def touched_months(batch: DataFrame) -> list[tuple[int, int]]:
@@ -41,10 +43,12 @@ def follow_raw_table(
     def on_batch(batch: DataFrame, _batch_id: int) -> None:
         rebuild(batch.sparkSession, lake, touched_months(batch), contract, stamp)
 
-    schema = spark.read.parquet(lake.bronze).schema
+    # Files that a later load of their month has replaced since they were listed
+    # are passed over; the month is recomputed from what is there.
     return (
-        spark.readStream.schema(schema)
+        spark.readStream.schema("year int, month int")
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("ignoreMissingFiles", "true")
         .parquet(lake.bronze)
         .select("year", "month")
         .writeStream.option("checkpointLocation", f"{lake.checkpoints}/months")
@@ -60,16 +64,23 @@ def follow_landing(
     lake: Lake,
     contract: TripContract = TripContract(),
     files_per_batch: int = 1000,
+    as_of: dt.date | None = None,
 ) -> StreamingQuery:
     """Start a query that loads all landed files not seen yet, then stops.
 
     Only the file listing is streamed; the contents are read by the load of the
-    months concerned.
+    months concerned.  Months too recent on day ``as_of`` (default: today) are left
+    out; a back-fill loads them once they are ready.
     """
     prepare(spark)
+    day = as_of or dt.date.today()
 
     def on_batch(batch: DataFrame, _batch_id: int) -> None:
         months = touched_months(batch.where("year IS NOT NULL AND month IS NOT NULL"))
+        if months:
+            landed = batch.sparkSession.createDataFrame(months, "year int, month int")
+            wanted = Months.between("%d-%d" % months[0], "%d-%d" % months[-1])
+            months = ready_months(month_gate(landed, wanted, day))
         if months:
             ingest(batch.sparkSession, landing, lake.bronze, months, contract)
             rebuild(batch.sparkSession, lake, months, contract)
