@@ -88,7 +88,8 @@ def test_backoff_equals_brute_force(spark, sizes):
 def test_packed_keys_round_trip():
     keys = np.sort(np.random.default_rng(2).integers(0, 2**64, 1000, np.uint64))
     for part in (keys, keys[:1], keys[:0], keys >> np.uint64(20)):
-        assert (backoff.unpacked_keys(backoff.packed_keys(part)) == part).all()
+        assert (backoff.unpacked_keys(backoff.packed_keys(part), len(part)) == part).all()
+        assert (backoff.unpacked_numbers(backoff.packed_numbers(part)) == part).all()
 
 
 # -- Jaccard join -----------------------------------------------------------

@@ -13,7 +13,10 @@ Within a chunk an n-gram is sent once however frequent it is, so a word or
 passage in a third of all documents costs a bucket one entry per chunk.  Rows
 between the steps hold sorted arrays of n-gram hashes rather than one n-gram, and
 chunks and buckets have a bounded size, whatever the size of the corpus.  Texts
-cross the network compressed, and sorted hashes as differences.
+cross the network compressed, sorted hashes as compressed differences.
+
+Hashes have 24 bits more than are needed to number the bytes of the corpus: one
+n-gram in 16 million is taken for another.
 
 Defined cases: null, empty and blank texts have no words and score 0; a
 document shorter than an n-gram uses the histories it has; repeated rows are
@@ -39,10 +42,15 @@ ANSWERED = "chunk long, bucket long, totals binary"
 SCORED = "doc_id long, n_words long, part double, singles long"
 
 
-def numbered_grams(hashes: np.ndarray, stops: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def key_bits(size: int) -> int:
+    """Bits of the n-gram hashes for a corpus of ``size`` bytes."""
+    return min(62, max(48, size.bit_length() + 24))
+
+
+def numbered_grams(hashes: np.ndarray, stops: np.ndarray, order: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For n from 1 to ``order``: last places of the n-grams within documents, and their keys.
 
-    The lowest two bits of a key tell n.
+    A key is ``bits`` bits of hash and two that tell n.
     """
     begin = np.repeat(np.r_[0, stops[:-1]], np.diff(np.r_[0, stops])) if len(stops) else np.zeros(0, np.int64)
     place = np.arange(len(hashes)) - begin
@@ -50,7 +58,7 @@ def numbered_grams(hashes: np.ndarray, stops: np.ndarray, order: int) -> list[tu
     for n in range(1, order + 1):
         last = np.flatnonzero(place >= n - 1)
         keys = chained(hashes, n)[last - (n - 1)] if len(last) else np.zeros(0, np.uint64)
-        out.append((last, (keys & ~np.uint64(3)) | np.uint64(n)))
+        out.append((last, keys >> np.uint64(64 - bits) << np.uint64(2) | np.uint64(n)))
     return out
 
 
@@ -69,28 +77,44 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(pack, "doc_id long, chunk long, frame binary")
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, so that the high bytes shrink to nothing."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(data: np.ndarray) -> np.ndarray:
+    return data.reshape(8, -1).T.copy().view("<u8").ravel()
+
+
+def packed_numbers(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(planes(values))
+
+
+def unpacked_numbers(data: bytes) -> np.ndarray:
+    return from_planes(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8))
+
+
 def packed_keys(keys: np.ndarray) -> bytes:
-    """Sorted keys: lower halves as they are, differences of the upper halves byte by byte."""
-    steps = np.diff(keys >> np.uint64(32), prepend=np.uint64(0)).astype("<u4")
-    return keys.astype("<u4").tobytes() + steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Sorted keys: lower halves as they are, differences of the upper halves compressed."""
+    steps = np.diff(keys >> np.uint64(32), prepend=np.uint64(0))
+    return keys.astype("<u4").tobytes() + zstandard.ZstdCompressor(level=1).compress(planes(steps))
 
 
-def unpacked_keys(data: bytes) -> np.ndarray:
-    n = len(data) // 8
-    steps = np.frombuffer(data, np.uint8)[4 * n :].reshape(4, n).T.copy().view("<u4").ravel()
+def unpacked_keys(data: bytes, n: int) -> np.ndarray:
+    steps = from_planes(np.frombuffer(zstandard.ZstdDecompressor().decompress(data[4 * n :]), np.uint8))
     return np.cumsum(steps, dtype=np.uint64) << np.uint64(32) | np.frombuffer(data, "<u4", n)
 
 
-def grams_of(frames: pa.ChunkedArray, order: int):
+def grams_of(frames: pa.ChunkedArray, order: int, bits: int):
     unpacker = zstandard.ZstdDecompressor()
     hashes, stops = word_hashes(pa.array([unpacker.decompress(f) for f in frames.to_pylist()], pa.large_binary()))
-    numbered = numbered_grams(hashes, stops, order)
+    numbered = numbered_grams(hashes, stops, order, bits)
     return hashes, stops, numbered
 
 
-def bucket_edges(buckets: int) -> np.ndarray:
+def bucket_edges(buckets: int, bits: int) -> np.ndarray:
     """Smallest key of every bucket; the bits that tell n stay clear."""
-    return np.array([i * 2**64 // buckets & ~3 for i in range(buckets)], np.uint64)
+    return np.array([(i << bits + 2) // buckets & ~3 for i in range(buckets)], np.uint64)
 
 
 def scores(
@@ -106,11 +130,12 @@ def scores(
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     size = narrow.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     chunks, buckets = split_count(size, chunk_bytes), split_count(size, bucket_bytes)
-    edges = bucket_edges(buckets)
+    bits = key_bits(size)
+    edges = bucket_edges(buckets, bits)
 
     def ask(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk")[0].as_py()
-        _, _, numbered = grams_of(table.column("frame"), order)
+        _, _, numbered = grams_of(table.column("frame"), order, bits)
         keys, counts = np.unique(np.concatenate([k for _, k in numbered]), return_counts=True)
         cuts = np.r_[np.searchsorted(keys, edges), len(keys)]
         filled = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
@@ -118,28 +143,26 @@ def scores(
         return pa.table({
             "chunk": pa.array([chunk] * len(filled), pa.int64()), "bucket": pa.array(filled, pa.int64()),
             "grams": pa.array([packed_keys(keys[s] - edges[b]) for b, s in spans], pa.binary()),
-            "counts": pa.array([counts[s].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for _, s in spans], pa.binary()),
+            "counts": pa.array([packed_numbers(counts[s]) for _, s in spans], pa.binary()),
         })
 
     def answer(table: pa.Table) -> pa.Table:
-        held = [unpacked_keys(g) for g in table.column("grams").to_pylist()]
-        counts = np.concatenate([
-            np.frombuffer(c, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel() for c in table.column("counts").to_pylist()
-        ])
+        each = [unpacked_numbers(c) for c in table.column("counts").to_pylist()]
+        held = [unpacked_keys(g, len(c)) for g, c in zip(table.column("grams").to_pylist(), each)]
         keys, place = np.unique(np.concatenate(held), return_inverse=True)
-        total = np.bincount(place, counts).astype(np.int64)
+        total = np.bincount(place, np.concatenate(each)).astype(np.int64)  # exact below 2 to the 53
         # A history of words is counted in full; what is too rare is not found at all.
         total[(total < least) & ((keys & np.uint64(3)) > 1)] = 0
         parts = np.split(total[place], np.cumsum([len(h) for h in held])[:-1])
-        return table.select(["chunk", "bucket"]).append_column("totals", pa.array([p.tobytes() for p in parts], pa.binary()))
+        return table.select(["chunk", "bucket"]).append_column("totals", pa.array([packed_numbers(p) for p in parts], pa.binary()))
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.int64())], names=["doc_id", "n_words", "part", "singles"])
-        hashes, stops, numbered = grams_of(texts.column("frame"), order)
+        hashes, stops, numbered = grams_of(texts.column("frame"), order, bits)
         keys, place = np.unique(np.concatenate([k for _, k in numbered]), return_inverse=True)
         answers = answers.sort_by("bucket")
-        totals = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(t, np.int64) for t in answers.column("totals").to_pylist())])
+        totals = np.concatenate([np.zeros(0, np.int64), *(unpacked_numbers(t).astype(np.int64) for t in answers.column("totals").to_pylist())])
         if len(totals) != len(keys):
             raise ValueError("the counts of a chunk do not belong to its documents")
         found, at = [], 0
