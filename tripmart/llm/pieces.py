@@ -45,7 +45,7 @@ Node = tuple[int, int]  # first and last place of a piece
 class PieceModel:
     """Vocabulary, neighbour test and the ids of words."""
 
-    def __init__(self, path: str, most: int = 500_000, longest: int = 48):
+    def __init__(self, path: str, most: int = 250_000, longest: int = 48):
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
