@@ -59,7 +59,28 @@ def forecast_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.forecast_many(fitted, keys, history, HORIZON, SHAPE)
 
 
+def forecast_adds_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients of the zones add up to those of the city; bands are ordered and not below 0."""
+    keys = ["PULocationID"]
+    gold = materialise(sample_gold(spark, sf_dir), "gold")
+    city, zones = features.daily_demand(gold), features.daily_demand(gold, tuple(keys))
+    history = forecast.history_of(city)
+    whole = forecast.fit_city(city, history, SHAPE)
+    parts = materialise(forecast.fit_many(zones, keys, history, SHAPE), "fitted")
+    sums = parts.select(F.posexplode("beta").alias("at", "b")).groupBy("at").agg(F.sum("b").alias("b"))
+    ones = whole.select(F.posexplode("beta").alias("at", "c"))
+    close = F.abs(F.col("b") - F.col("c")) <= 1e-6 * (1 + F.abs(F.col("c")))
+    equal = sums.join(ones, "at").agg(F.count("*").alias("terms"), F.min(close).alias("adds_up"))
+    bands = forecast.forecast_many(parts, keys, history, HORIZON, SHAPE).agg(
+        F.count_distinct("PULocationID").alias("zones"),
+        F.min((F.col("yhat_lower") >= 0) & (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))).alias("ordered"),
+    )
+    one = F.lit(1)
+    return equal.withColumn("one", one).join(bands.withColumn("one", one), "one").drop("one")
+
+
 QUERIES = {
+    "forecast_adds_up": forecast_adds_up,
     "calendar_spine": calendar_spine,
     "fourier_design": fourier_design,
     "naive_forecast": naive_forecast,
@@ -91,6 +112,11 @@ def _design_sql() -> str:
 
 
 ORACLE = {
+    "forecast_adds_up": with_tables(
+        "gold",
+        f"""SELECT CAST({SHAPE.terms} AS BIGINT) AS terms, TRUE AS adds_up,
+ COUNT(DISTINCT PULocationID) AS zones, TRUE AS ordered FROM gold""",
+    ),
     "calendar_spine": with_tables("gold", "SELECT ds, lo, hi FROM spine", _SPINE),
     "fourier_design": with_tables("gold", f"SELECT ds, {_design_sql()} FROM scaled", _SPINE),
     "naive_forecast": with_tables(

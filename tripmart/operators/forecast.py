@@ -4,11 +4,14 @@ The model is linear in columns that depend on the date only: intercept, slope,
 trend hinges, yearly and weekly sine/cosine pairs (the additive form of Taylor
 and Letham, "Forecasting at Scale", 2018), fitted by ridge regression.
 
-* One city series is fitted with MLlib ``LinearRegression``.
-* Per-zone series share their design, so a zone's fit needs just the sums of
-  demand times each column.  Those are ordinary aggregates, combined before
-  the shuffle; the series themselves are never gathered.  What is left per zone
-  is one small solve, done for a whole Arrow batch of zones at a time.
+* Series share their design, so a zone's fit needs just the sums of demand times
+  each column.  Those are ordinary aggregates, combined before the shuffle; the
+  series themselves are never gathered.  What is left per zone is one small
+  solve, done for a whole Arrow batch of zones at a time.
+* The design depends on the day only, so it is made once per day and joined.
+* The city is one more series, fitted by the same sums and penalties; a day
+  without a row is a day without trips there too, so the coefficients of the
+  zones add up to those of the city.
 """
 
 from __future__ import annotations
@@ -16,15 +19,10 @@ from __future__ import annotations
 import datetime as dt
 import math
 from collections.abc import Iterator
-from functools import reduce
-from operator import add
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
@@ -97,10 +95,10 @@ def design(day: Column, history: History, cfg: ForecastConfig) -> dict[str, Colu
     return columns
 
 
-def design_matrix(history: History, cfg: ForecastConfig) -> np.ndarray:
-    """The same columns for every day of the history, inside a task."""
+def design_matrix(history: History, cfg: ForecastConfig, horizon: int = 0) -> np.ndarray:
+    """The same columns for every day of the history and ``horizon`` more, inside a task."""
     first = (history.first - dt.date(1970, 1, 1)).days
-    length = (history.last - history.first).days + 1
+    length = (history.last - history.first).days + 1 + horizon
     days = np.arange(first, first + length)
     t = (days - first) / history.span
     columns = [np.ones(len(days)), t]
@@ -129,44 +127,6 @@ def with_band(df: DataFrame, value: Column, sigma: Column, cfg: ForecastConfig)
     )
 
 
-# -- one series -------------------------------------------------------------
-
-
-def fit_city(
-    series: DataFrame, history: History, cfg: ForecastConfig = ForecastConfig(), reg: float = 0.1
-) -> PipelineModel:
-    """Ridge fit of one ``ds, y`` series on its observed days."""
-    columns = design(F.col("ds"), history, cfg)
-    names = [n for n in columns if n != "one"]
-    frame = series.select(
-        F.col("y").cast("double").alias("y"), *[columns[n].alias(n) for n in names]
-    )
-    stages = [
-        VectorAssembler(inputCols=names, outputCol="design"),
-        LinearRegression(featuresCol="design", labelCol="y", regParam=reg, solver="normal"),
-    ]
-    return Pipeline(stages=stages).fit(frame)
-
-
-def forecast_city(
-    model: PipelineModel,
-    series: DataFrame,
-    history: History,
-    horizon: int,
-    cfg: ForecastConfig = ForecastConfig(),
-) -> DataFrame:
-    """Fitted history and ``horizon`` future days, with the actual ``y``
-    beside them (null on future and unobserved days)."""
-    days = series.sparkSession.range(1).select(
-        _days(_day(history.first), _day(history.last), horizon).alias("ds")
-    )
-    columns = design(F.col("ds"), history, cfg)
-    frame = days.select("ds", *[c.alias(n) for n, c in columns.items() if n != "one"])
-    sigma = F.lit(float(model.stages[-1].summary.rootMeanSquaredError))
-    scored = with_band(model.transform(frame), F.col("prediction"), sigma, cfg)
-    return scored.select("ds", "yhat", "yhat_lower", "yhat_upper").join(series, "ds", "left")
-
-
 # -- many series ------------------------------------------------------------
 
 
@@ -206,8 +166,11 @@ def fit_many(
     """
     y = F.col("y").cast("double")
     columns = design(F.col("ds"), history, cfg)
-    sums = series.groupBy(*keys).agg(
-        F.array(*[F.sum(y * c) for c in columns.values()]).alias("sums"),
+    # One row per calendar day of the history, so its size is bounded.
+    days = series.sparkSession.range(1).select(_days(_day(history.first), _day(history.last), 0).alias("ds"))
+    days = days.select("ds", *[c.alias(f"design_{n}") for n, c in columns.items()])
+    sums = series.join(F.broadcast(days), "ds").groupBy(*keys).agg(
+        F.array(*[F.sum(y * F.col(f"design_{n}")) for n in columns]).alias("sums"),
         F.sum(y * y).alias("squares"),
     )
     schema = StructType(
@@ -226,16 +189,54 @@ def forecast_many(
 ) -> DataFrame:
     """Fitted history and future of every key, from its coefficients.
 
-    Each key makes its own days, so no key x day join is needed.
+    The values of all days are one product of matrices per batch of keys; each
+    key then unfolds its own days, so no key x day join is needed.
     """
-    days = fitted.select("*", _days(_day(history.first), _day(history.last), horizon).alias("ds"))
-    columns = design(F.col("ds"), history, cfg)
-    value = reduce(add, [F.col("beta")[i] * c for i, c in enumerate(columns.values())])
-    return with_band(days, value, F.col("sigma"), cfg).select(
+
+    def values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matrix = design_matrix(history, cfg, horizon)
+        for batch in batches:
+            for i in range(0, len(batch), 512):
+                part = batch.iloc[i : i + 512]
+                out = part[[*keys, "sigma"]].copy()
+                out["value"] = list(np.vstack(part["beta"].to_list()) @ matrix.T)
+                yield out
+
+    schema = StructType(
+        [fitted.schema[k] for k in keys]
+        + [StructField("sigma", DoubleType()), StructField("value", ArrayType(DoubleType()))]
+    )
+    days = fitted.select(*keys, "sigma", "beta").mapInPandas(values, schema)
+    flat = days.select(*keys, "sigma", F.posexplode("value").alias("at", "value"))
+    dated = flat.withColumn("ds", F.date_add(_day(history.first), F.col("at")))
+    return with_band(dated, F.col("value"), F.col("sigma"), cfg).select(
         *keys, "ds", "yhat", "yhat_lower", "yhat_upper"
     )
 
 
+# -- one series -------------------------------------------------------------
+
+CITY = "series"
+
+
+def fit_city(series: DataFrame, history: History, cfg: ForecastConfig = ForecastConfig()) -> DataFrame:
+    """Coefficients and residual deviation of one ``ds, y`` series, as one row."""
+    return fit_many(series.withColumn(CITY, F.lit("city")), [CITY], history, cfg)
+
+
+def forecast_city(
+    model: DataFrame,
+    series: DataFrame,
+    history: History,
+    horizon: int,
+    cfg: ForecastConfig = ForecastConfig(),
+) -> DataFrame:
+    """Fitted history and ``horizon`` future days, with the actual ``y``
+    beside them (null on future and unobserved days)."""
+    fitted = forecast_many(model, [CITY], history, horizon, cfg).drop(CITY)
+    return fitted.join(series, "ds", "left")
+
+
 # -- baseline ---------------------------------------------------------------
 
 

@@ -95,7 +95,7 @@ def demand(
         run.month,
         rebalance=True,
     )
-    rmse = float(model.stages[-1].summary.rootMeanSquaredError)
+    rmse = float(model.first().sigma)
     score = spark.range(1).select(F.lit(rmse).alias("fit_rmse"))
     return metrics.metric_rows(score, "city_forecast", run.year, run.month)
 
