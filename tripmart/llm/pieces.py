@@ -35,13 +35,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import materialise, text_blocks
+from tripmart.llm.grams import mixed
 
 MARK = "▁"
+_BASE = 0xD1342543DE82EF95
+_LONE = 2**30
 ENCODED = "doc_id long, ids array<int>, n_chunks int"
 _UNITS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 Node = tuple[int, int]  # first and last place of a piece
 
 
+class Numbers:
+    """A table from positive 64-bit numbers to small ones, looked up by whole arrays."""
+
+    def __init__(self, bits: int):
+        self.bits, self.count = bits, 0
+        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """Values, -1 for keys that are not there."""
+        slot = self._slot(keys)
+        seen = self.keys[slot]
+        out = np.where(seen == keys, self.values[slot], -1)
+        open_ = np.flatnonzero((seen != keys) & (seen != 0))
+        while len(open_):
+            slot[open_] = slot[open_] + 1 & (1 << self.bits) - 1
+            seen = self.keys[slot[open_]]
+            hit = seen == keys[open_]
+            out[open_[hit]] = self.values[slot[open_[hit]]]
+            open_ = open_[~hit & (seen != 0)]
+        return out
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add keys that are not there yet; doubles before it is half full."""
+        if 2 * (self.count + len(keys)) > 1 << self.bits:
+            held = self.keys != 0
+            old = self.keys[held], self.values[held]
+            self.__init__(self.bits + 1 + (2 * len(keys)).bit_length() // max(1, self.bits))
+            self.put(*old)
+        self.count += len(keys)
+        for key, value, slot in zip(keys, values, self._slot(keys).tolist()):
+            while self.keys[slot] != 0:
+                slot = slot + 1 & (1 << self.bits) - 1
+            self.keys[slot], self.values[slot] = key, value
+
+
 class PieceModel:
     """Vocabulary, neighbour test and the ids of words."""
 
@@ -65,7 +106,18 @@ class PieceModel:
         self._fits: dict[tuple[str, str], bool] = {}
         self._words: dict[str, bytes] = {}
         self.stable = {p for p in self.id if self.edges(p) is not None}  # encoded as themselves
-        self._most, self._longest = most, longest
+        self._pairs = Numbers(18)
+        self._texts = Numbers(17)
+        names = sorted(self.stable)
+        hashes = [self._text_hash(p) for p in names]
+        if len(set(hashes)) < len(hashes):
+            raise ValueError("two pieces have one hash")
+        self._texts.put(np.array(hashes, np.uint64), np.array([self.id[p] for p in names], np.int32))
+        # Characters that stand next to each other in some piece; between others a text can be cut.
+        glued = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
+        self._glued = np.sort(np.array([ord(g[0]) << 21 | ord(g[1]) for g in glued], np.int64))
+        self.whole: dict[str, bytes] = {}
+        self.most, self.longest = most, longest
 
     def edges(self, piece: str) -> tuple | None:
         """Merges of a piece in their order: scores, and its outermost symbols before and after each.
@@ -160,13 +212,104 @@ class PieceModel:
                 out.append(number)
         return out
 
+    @staticmethod
+    def _characters(codes: np.ndarray) -> np.ndarray:
+        """A number for each character, spread over 64 bits."""
+        return mixed(codes.astype(np.uint64) + np.uint64(0x51ED))
+
+    def _text_hash(self, piece: str) -> int:
+        total = 0
+        for c in self._characters(np.array([ord(c) for c in piece])).tolist():
+            total = total * _BASE + c & 2**64 - 1
+        return total or 1
+
+    def learn(self, units: list[str]) -> None:
+        """Solve many words side by side: each place of all words at once.
+
+        The best path to a place is known by its last piece, so a step looks up
+        the pieces that end there, longest first, and takes the one that fits
+        what ends where it begins.
+        """
+        units = [u for u in units if u not in self._words]
+        if len(self._words) + len(units) > self.most:
+            self._words.clear()
+        units.sort(key=len)
+        for i in range(0, len(units), 8192):
+            part = units[i : i + 8192]
+            if len(part[-1]) <= self.longest:
+                self._words.update(zip(part, self._solved(part)))
+
+    def _solved(self, units: list[str]) -> list[bytes]:
+        sizes = np.array([len(u) for u in units])
+        count, most = len(units), int(sizes.max())
+        codes = np.zeros((count, most), np.uint32)
+        codes[np.arange(most) < sizes[:, None]] = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
+        letters = self._characters(codes)
+        sums = np.zeros((count, most + 1), np.uint64)
+        for at in range(most):
+            sums[:, at + 1] = sums[:, at] * np.uint64(_BASE) + letters[:, at]
+        powers = np.array([pow(_BASE, n, 2**64) for n in range(self.reach + 1)], np.uint64)
+        last = np.full((count, most + 1), -1, np.int32)  # id of the piece, or _LONE for a character without one
+        length = np.zeros((count, most + 1), np.int32)
+        for at in range(1, most + 1):
+            todo = np.flatnonzero(sizes >= at)
+            for n in range(min(self.reach, at), 0, -1):
+                if not len(todo):
+                    break
+                hashes = sums[todo, at] - sums[todo, at - n] * powers[n]
+                hashes[hashes == 0] = 1
+                piece = self._texts.get(hashes)
+                if n == 1:
+                    piece[piece < 0] = _LONE
+                here = np.flatnonzero(piece >= 0)
+                rows, piece = todo[here], piece[here]
+                if at > n:
+                    fit = self._fitting(last[rows, at - n], piece)
+                    rows, piece, here = rows[fit], piece[fit], here[fit]
+                last[rows, at], length[rows, at] = piece, n
+                todo = np.delete(todo, here)
+        places, stop = np.full((count, most + 1), -1, np.int32), sizes.copy()
+        step = most
+        while stop.any():
+            rows = np.flatnonzero(stop > 0)
+            places[rows, step] = last[rows, stop[rows]]
+            stop[rows] -= length[rows, stop[rows]]
+            step -= 1
+        out = []
+        lone = (places == _LONE).any(axis=1)
+        for unit, row, odd in zip(units, places, lone.tolist()):
+            if odd:
+                path = self.forward(unit, 0, len(unit))
+                out.append(np.array(self.ids(self.traced(path, 0, len(unit))), "<i4").tobytes())
+            else:
+                out.append(row[row >= 0].astype("<i4").tobytes())
+        return out
+
+    def _fitting(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = (left.astype(np.uint64) << np.uint64(32)) + right.astype(np.uint64) + np.uint64(1)
+        fit = self._pairs.get(keys)
+        free = (left == _LONE) | (right == _LONE)
+        fit[free] = 1
+        new = np.unique(keys[fit < 0])
+        if len(new):
+            pairs = [(int(k - 1) >> 32, int(k - 1) & 2**32 - 1) for k in new.tolist()]
+            self._pairs.put(new, np.array([self._apart(self.piece[a], self.piece[b]) for a, b in pairs], np.int32))
+            fit[fit < 0] = self._pairs.get(keys[fit < 0])
+        return np.flatnonzero(fit == 1)
+
+    def cuts(self, codes: np.ndarray) -> np.ndarray:
+        """Places of a text where one piece must end and another begin."""
+        pairs = codes[:-1].astype(np.int64) << 21 | codes[1:]
+        at = np.minimum(np.searchsorted(self._glued, pairs), len(self._glued) - 1)
+        return np.flatnonzero(self._glued[at] != pairs) + 1
+
     def word(self, unit: str) -> bytes:
         held = self._words.get(unit)
         if held is None:
             last = self.forward(unit, 0, len(unit))
             held = np.array(self.ids(self.traced(last, 0, len(unit))), "<i4").tobytes()
-            if len(unit) <= self._longest:
-                if len(self._words) >= self._most:
+            if len(unit) <= self.longest:
+                if len(self._words) >= self.most:
                     self._words.clear()
                 self._words[unit] = held
         return held
@@ -405,7 +548,7 @@ def encoded_block(model: PieceModel, texts: pa.Array) -> tuple[np.ndarray, np.nd
     if len(rows):
         lists = pc.split_pattern(texts.filter(pa.array(plain)), " ")
         coded = lists.flatten().dictionary_encode()
-        each = [model.word(MARK + w) for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        each = encoded_words(model, [MARK + w for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()])
         flat = np.frombuffer(b"".join(each), "<i4")
         length = np.fromiter(map(len, each), np.int64, len(each)) // 4
         place = coded.indices.to_numpy()
@@ -423,6 +566,28 @@ def encoded_block(model: PieceModel, texts: pa.Array) -> tuple[np.ndarray, np.nd
     return np.concatenate([np.zeros(0, np.int32), *out]), np.cumsum([len(o) for o in out])
 
 
+def encoded_words(model: PieceModel, words: list[str]) -> list[bytes]:
+    """Ids of words; new ones are put together from the parts between their cuts."""
+    known = model.whole
+    new = [w for w in words if w not in known]
+    if new:
+        if len(known) + len(new) > model.most:
+            known.clear()
+            new = words
+        text = "".join(new)
+        ends = np.cumsum([len(w) for w in new])
+        cuts = np.union1d(model.cuts(np.frombuffer(text.encode("utf-32-le"), np.uint32)), ends)
+        parts = [text[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+        model.learn(list(set(parts)))
+        solved = list(map(model.word, parts))
+        stops = (np.searchsorted(cuts, ends) + 1).tolist()
+        known.update(zip(new, [b"".join(solved[a:b]) for a, b in zip([0, *stops[:-1]], stops)]))
+    out = [known[w] for w in words]
+    for word in [w for w in new if len(w) > model.longest]:
+        del known[word]
+    return out
+
+
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     """doc_id, text of doc_id, ids."""
 
