@@ -18,6 +18,7 @@ _LOWER[65:91] += 32
 _VALUES = np.random.default_rng(20).integers(1, 2**63, 256, np.uint64)[_LOWER]
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, *range(9, 14)]] = True
+_STRETCH = 1 << 19
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -33,10 +34,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
 def _power(factor: int, count: int) -> np.ndarray:
     held = _powers.get(factor)
     if held is None or len(held) < count:
-        size = 1 << max(16, (count - 1).bit_length())
-        steps = np.full(size, factor, np.uint64)
+        steps = np.full(max(count, _STRETCH + 1), factor, np.uint64)
         steps[0] = 1
-        held = _powers[factor] = np.multiply.accumulate(steps)
+        held = np.multiply.accumulate(steps)
+        if count <= _STRETCH + 1:  # what a single longer word needs is not kept
+            _powers[factor] = held
     return held[:count]
 
 
@@ -60,11 +62,18 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     ends = inside
     ends[:-1] &= ~inside[1:] | edge[1:-1]
     begins, ends = np.flatnonzero(begins), np.flatnonzero(ends)
-    running = np.cumsum(_VALUES[raw] * _power(_FACTOR, len(raw)), dtype=np.uint64)
-    hashes = running[ends]
-    later = begins > 0
-    hashes[later] -= running[begins[later] - 1]
-    hashes *= _power(_INVERSE, len(raw))[begins]
+    hashes = np.empty(len(begins), np.uint64)
+    first = 0
+    while first < len(begins):
+        # A stretch of whole words at a time, so that the sums stay small.
+        stop = max(first + 1, int(np.searchsorted(ends, begins[first] + _STRETCH)))
+        low, high = begins[first], ends[stop - 1] + 1
+        running = np.cumsum(_VALUES[raw[low:high]] * _power(_FACTOR, high - low), dtype=np.uint64)
+        head, tail = begins[first:stop] - low, ends[first:stop] - low
+        part = running[tail]
+        part[1:] -= running[head[1:] - 1]
+        hashes[first:stop] = part * _power(_INVERSE, high - low)[head]
+        first = stop
     hashes += (ends - begins).astype(np.uint64)
     return mixed(hashes), np.searchsorted(begins, offsets[1:])
 

@@ -56,7 +56,7 @@ class WordIds:
     offsets.  The store of words is emptied when full, so its memory is bounded.
     """
 
-    def __init__(self, tokenizer, suffix: str, most: int = 250_000, longest: int = 64):
+    def __init__(self, tokenizer, suffix: str, most: int = 150_000, longest: int = 64):
         self._tokenizer, self._most, self._longest = tokenizer, most, longest
         vocabulary = tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
