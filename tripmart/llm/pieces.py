@@ -98,7 +98,9 @@ class PieceModel:
         self.id = {self.piece[i]: i for i in normal}
         self.score = {self.piece[i]: model.get_score(i) for i in normal}
         self.byte = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.value = {i: bytes([b]) for b, i in enumerate(self.byte)}
+        self.raw = [p.replace(MARK, " ").encode() for p in self.piece]
+        for b, i in enumerate(self.byte):
+            self.raw[i] = bytes([b])
         self.reach = max(map(len, self.id))
         if any(MARK in p.lstrip(MARK) for p in self.id) or self.reach > 32:
             raise ValueError("pieces with a space mark inside, or of more than 32 characters, are not supported")
@@ -320,19 +322,7 @@ class PieceModel:
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids, with the space that encoding puts in front taken away."""
-        out, held = [], b""
-        for i in ids.tolist():
-            byte = self.value.get(i)
-            if byte is not None:
-                held += byte
-                continue
-            if held:
-                out.append(held.decode("utf-8", "replace"))
-                held = b""
-            out.append(self.piece[i])
-        if held:
-            out.append(held.decode("utf-8", "replace"))
-        return "".join(out).replace(MARK, " ")[1:]
+        return b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
 
 
 @lru_cache(maxsize=1)
