@@ -46,8 +46,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group, once."""
-    groups = partenum.similar_groups(docs)
+    """Keep the document with the smallest id of each group, once; near are 0.8 of the shingles of five words."""
+    groups = partenum.similar_groups(docs, n=5, similarity=80)
     left = _without(docs, groups.where("component_id <> doc_id"), "doc_id")
     often = materialise(left.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
     once = left.join(often, "doc_id", "left_anti")

@@ -60,6 +60,37 @@ def test_run_packs_what_the_stages_keep(spark, folder):
     assert np.max(sums) <= 4096
 
 
+def brute_leaders(texts, n, least):
+    """Smallest id of each group of texts that share ``least`` percent of their word n-grams, all pairs compared."""
+    words = {i: t.lower().split() for i, t in texts.items()}
+    sets = {i: {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} or {tuple(w)} for i, w in words.items()}
+    leader = {i: i for i in texts}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and 100 * len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+                x, y = sorted((leader[a], leader[b]))
+                leader = {i: x if v == y else v for i, v in leader.items()}
+    return {i for i, v in leader.items() if i == v}
+
+
+def test_near_duplicates_are_those_of_five_words_and_four_fifths(spark):
+    random = np.random.default_rng(3)
+    texts = {}
+    for base in range(24):
+        words = [f"w{k}" for k in random.integers(0, 5000, 40 + 8 * base)]
+        texts[10 * base] = " ".join(words)
+        for copy in range(1, 5):
+            changed = list(words)
+            for place in random.choice(len(words), copy, replace=False):
+                changed[place] = f"x{base}y{copy}"
+            texts[10 * base + copy] = " ".join(changed)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()}
+    wanted = brute_leaders(texts, 5, 80)
+    assert wanted != brute_leaders(texts, 3, 90)
+    assert kept == wanted
+
+
 def test_empty_documents(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     docs.write.parquet(str(tmp_path / "documents.parquet"))
