@@ -202,6 +202,19 @@ def test_markup_and_host_decide_short_texts(spark, documents):
     assert got[1000] == "fr" and got[1001] == "en" and got[1002] == "und"
 
 
+def test_declared_language_counts_wherever_it_stands(spark, documents):
+    """Blanks are no text evidence, so what stands before a declaration changes nothing."""
+    model = language.learn(documents)
+
+    def judged(blanks):
+        page = F.concat(F.lit(" " * blanks), F.lit('<html lang="'), F.col("lang"), F.lit('"> '), F.substring("text", 1, 12))
+        got = language.of_documents(documents.where("doc_id < 200").withColumn("text", page), model)
+        return {r.doc_id: (r.lang, round(r.probability, 9)) for r in got.collect()}
+
+    assert judged(4090) == judged(5)
+    assert judged(20_000) == judged(5)
+
+
 # -- quality ------------------------------------------------------------------
 
 

@@ -218,8 +218,9 @@ def visible_text(html: Column) -> Column:
 
 
 def of_documents(docs: DataFrame, model: TextModel, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """Texts with a source as host; markup in a text, if there is any, declares its language."""
-    return identify(docs, model, id_col, text_col, declared=declared_language(F.substring(text_col, 1, 4096)), host=F.col(host_col))
+    """Texts with a source as host; markup anywhere in a text, if there is any, declares its language."""
+    text = F.col(text_col).cast("string")
+    return identify(docs, model, id_col, text_col, declared=F.when(text.contains("<"), declared_language(text)), host=F.col(host_col))
 
 
 def of_pages(pages: DataFrame, model: TextModel) -> DataFrame:
