@@ -2,12 +2,13 @@
 
 Every stage is a function of (session, documents, table folder).  All but the
 last return rows of their input with its columns.  A stage decides by row
-(language, quality) or by document id (near duplicates), stores the rows that go
+(language, quality) or by id and text (near duplicates), stores the rows that go
 as narrow keys, and takes them out of its input: where few rows go, Spark broadcasts
 their keys by their stored size, else it joins.
 
-Rows with null id pass the first two stages by their own merits, are never near
-duplicates of others, and are packed.  Empty tables pass as empty tables.
+Rows with null id pass the first two stages by their own merits, stay in a group
+of near duplicates only if none of it has an id, and are packed.  Empty tables
+pass as empty tables.
 """
 
 from __future__ import annotations
@@ -46,14 +47,22 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group, once; near are 0.8 of the shingles of five words."""
-    groups = partenum.similar_groups(docs, n=5, similarity=80)
-    left = _without(docs, groups.where("component_id <> doc_id"), "doc_id")
-    often = materialise(left.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
-    once = left.join(often, "doc_id", "left_anti")
-    first = left.join(often, "doc_id").groupBy("doc_id").agg(
-        F.min(F.struct(*[F.col(c) for c in docs.columns if c != "doc_id"])).alias("row")
-    ).select("doc_id", "row.*")
+    """Keep one row of each group, with the smallest id there is; near are 0.8 of the shingles of five words.
+
+    Id and text together are a document, so rows of one id with different texts
+    are judged apart, and rows with null id by their texts.
+    """
+    keyed = docs.withColumn(ROW, F.xxhash64("doc_id", "text"))
+    groups = materialise(
+        partenum.similar_groups(keyed, n=5, similarity=80, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id"), "groups"
+    )
+    leaders = groups.join(keyed.select(ROW, "doc_id").distinct(), ROW).groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", ROW)).alias("first")
+    ).select(f"first.{ROW}")
+    left = _without(keyed, groups.join(leaders, ROW, "left_anti"), ROW)
+    often = materialise(left.groupBy(ROW).count().where("count > 1").select(ROW), "repeated")
+    once = left.join(often, ROW, "left_anti")
+    first = left.join(often, ROW).groupBy(ROW).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return once.select(docs.columns).unionByName(first.select(docs.columns))
 
 

@@ -91,6 +91,21 @@ def test_near_duplicates_are_those_of_five_words_and_four_fifths(spark):
     assert kept == wanted
 
 
+def test_near_duplicates_go_by_id_and_text(spark):
+    """A repeated id keeps its different texts; exact copies with null id leave one row."""
+    one, two, three, four = (" ".join(f"{p}{k}" for k in range(40)) for p in "abcd")
+    rows = [
+        (1, one, "a"), (7, one, "a"), (7, two, "a"), (7, two, "b"), (7, three, "a"), (None, two, "a"), (None, four, "a"), (None, four, "a"),
+        (None, four + " end", "a"), (8, "", "a"), (8, None, "a"), (9, "", "a"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [tuple(r) for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()]
+    named = [(1, one, "a"), (7, two, "a"), (7, three, "a"), (8, "", "a"), (8, None, "a"), (9, "", "a")]
+    assert sorted(map(str, (r for r in got if r[0] is not None))) == sorted(map(str, named))
+    unnamed = [r for r in got if r[0] is None]
+    assert len(unnamed) == 1 and unnamed[0][1].startswith(four)
+
+
 def test_empty_documents(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     docs.write.parquet(str(tmp_path / "documents.parquet"))
