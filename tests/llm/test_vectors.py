@@ -58,6 +58,27 @@ def test_hnsw_equals_brute_force(spark, clustered):
     }
 
 
+def test_audit_sees_small_groups_beside_a_large_one(monkeypatch):
+    """Narrow beams that lose every link of the small groups are widened, whatever the large group brings."""
+    rng = np.random.default_rng(2)
+    x = np.repeat(rng.standard_normal((101, 16)), [1000, *[2] * 100], axis=0)
+    x = hnsw.unit(x + 0.001 * rng.standard_normal(x.shape))
+    x = x[rng.permutation(len(x))]
+    linked = x @ x.T >= 0.95
+    small = linked.sum(axis=1) == 2
+    assert small.sum() == 200
+
+    def narrow(graph, exact, queries, threshold, width):
+        q, r = np.nonzero(queries @ exact.T >= threshold)
+        lost = (width < 64) & ((queries @ exact.T >= threshold).sum(axis=1)[q] == 2)
+        return q[~lost], r[~lost]
+
+    monkeypatch.setattr(hnsw, "within", narrow)
+    rows = np.arange(len(x))
+    q, r = hnsw.audited(None, x, x, 0.95, 16, 0.99, 8, rows)
+    assert {(a, b) for a, b in zip(q.tolist(), r.tolist())} == {(a, b) for a, b in np.argwhere(linked).tolist()}
+
+
 ODD = [
     (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]),
     (7, [1.0, None]), (8, []), (9, [1.0, 0.0, 0.0]), (2, [2.0, 0.0]), (None, [1.0, 0.0]), (10, [1e30, 1e-30]),

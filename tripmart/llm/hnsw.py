@@ -6,7 +6,7 @@ vector queries every shard: a greedy descent through the layers, then a beam
 over the lowest one.  The beam of a query doubles while it holds nothing but
 vectors near the threshold, and the beams of a block double until an audit
 against an exact scan, for every ``audit_every``-th query of the block, finds the
-wanted recall; a beam as wide as the shard is replaced by an exact scan.  What
+wanted recall per query, for small and large groups separately; a beam as wide as the shard is replaced by an exact scan.  What
 the graph finds is verified by cosine in double precision.
 
 A task (one shard, one block of queries) returns for each query the number of
@@ -213,15 +213,37 @@ def within(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold: floa
     return np.concatenate(out_q), np.concatenate(out_r)
 
 
-def audited(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold: float, width: int, recall: float, every: int):
-    """``within``, with beams doubled until the audited queries have the wanted recall."""
+def audited(
+    graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold: float, width: int, recall: float, every: int, own: np.ndarray
+):
+    """``within``, with beams doubled until the audited queries have the wanted recall.
+
+    Recall is the mean over the audited queries that have links, for those with
+    up to ``width`` links and those with more separately, so a large group cannot
+    make up for small ones.  ``own`` is the shard row of each query (-1: in
+    another shard), which is no link.
+    """
     checked = np.arange(0, len(queries), every)
-    true = (queries[checked] @ exact.T >= threshold).sum()
-    while True:
-        q, r = within(graph, exact, queries, threshold, width)
-        if (q % every == 0).sum() >= recall * true or width >= len(exact):
-            return q, r
+    near = queries[checked] @ exact.T >= threshold
+    here = np.flatnonzero(own[checked] >= 0)
+    near[here, own[checked[here]]] = False
+    true, bound = near.sum(axis=1), width
+    few, many = (true > 0) & (true <= bound), true > bound
+    q, r = within(graph, exact, queries, threshold, width)
+    while width < len(exact):
+        counted = np.bincount(q[r != own[q]], minlength=len(queries))
+        share = counted[checked] / np.maximum(true, 1)
+        if many.any() and share[many].mean() < recall:
+            again = np.arange(len(queries))
+        elif few.any() and share[few].mean() < recall:
+            again = np.flatnonzero(counted <= bound)
+        else:
+            break
         width *= 2
+        p, s = within(graph, exact, queries[again], threshold, width)
+        kept = ~np.isin(q, again)
+        q, r = np.r_[q[kept], again[p]], np.r_[r[kept], s]
+    return q, r
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -282,7 +304,10 @@ def near_duplicates(
         ]
         graph = Graph(exact.astype(np.float32), layers)
         own, queries = asks.column("vec_id").to_numpy(), unit(matrix(asks.column("vector"), size))
-        q, r = audited(graph, exact, queries, threshold, width, recall, audit_every)
+        order = np.argsort(ids)
+        place = order[np.minimum(np.searchsorted(ids, own, sorter=order), len(ids) - 1)]
+        place = np.where(ids[place] == own, place, -1)
+        q, r = audited(graph, exact, queries, threshold, width, recall, audit_every, place)
         a, b = own[q], ids[r]
         a, b, q = a[a != b], b[a != b], q[a != b]
         counted = np.bincount(q, minlength=len(own))
