@@ -1,8 +1,9 @@
 """Quality scores by a small convolutional network over the bytes of a text.
 
 A text is its UTF-8 bytes.  Learned byte vectors feed learned filters that
-slide over chunks; neighbouring chunks overlap by the width of a filter, so no
-window of bytes is left out and the whole text is covered, however long.  Each
+slide over chunks in steps of two bytes (``STEP``); neighbouring chunks overlap, so
+every byte of a text is covered, however long, also across chunks.  Windows that
+begin at odd places are not seen: a byte put in front of a text shifts all.  Each
 filter is max-pooled per chunk; the chunks of a text are combined by their
 maximum and their mean, and a logistic layer gives one probability.
 
