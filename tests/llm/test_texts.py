@@ -142,6 +142,29 @@ def test_jaccard_groups_equal_brute_force(spark, monkeypatch, block):
     assert got == plain_groups(ids, texts)
 
 
+@pytest.mark.parametrize("block", [1500, 3])
+def test_all_pairs_equal_brute_force(spark, monkeypatch, block):
+    """Every link, also between texts that are connected without it."""
+    monkeypatch.setattr(partenum, "BLOCK", block)
+    texts = near_copies()
+    ids = [(37 * i) % 211 for i in range(len(texts))]
+    pairs, members = partenum.similar_pairs(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string"))
+    of, links = {r.doc_id: r.class_id for r in members.collect()}, {(r.a, r.b) for r in pairs.collect()}
+    sets = {}
+    for i, t in zip(ids, texts):
+        w = words_of(t)
+        sets[i] = {tuple(w[k : k + 3]) for k in range(len(w) - 2)} or ({tuple(w)} if w else set())
+    wanted = {
+        (a, b) for a in ids for b in ids
+        if a < b and sets[a] & sets[b] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])
+    }
+    got = {
+        (a, b) for a in ids for b in ids
+        if a < b and of[a] is not None and of[b] is not None and (of[a] == of[b] or tuple(sorted((of[a], of[b]))) in links)
+    }
+    assert got == wanted and set(of) == set(ids)
+
+
 def test_similar_sets_share_a_signature():
     """Pairs at the very threshold, in all sizes and across bands."""
     rng = np.random.default_rng(5)

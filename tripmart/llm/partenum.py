@@ -304,3 +304,39 @@ def similar_groups(
         .join(everything.withColumnRenamed("vertex", "doc_id"), "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     )
+
+
+def similar_pairs(
+    docs: DataFrame, n: int = 3, similarity: int = 90, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[DataFrame, DataFrame]:
+    """All links: pairs (a < b) of classes that are similar, and the class of each document.
+
+    A class is the documents with one set, named by the smallest id; the members
+    (doc_id, n_shingles, class_id) of a class are all similar to each other and to
+    those of the classes paired with it.  Unlike in ``similar_groups``, every pair
+    that shares a signature and that the sketches allow is verified, so a group of
+    many different near copies has as many rows as pairs.  Documents with an empty
+    set have no class.  Give ids that are unique: an id with several sets can
+    name several classes.
+    """
+    narrow = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")
+    ).where("doc_id IS NOT NULL")
+    rows = materialise(described(narrow, n, similarity), "sets")
+    equal = ["n_shingles", "first", "second"]
+    classes = materialise(
+        rows.where("n_shingles > 0").groupBy(*equal).agg(F.min("doc_id").alias("class_id")), "classes"
+    )
+    members = rows.select("doc_id", *equal).join(classes, equal, "left").select(
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("class_id")).alias("class_id")
+    ).distinct()
+    leaders = materialise(
+        rows.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", *equal]).dropDuplicates(["doc_id", *equal]), "leaders"
+    )
+    signs = leaders.select("doc_id", "n_shingles", F.explode("signatures").alias("sign"))
+    shared = signs.groupBy("sign").agg(F.count("*").alias("size")).where("size > 1").select(
+        "sign", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")
+    )
+    met = signs.join(shared, "sign").join(leaders.select("doc_id", "n_shingles", "sketch"), ["doc_id", "n_shingles"])
+    pairs = materialise(allowed_pairs(met.withColumn("label", F.col("doc_id")), similarity).distinct(), "pairs")
+    return verified(pairs, named_sets(narrow, pairs, n), similarity).distinct(), members
