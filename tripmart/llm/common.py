@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.session import materialise
 
-__all__ = ["materialise", "path_of", "read", "row_blocks", "split_count", "text_blocks"]
+__all__ = ["Recent", "materialise", "path_of", "read", "row_blocks", "split_count", "text_blocks"]
 
 
 def path_of(sf_dir: str, table: str) -> str:
@@ -50,3 +51,48 @@ def row_blocks(count: int, size: int) -> Iterator[tuple[int, int]]:
 def split_count(rows: int, per_split: int, least: int = 1) -> int:
     """Splits of about ``per_split`` rows."""
     return max(least, -(-rows // per_split))
+
+
+class Recent:
+    """What was worked out for the keys seen last, in two generations of at most ``most`` entries.
+
+    A full younger generation becomes the older one, and the older one is dropped
+    but for the entries that are asked for again, so frequent keys stay.
+    """
+
+    def __init__(self, most: int):
+        self.most = most
+        self._young: dict = {}
+        self._old: dict = {}
+
+    def __len__(self) -> int:
+        return len(self._young) + len(self._old)
+
+    def add(self, fresh: dict) -> None:
+        if len(self._young) + len(fresh) > self.most:
+            self._old, self._young = self._young, {}
+        if len(fresh) > self.most:
+            fresh = dict(islice(fresh.items(), self.most))
+        self._young.update(fresh)
+
+    def values(self, keys: list, solve: Callable[[list], list], keep: Callable[[object], bool] | None = None) -> list:
+        """Values of distinct keys, which are never None; ``solve`` is given those that are not held."""
+        found = list(map(self._young.get, keys))
+        gaps = [i for i, value in enumerate(found) if value is None]
+        if not gaps:
+            return found
+        moved, lost, old = {}, [], self._old
+        for i in gaps:
+            value = old.get(keys[i])
+            if value is None:
+                lost.append(i)
+            else:
+                found[i] = moved[keys[i]] = value
+        if lost:
+            asked = [keys[i] for i in lost]
+            for i, key, value in zip(lost, asked, solve(asked)):
+                found[i] = value
+                if keep is None or keep(key):
+                    moved[key] = value
+        self.add(moved)
+        return found

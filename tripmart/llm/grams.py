@@ -42,10 +42,10 @@ def _power(factor: int, count: int) -> np.ndarray:
     return held[:count]
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of binary or string ``texts``, and where each text's words end.
+def word_spans(texts: pa.Array, white: np.ndarray = _WHITE) -> tuple[np.ndarray, ...]:
+    """All words of binary or string ``texts``: their hashes, first and last bytes, the bytes, and where each text ends in them.
 
-    Null texts have no words.
+    ``white`` marks the byte values between words.  Null texts have no words.
     """
     texts = texts.cast(pa.large_binary())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -53,8 +53,9 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
     offsets = offsets - offsets[0]
     if not len(raw):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
-    inside = ~_WHITE[raw]
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), none, none, raw, offsets
+    inside = ~white[raw]
     edge = np.zeros(len(raw) + 1, bool)
     edge[offsets] = True
     begins = inside.copy()
@@ -75,7 +76,13 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         hashes[first:stop] = part * _power(_INVERSE, high - low)[head]
         first = stop
     hashes += (ends - begins).astype(np.uint64)
-    return mixed(hashes), np.searchsorted(begins, offsets[1:])
+    return mixed(hashes), begins, ends, raw, offsets
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of ``texts``, and where each text's words end."""
+    hashes, begins, _, _, offsets = word_spans(texts)
+    return hashes, np.searchsorted(begins, offsets[1:])
 
 
 def chained(hashes: np.ndarray, n: int) -> np.ndarray:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import backoff, chat, collisions, hnsw, language, packing, partenum, pieces, quality, warc
+from tripmart.llm import backoff, chat, collisions, hnsw, language, packing, partenum, pieces, quality, urls, warc
 from tripmart.llm.common import read
 
 
@@ -62,7 +62,22 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode(read(spark, sf_dir, "documents"), model), model)
 
 
+# Host and path rules of the address filter.
+URL_RULES = [
+    urls.Rule("org", "/", "allow"),
+    urls.Rule("example.org", "/es/", "block"),
+    urls.Rule("example.org", "/en/1", "block"),
+    urls.Rule("com", "/fr/", "allow"),
+    urls.Rule("com", "/de/", "block"),
+]
+
+
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), URL_RULES, urls.JUNK).drop("terms")
+
+
 QUERIES = {
+    "op12_urls": op12_urls,
     "op1_pieces": op1_pieces,
     "op4_language": op4_language,
     "language_of_pages": language_of_pages,
@@ -75,7 +90,41 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
 }
+
+
+def _url_sql() -> str:
+    """Rules and terms one by one: prefix tests and a regular expression per term."""
+    rules = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in URL_RULES)
+    terms = ", ".join([f"('{t}', 1)" for t in urls.JUNK.strict] + [f"('{t}', 0)" for t in urls.JUNK.soft])
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    return f"""
+        WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {rules}),
+        terms(term, hard) AS (VALUES {terms}),
+        u AS (SELECT row_number() OVER () AS row_id, page_id, coalesce(url, '') AS url FROM pages),
+        r AS (SELECT *, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM u),
+        h AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw_host FROM r),
+        p AS (
+            SELECT *, translate(raw_host, {letters}) AS host,
+              regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*') AS path
+            FROM h
+        ), ruled AS (
+            SELECT row_id, rule_host || rule_path AS rule, rule_verdict, row_number() OVER (
+                PARTITION BY row_id ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC, rule_verdict DESC) AS place
+            FROM p JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        ), hits AS (
+            SELECT row_id, sum(hard) AS strict_hits, sum(1 - hard) AS soft_hits
+            FROM u JOIN terms ON regexp_matches(translate(url, {letters}), '(^|[^a-z0-9])' || term || '($|[^a-z0-9])')
+            GROUP BY row_id
+        )
+        SELECT page_id, host, path, rule,
+          CASE WHEN rule IS NOT NULL THEN rule_verdict
+            WHEN coalesce(strict_hits, 0) >= 1 OR coalesce(soft_hits, 0) >= {urls.JUNK.soft_least} THEN 'block' ELSE 'allow' END AS verdict,
+          CAST(coalesce(strict_hits, 0) AS BIGINT) AS strict_hits, CAST(coalesce(soft_hits, 0) AS BIGINT) AS soft_hits
+        FROM p LEFT JOIN (SELECT * FROM ruled WHERE place = 1) AS best USING (row_id) LEFT JOIN hits USING (row_id)"""
+
+
 ORACLE: dict[str, str] = {
+    "op12_urls": _url_sql(),
     "op2_backoff": r"""
         WITH w AS (
             SELECT doc_id, regexp_extract_all(
