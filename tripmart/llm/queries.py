@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import backoff, chat, collisions, hnsw, language, packing, partenum, pieces, quality, urls, warc
+from tripmart.llm import align, backoff, chat, collisions, hnsw, language, packing, partenum, pieces, quality, urls, warc
 from tripmart.llm.common import read
 
 
@@ -76,7 +76,14 @@ def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"), URL_RULES, urls.JUNK).drop("terms")
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 QUERIES = {
+    "op11_align": op11_align,
     "op12_urls": op12_urls,
     "op1_pieces": op1_pieces,
     "op4_language": op4_language,
