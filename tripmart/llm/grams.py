@@ -15,7 +15,6 @@ _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 2**64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_VALUES = np.random.default_rng(20).integers(1, 2**63, 256, np.uint64)[_LOWER]
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, *range(9, 14)]] = True
 _STRETCH = 1 << 19
@@ -42,10 +41,18 @@ def _power(factor: int, count: int) -> np.ndarray:
     return held[:count]
 
 
-def word_spans(texts: pa.Array, white: np.ndarray = _WHITE) -> tuple[np.ndarray, ...]:
+def byte_values(seed: int) -> np.ndarray:
+    """Random values of bytes; A to Z have those of a to z."""
+    return np.random.default_rng(seed).integers(1, 2**63, 256, np.uint64)[_LOWER]
+
+
+_VALUES = byte_values(20)
+
+
+def word_spans(texts: pa.Array, white: np.ndarray = _WHITE, values: np.ndarray = _VALUES) -> tuple[np.ndarray, ...]:
     """All words of binary or string ``texts``: their hashes, first and last bytes, the bytes, and where each text ends in them.
 
-    ``white`` marks the byte values between words.  Null texts have no words.
+    ``white`` marks the byte values between words, ``values`` choose the hash function.  Null texts have no words.
     """
     texts = texts.cast(pa.large_binary())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -69,7 +76,7 @@ def word_spans(texts: pa.Array, white: np.ndarray = _WHITE) -> tuple[np.ndarray,
         # A stretch of whole words at a time, so that the sums stay small.
         stop = max(first + 1, int(np.searchsorted(ends, begins[first] + _STRETCH)))
         low, high = begins[first], ends[stop - 1] + 1
-        running = np.cumsum(_VALUES[raw[low:high]] * _power(_FACTOR, high - low), dtype=np.uint64)
+        running = np.cumsum(values[raw[low:high]] * _power(_FACTOR, high - low), dtype=np.uint64)
         head, tail = begins[first:stop] - low, ends[first:stop] - low
         part = running[tail]
         part[1:] -= running[head[1:] - 1]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import align, backoff, chat, collisions, hnsw, language, packing, partenum, pieces, quality, urls, warc
+from tripmart.llm import align, backoff, chat, collisions, hnsw, language, packing, partenum, phrases, pieces, quality, urls, warc
 from tripmart.llm.common import read
 
 
@@ -82,7 +82,12 @@ def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"), top=2000, least=30, covered=80)
+
+
 QUERIES = {
+    "op13_phrases": op13_phrases,
     "op11_align": op11_align,
     "op12_urls": op12_urls,
     "op1_pieces": op1_pieces,
@@ -132,6 +137,43 @@ def _url_sql() -> str:
 
 ORACLE: dict[str, str] = {
     "op12_urls": _url_sql(),
+    "op13_phrases": r"""
+        WITH d AS (
+            SELECT coalesce(lang, 'und') AS lang,
+              string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\n\x0b\x0c\r]') AS pieces
+            FROM documents
+        ), p AS (SELECT lang, unnest(pieces) AS piece FROM d),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS words FROM p),
+        g AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+        s AS (
+            SELECT lang, 1 AS d, words[i:i] AS gram FROM g
+            UNION ALL SELECT lang, 2, words[i:i+1] FROM g WHERE i + 1 <= len(words)
+            UNION ALL SELECT lang, 3, words[i:i+2] FROM g WHERE i + 2 <= len(words)
+            UNION ALL SELECT lang, 4, words[i:i+3] FROM g WHERE i + 3 <= len(words)
+        ), f AS (
+            SELECT lang, d, array_to_string(gram, ' ') AS phrase, any_value(gram) AS gram, count(*) AS f FROM s GROUP BY lang, d, array_to_string(gram, ' ')
+        ), totals AS (SELECT lang, sum(f) AS n FROM f WHERE d = 1 GROUP BY lang),
+        c AS (SELECT *, f AS a FROM f WHERE d > 1 AND f >= 30),
+        parts AS (
+            SELECT lang, phrase, d, gram, a, k, array_to_string(gram[1:k], ' ') AS head, array_to_string(gram[k+1:d], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, d)) AS k FROM c)
+        ), cuts AS (
+            SELECT x.lang, x.phrase, x.a, x.k, h.f AS l, t.f AS r, CAST(2000000 AS HUGEINT) * x.a // (h.f + t.f) AS score
+            FROM parts x JOIN f h ON h.lang = x.lang AND h.phrase = x.head AND h.d = x.k
+            JOIN f t ON t.lang = x.lang AND t.phrase = x.tail AND t.d = x.d - x.k
+        ), best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM cuts),
+        inner_ AS (
+            SELECT lang, array_to_string(gram[i:i+m-1], ' ') AS phrase, max(a) AS longer
+            FROM (SELECT *, unnest(range(1, d - m + 2)) AS i FROM (SELECT *, unnest(range(2, d)) AS m FROM c)) GROUP BY ALL
+        ), ranked AS (
+            SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank,
+              b.phrase, a, l, r, score
+            FROM best b LEFT JOIN inner_ o ON o.lang = b.lang AND o.phrase = b.phrase
+            WHERE place = 1 AND (longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a)
+        )
+        SELECT ranked.lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
     "op2_backoff": r"""
         WITH w AS (
             SELECT doc_id, regexp_extract_all(
