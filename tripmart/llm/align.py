@@ -75,7 +75,7 @@ def units_of(text: str) -> list[str]:
 class Aligner:
     """Both tokenizers, the identity map and the alignment of units."""
 
-    def __init__(self, path_a: str, path_b: str, most: int = 100_000, longest: int = 48):
+    def __init__(self, path_a: str, path_b: str, most: int = 60_000, longest: int = 48):
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -228,7 +228,7 @@ def _batch(**columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(rows, f.type)).cast(f.type) for f in _FIELDS], schema=_FIELDS)
 
 
-def encoded(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = 8 << 20) -> DataFrame:
+def encoded(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = 3 << 20) -> DataFrame:
     """Stored rows of three kinds: documents (0), chunks with their distinct pairs (1), a task's vector of same-bytes pairs (2)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +308,7 @@ def pair_counts(stored: DataFrame) -> DataFrame:
 
 
 def align(
-    docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 8 << 20
+    docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 3 << 20
 ) -> DataFrame:
     """Per document: numbers of tokens, groups and links; links that are the most frequent of their A id; summed counts; digest of the groups."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
