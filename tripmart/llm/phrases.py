@@ -13,8 +13,9 @@ leaves below it.  Counts of the prefixes that were extended are known from divid
 
 The budget grows with the corpus once there would be more than ``MOST_GROUPS``
 groups, so extended prefixes, of which each takes more than a budget of suffixes,
-can be sent to all tasks.  Words too rare for any candidate end a suffix; a bit table of
-bounded size tells which words may be frequent (a wrong yes costs shuffle only).
+can be sent to all tasks.  A suffix ends where two neighbours are too rare for any candidate: hashes of
+neighbours are counted first, and bit tables of bounded size tell which words
+and which two neighbours may be frequent (a wrong yes costs shuffle only).
 
 Words are told apart by 64-bit hashes of language and word; the table of words is searched for
 two words with one hash, and if there are any, all is done with other hashes.
@@ -45,14 +46,15 @@ from tripmart.llm.grams import _LOWER, byte_values, mixed, word_spans
 DEPTH = 4
 MOST_GROUPS = 1 << 20
 MOST_BITS = 26
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 _KEYS = ["k1", "k2", "k3", "k4"]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BETWEEN = np.zeros(256, bool)  # ends a piece
 _BETWEEN[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _WHITE = _BETWEEN.copy()
 _WHITE[[0x20, 0x09]] = True
-NODES = "k1 long, k2 long, k3 long, k4 long, f long, l1 long, l2 long, l3 long"
+_PAIR = np.uint64(0xFFFFFFFFFF000000)  # what is kept of the hash of two neighbours
+NODES = "k1 long, k2 long, k3 long, k4 long, f long, l2 long, l3 long"
 
 
 @dataclass
@@ -80,8 +82,8 @@ def words_of(block: pa.RecordBatch, seed: int) -> Words:
     keys = mixed(hashes ^ salts[lang]) if len(hashes) else hashes
     keys[keys == 0] = 1
     # A piece ends at a separator or with its text.
-    marks = np.cumsum(_BETWEEN[raw], dtype=np.int64)
-    piece = marks[begins] + text if len(begins) else begins
+    marks = np.flatnonzero(_BETWEEN[raw])
+    piece = np.searchsorted(marks, begins) + text
     return Words(keys, piece, begins, ends, raw, lang, langs)
 
 
@@ -107,21 +109,29 @@ def _combined(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[:, starts], np.diff(np.r_[starts, keys.shape[1]])
 
 
+@dataclass
+class Bits:
+    """A bit for each value of the first bits of a hash."""
+
+    table: np.ndarray
+    log_bits: int
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes >> np.uint64(64 - self.log_bits)
+        return (self.table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 @dataclass
 class Division:
     """How suffixes are divided: extended prefixes by length, and the group of each hash range."""
 
     seed: int
-    bits: np.ndarray  # bit table of the words that may be frequent, as bytes
-    log_bits: int
+    words: Bits
+    pairs: Bits | None = None
     heavy: list[np.ndarray] = field(default_factory=list)  # sorted hashes of extended prefixes of 1, 2, 3 words
     counts: list[np.ndarray] = field(default_factory=list)  # and their counts
     group: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int32))
 
-    def frequent(self, keys: np.ndarray) -> np.ndarray:
-        at = keys >> np.uint64(64 - self.log_bits)
-        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-
     def extended(self, level: int, hashes: np.ndarray) -> np.ndarray:
         """Which prefixes of ``level`` words are extended."""
         if level > len(self.heavy) or not len(self.heavy[level - 1]):
@@ -136,16 +146,25 @@ class Division:
         held = self.heavy[level - 1]
         return self.counts[level - 1][np.minimum(np.searchsorted(held, hashes), len(held) - 1)]
 
+    def neighbours(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Places whose word and the next of its piece may both be frequent, and the hashes of the two."""
+        fine = self.words.has(words.keys)
+        at = np.flatnonzero(fine[:-1] & fine[1:] & (words.piece[:-1] == words.piece[1:]))
+        return at, mixed(words.keys[at] * _STEP + words.keys[at + 1]) & _PAIR
+
     def suffixes(self, words: Words) -> np.ndarray:
-        """Keys of the suffixes of all words that may be frequent, zeros behind their ends."""
-        keys = np.where(self.frequent(words.keys), words.keys, np.uint64(0))
-        out = np.zeros((DEPTH, len(keys)), np.uint64)
-        out[0] = keys
-        for j in range(1, DEPTH):
-            if len(keys) > j:
-                goes_on = (words.piece[j:] == words.piece[:-j]) & (out[j - 1, :-j] != 0)
-                out[j, :-j] = np.where(goes_on, keys[j:], 0)
-        return out[:, keys != 0]
+        """Keys of the suffixes of two and more words, zeros behind their ends."""
+        at, pairs = self.neighbours(words)
+        at = at[self.pairs.has(pairs)]
+        goes_on = np.zeros(len(words.keys) + DEPTH, bool)
+        goes_on[at] = True
+        out = np.zeros((DEPTH, len(at)), np.uint64)
+        out[0], out[1] = words.keys[at], words.keys[at + 1]
+        there = np.ones(len(at), bool)
+        for j in range(2, DEPTH):
+            there &= goes_on[at + j - 1]
+            out[j, there] = words.keys[at[there] + j]
+        return out
 
     def group_of(self, hashes: np.ndarray) -> np.ndarray:
         shift = 64 - (len(self.group).bit_length() - 1)
@@ -190,16 +209,30 @@ def word_table(texts: DataFrame, least: int, seed: int) -> DataFrame:
     return materialise(named.where((F.col("n") >= least) | (F.col("word") == "") | (F.col("names") > 1)), "words")
 
 
-def _bit_table(words: DataFrame, count: int) -> tuple[np.ndarray, int]:
-    """Bits of the words' keys: their first bits, 8 places per word at least while the table is small."""
+def _bit_table(rows: DataFrame, count: int) -> Bits:
+    """Bits of the hashes ``h``: their first bits, 8 places for each at least while the table is small."""
     log_bits = min(MOST_BITS, max(12, (8 * count).bit_length()))
-    place = F.shiftrightunsigned("key", 64 - log_bits)
-    told = words.groupBy(F.shiftright(place, 6).alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - log_bits}) & 63 as int))")).alias("bits")
+    place = F.shiftrightunsigned("h", 64 - log_bits)
+    told = rows.groupBy(F.shiftright(place, 6).alias("at")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - log_bits}) & 63 as int))")).alias("bits")
     ).toArrow()
     table = np.zeros(1 << max(0, log_bits - 6), np.int64)
     table[told.column("at").to_numpy()] = told.column("bits").to_numpy()
-    return table.view(np.uint8), log_bits
+    return Bits(table.view(np.uint8), log_bits)
+
+
+def _pair_bits(texts: DataFrame, plan: Broadcast, least: int) -> Bits:
+    """Bits of the neighbours whose hash has ``least`` occurrences, which are all frequent ones and few others."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        division = plan.value
+        for block in text_blocks(batches, "text", BLOCK_BYTES):
+            found, n = np.unique(division.neighbours(words_of(block, division.seed))[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int32))], names=["h", "n"])
+
+    counted = texts.mapInArrow(count, "h long, n int").groupBy("h").agg(F.sum("n").alias("n"))
+    often = materialise(counted.where(F.col("n") >= least).select("h"), "neighbours")
+    return _bit_table(often, often.count())
 
 
 def _level_table(texts: DataFrame, plan: Broadcast, level: int) -> DataFrame:
@@ -231,7 +264,8 @@ def _divided(texts: DataFrame, words: DataFrame, least: int, budget: int, seed:
     frequent = words.where(F.col("word") != "")
     total, count = frequent.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     budget = max(budget, -(-total // MOST_GROUPS))
-    division = Division(seed, *_bit_table(frequent, count))
+    division = Division(seed, _bit_table(frequent.select(F.col("key").alias("h")), count))
+    division.pairs = _pair_bits(texts, sc.broadcast(division), least)
     log_groups = min(MOST_GROUPS.bit_length() - 1, max(3, (8 * total // budget).bit_length()))
     load = np.zeros(1 << log_groups, np.int64)
     tables = []
@@ -302,16 +336,16 @@ def subtree_nodes(keys: np.ndarray, n: np.ndarray, division: Division, least: in
         starts.append(first)
         totals.append(whole)
         known.append(far)
-    columns = [[] for _ in range(8)]
+    columns = [[] for _ in range(7)]
     for d in range(1, DEPTH):
         good = (keys[d, starts[d]] != 0) & ~known[d] & (totals[d] >= least)
         first = starts[d][good]
         for j in range(DEPTH):
             columns[j].append(keys[j, first] if j <= d else np.zeros(len(first), np.uint64))
         columns[4].append(totals[d][good])
-        for j in range(DEPTH - 1):
+        for j in (1, 2):
             above = totals[j][np.searchsorted(starts[j], first, "right") - 1] if j < d else np.zeros(len(first), np.int64)
-            columns[5 + j].append(above)
+            columns[4 + j].append(above)
     flat = [np.concatenate(c) for c in columns]
     return pa.RecordBatch.from_arrays(
         [pa.array(c.view(np.int64)) for c in flat], names=[part.split()[0] for part in NODES.split(", ")]
@@ -363,7 +397,7 @@ def _known_nodes(plan: Broadcast, least: int):
                 here = depth == level
                 far[here] = division.extended(level, names[level - 1][here])
             good = (n >= least) & (far | (depth == DEPTH))
-            above = [np.where(depth > j, division.count(j, names[j - 1]), 0)[good] for j in range(1, DEPTH)]
+            above = [np.where(depth > j, division.count(j, names[j - 1]), 0)[good] for j in (2, 3)]
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(k[good].view(np.int64)) for k in keys), pa.array(n[good]), *(pa.array(a) for a in above)],
                 names=[part.split()[0] for part in NODES.split(", ")],
@@ -373,7 +407,7 @@ def _known_nodes(plan: Broadcast, least: int):
 
 
 def phrase_counts(docs: DataFrame, least: int = 30, budget: int = 1 << 19, text_col: str = "text", lang_col: str = "lang", seed: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Frequent words (key, lang, word, n) and phrases of 2 to 4 words: keys, f, and f of their first 1, 2, 3 words."""
+    """Frequent words (key, lang, word, n) and phrases of 2 to 4 words: keys, f, and f of their first 2 and 3 words."""
     texts = _narrow(docs, text_col, lang_col)
     while True:
         words = word_table(texts, least, seed)
@@ -402,7 +436,7 @@ def phrases(docs: DataFrame, least: int = 30, covered: int = 80, scale: int = 2_
     """
     words, nodes = phrase_counts(docs, least, budget, text_col, lang_col)
     single = words.where("word <> ''").select("key", "lang", "word", F.col("n").alias("word_n"))
-    named = nodes.join(single, nodes["k1"] == single["key"]).drop("key", "word_n")
+    named = nodes.join(single, nodes["k1"] == single["key"]).drop("key").withColumnRenamed("word_n", "l1")
     ends = single.select(F.col("key").alias("k2"), F.col("word").alias("rest"), F.col("word_n").alias("r1"))
     none = F.lit(0).cast("long")
     columns = [*_KEYS, "lang", "f", "l1", "l2", "l3", "r1", "r2", "r3", F.concat_ws(" ", "word", "rest").alias("phrase")]
