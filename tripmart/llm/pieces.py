@@ -6,19 +6,21 @@ are chosen by score, then from the left, and within a stretch whose ends are
 never merged over that order does not depend on the rest.  Encoding is therefore
 a best path in a lattice whose nodes are piece occurrences and whose steps weigh 0
 (neighbours fit) or minus infinity.  No piece has a space mark behind another
-character, so words are apart, and each distinct word is solved once.
+character, so words are apart, and each distinct word of a text is encoded once, by the library.
 
 A document above ``chunk_chars`` is cut into chunks wherever the count falls.  The
 states of a cut are the pieces that could lie across or end at it.  Each chunk
 gives the matrix of best weights from the states of its first cut to those of its
 second; the matrices of a document are combined associatively (max-plus prefix
-products), which picks one state per cut, and every chunk is then traced back on
-its own between its two states.
+products, in groups of bounded size up a tree and down again), which picks one state per cut, and every chunk
+is then traced back on its own between its two states: the lattice is walked for
+the words that the cuts lie in, the words between them are looked up.
 
 Defined cases: null and empty text have no pieces; characters outside the
 vocabulary become byte pieces; a space mark in the text is a space after
 decoding; repeated rows are documents of their own; null ids are kept; an empty
-table gives no rows; other columns are not read.
+table gives no rows; other columns are not read.  Models with a space mark inside a
+piece, or with pieces of more than 32 characters, are refused.
 """
 
 from __future__ import annotations
@@ -34,62 +36,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import materialise, text_blocks
-from tripmart.llm.grams import mixed
+from tripmart.llm.common import Recent, materialise, text_blocks
 
 MARK = "▁"
-_BASE = 0xD1342543DE82EF95
-_LONE = 2**30
 ENCODED = "doc_id long, ids array<int>, n_chunks int"
 _UNITS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 Node = tuple[int, int]  # first and last place of a piece
 
 
-class Numbers:
-    """A table from positive 64-bit numbers to small ones, looked up by whole arrays."""
-
-    def __init__(self, bits: int):
-        self.bits, self.count = bits, 0
-        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def get(self, keys: np.ndarray) -> np.ndarray:
-        """Values, -1 for keys that are not there."""
-        slot = self._slot(keys)
-        seen = self.keys[slot]
-        out = np.where(seen == keys, self.values[slot], -1)
-        open_ = np.flatnonzero((seen != keys) & (seen != 0))
-        while len(open_):
-            slot[open_] = slot[open_] + 1 & (1 << self.bits) - 1
-            seen = self.keys[slot[open_]]
-            hit = seen == keys[open_]
-            out[open_[hit]] = self.values[slot[open_[hit]]]
-            open_ = open_[~hit & (seen != 0)]
-        return out
-
-    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
-        """Add keys that are not there yet; doubles before it is half full."""
-        if 2 * (self.count + len(keys)) > 1 << self.bits:
-            held = self.keys != 0
-            old = self.keys[held], self.values[held]
-            self.__init__(self.bits + 1 + (2 * len(keys)).bit_length() // max(1, self.bits))
-            self.put(*old)
-        self.count += len(keys)
-        for key, value, slot in zip(keys, values, self._slot(keys).tolist()):
-            while self.keys[slot] != 0:
-                slot = slot + 1 & (1 << self.bits) - 1
-            self.keys[slot], self.values[slot] = key, value
-
-
 class PieceModel:
     """Vocabulary, neighbour test and the ids of words."""
 
-    def __init__(self, path: str, most: int = 250_000, longest: int = 48):
+    def __init__(self, path: str, most: int = 100_000, longest: int = 48):
         from sentencepiece import SentencePieceProcessor
 
-        model = SentencePieceProcessor(model_file=path)
+        model = self.library = SentencePieceProcessor(model_file=path)
         normal = [
             i for i in range(model.get_piece_size())
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))
@@ -106,20 +67,8 @@ class PieceModel:
             raise ValueError("pieces with a space mark inside, or of more than 32 characters, are not supported")
         self._edges: dict[str, tuple | None] = {}
         self._fits: dict[tuple[str, str], bool] = {}
-        self._words: dict[str, bytes] = {}
+        self._words, self._longest = Recent(most), longest
         self.stable = {p for p in self.id if self.edges(p) is not None}  # encoded as themselves
-        self._pairs = Numbers(18)
-        self._texts = Numbers(17)
-        names = sorted(self.stable)
-        hashes = [self._text_hash(p) for p in names]
-        if len(set(hashes)) < len(hashes):
-            raise ValueError("two pieces have one hash")
-        self._texts.put(np.array(hashes, np.uint64), np.array([self.id[p] for p in names], np.int32))
-        # Characters that stand next to each other in some piece; between others a text can be cut.
-        glued = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
-        self._glued = np.sort(np.array([ord(g[0]) << 21 | ord(g[1]) for g in glued], np.int64))
-        self.whole: dict[str, bytes] = {}
-        self.most, self.longest = most, longest
 
     def edges(self, piece: str) -> tuple | None:
         """Merges of a piece in their order: scores, and its outermost symbols before and after each.
@@ -151,7 +100,7 @@ class PieceModel:
         key = (left, right)
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) > 2_000_000:
+            if len(self._fits) > 200_000:
                 self._fits.clear()
             known = self._fits[key] = self._apart(left, right)
         return known
@@ -214,111 +163,18 @@ class PieceModel:
                 out.append(number)
         return out
 
-    @staticmethod
-    def _characters(codes: np.ndarray) -> np.ndarray:
-        """A number for each character, spread over 64 bits."""
-        return mixed(codes.astype(np.uint64) + np.uint64(0x51ED))
-
-    def _text_hash(self, piece: str) -> int:
-        total = 0
-        for c in self._characters(np.array([ord(c) for c in piece])).tolist():
-            total = total * _BASE + c & 2**64 - 1
-        return total or 1
+    def words(self, units: list[str]) -> list[bytes]:
+        """Ids of distinct words, each with its space marks in front."""
+        return self._words.values(units, self._solve, lambda unit: len(unit) <= self._longest)
 
-    def learn(self, units: list[str]) -> None:
-        """Solve many words side by side: each place of all words at once.
-
-        The best path to a place is known by its last piece, so a step looks up
-        the pieces that end there, longest first, and takes the one that fits
-        what ends where it begins.
-        """
-        units = [u for u in units if u not in self._words]
-        if len(self._words) + len(units) > self.most:
-            self._words.clear()
-        units.sort(key=len)
-        for i in range(0, len(units), 8192):
-            part = units[i : i + 8192]
-            if len(part[-1]) <= self.longest:
-                self._words.update(zip(part, self._solved(part)))
-
-    def _solved(self, units: list[str]) -> list[bytes]:
-        sizes = np.array([len(u) for u in units])
-        count, most = len(units), int(sizes.max())
-        codes = np.zeros((count, most), np.uint32)
-        codes[np.arange(most) < sizes[:, None]] = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
-        letters = self._characters(codes)
-        sums = np.zeros((count, most + 1), np.uint64)
-        for at in range(most):
-            sums[:, at + 1] = sums[:, at] * np.uint64(_BASE) + letters[:, at]
-        powers = np.array([pow(_BASE, n, 2**64) for n in range(self.reach + 1)], np.uint64)
-        last = np.full((count, most + 1), -1, np.int32)  # id of the piece, or _LONE for a character without one
-        length = np.zeros((count, most + 1), np.int32)
-        for at in range(1, most + 1):
-            todo = np.flatnonzero(sizes >= at)
-            for n in range(min(self.reach, at), 0, -1):
-                if not len(todo):
-                    break
-                hashes = sums[todo, at] - sums[todo, at - n] * powers[n]
-                hashes[hashes == 0] = 1
-                piece = self._texts.get(hashes)
-                if n == 1:
-                    piece[piece < 0] = _LONE
-                here = np.flatnonzero(piece >= 0)
-                rows, piece = todo[here], piece[here]
-                if at > n:
-                    fit = self._fitting(last[rows, at - n], piece)
-                    rows, piece, here = rows[fit], piece[fit], here[fit]
-                last[rows, at], length[rows, at] = piece, n
-                todo = np.delete(todo, here)
-        places, stop = np.full((count, most + 1), -1, np.int32), sizes.copy()
-        step = most
-        while stop.any():
-            rows = np.flatnonzero(stop > 0)
-            places[rows, step] = last[rows, stop[rows]]
-            stop[rows] -= length[rows, stop[rows]]
-            step -= 1
-        out = []
-        lone = (places == _LONE).any(axis=1)
-        for unit, row, odd in zip(units, places, lone.tolist()):
-            if odd:
-                path = self.forward(unit, 0, len(unit))
-                out.append(np.array(self.ids(self.traced(path, 0, len(unit))), "<i4").tobytes())
-            else:
-                out.append(row[row >= 0].astype("<i4").tobytes())
-        return out
-
-    def _fitting(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys = (left.astype(np.uint64) << np.uint64(32)) + right.astype(np.uint64) + np.uint64(1)
-        fit = self._pairs.get(keys)
-        free = (left == _LONE) | (right == _LONE)
-        fit[free] = 1
-        new = np.unique(keys[fit < 0])
-        if len(new):
-            pairs = [(int(k - 1) >> 32, int(k - 1) & 2**32 - 1) for k in new.tolist()]
-            self._pairs.put(new, np.array([self._apart(self.piece[a], self.piece[b]) for a, b in pairs], np.int32))
-            fit[fit < 0] = self._pairs.get(keys[fit < 0])
-        return np.flatnonzero(fit == 1)
-
-    def cuts(self, codes: np.ndarray) -> np.ndarray:
-        """Places of a text where one piece must end and another begin."""
-        pairs = codes[:-1].astype(np.int64) << 21 | codes[1:]
-        at = np.minimum(np.searchsorted(self._glued, pairs), len(self._glued) - 1)
-        return np.flatnonzero(self._glued[at] != pairs) + 1
-
-    def word(self, unit: str) -> bytes:
-        held = self._words.get(unit)
-        if held is None:
-            last = self.forward(unit, 0, len(unit))
-            held = np.array(self.ids(self.traced(last, 0, len(unit))), "<i4").tobytes()
-            if len(unit) <= self.longest:
-                if len(self._words) >= self.most:
-                    self._words.clear()
-                self._words[unit] = held
-        return held
-
-    def encode(self, marked: str) -> bytes:
-        """Ids of a text that begins with a space mark."""
-        return b"".join(map(self.word, _UNITS.findall(marked)))
+    def _solve(self, units: list[str]) -> list[bytes]:
+        # The library puts one mark in front, but not before nothing.
+        found = self.library.encode([u[1:].replace(MARK, " ") for u in units], num_threads=1)
+        alone = self.ids([MARK])
+        found = [alone if u == MARK else ids for u, ids in zip(units, found)]
+        raw = np.array([i for ids in found for i in ids], "<i4").tobytes()
+        stops = (4 * np.cumsum([len(ids) for ids in found])).tolist()
+        return [raw[a:b] for a, b in zip([0, *stops[:-1]], stops)]
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids, with the space that encoding puts in front taken away."""
@@ -375,17 +231,13 @@ class Chunk:
         model, text = self.model, self.text
         entries, exits = self.states(self.a), self.states(self.b)
         best = np.full((len(entries), len(exits)), -np.inf)
-        ways = None
-        if self.cuts:
-            tail = model.forward(text, self.cuts[-1], self._end())
-            ways = self._leaving(tail, exits)
-            if not self.final and self.cuts[-1] == self.b:
-                # The state ends at the cut: the last piece of the word before it.
-                ways = None
+        # A state that ends at the cut is the last piece of the word before it.
+        cuts = [c for c in self.cuts if c < self.b]
+        ways = self._leaving(model.forward(text, cuts[-1], self._end()), exits) if cuts else []
         for i, (start, stop) in enumerate(entries):
-            if ways is not None and stop <= self.cuts[0]:
-                head = model.forward(text, stop, self.cuts[0], text[start:stop])
-                if self.cuts[0] in head:
+            if cuts and stop <= cuts[0]:
+                head = model.forward(text, stop, cuts[0], text[start:stop])
+                if cuts[0] in head:
                     best[i, ways] = 0.0
             else:
                 best[i, self._leaving(self._path(start, stop), exits)] = 0.0
@@ -405,14 +257,16 @@ class Chunk:
                 at = cut
         return last
 
-    def traced(self, entry: Node, exit_: Node) -> list[int]:
-        """Ids of the pieces behind the entry state, up to the exit state."""
-        last = self._path(*entry)
-        out, at = [], exit_[1]
-        while at > entry[1]:
-            out.append(last[at])
-            at -= len(last[at])
-        return self.model.ids(out[::-1])
+    def traced(self, entry: Node, exit_: Node) -> tuple[list[int], str, list[int]]:
+        """What is behind the entry state, up to the exit state: ids, whole words (as text with marks), ids."""
+        model, text = self.model, self.text
+        cuts = [c for c in self.cuts if entry[1] <= c <= exit_[0]]
+        if len(cuts) < 2:
+            return model.ids(model.traced(self._path(*entry), entry[1], exit_[1])), "", []
+        first, last = cuts[0], cuts[-1]
+        head = model.traced(model.forward(text, entry[1], first, text[slice(*entry)]), entry[1], first)
+        tail = model.traced(model.forward(text, last, exit_[1]), last, exit_[1])
+        return model.ids(head), text[first:last], model.ids(tail)
 
 
 def max_plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -431,14 +285,58 @@ def prefix_products(matrices: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
-def chosen_states(matrices: list[np.ndarray]) -> list[int]:
-    """The state of each cut on the best path, from the first cut to the last."""
+def chosen_states(matrices: list[np.ndarray], first: int = 0, final: int = 0) -> list[int]:
+    """The state of each cut on the best path between states of the first and the last cut."""
     ahead = prefix_products(matrices)
-    states = [0]
-    for i in range(len(matrices) - 1, -1, -1):
-        before = ahead[i - 1][0] if i else np.zeros(1)
-        states.append(int((before + matrices[i][:, states[-1]]).argmax()))
-    return states[::-1]
+    states = [final]
+    for i in range(len(matrices) - 1, 0, -1):
+        states.append(int((ahead[i - 1][first] + matrices[i][:, states[-1]]).argmax()))
+    return [first, *states[::-1]]
+
+
+MATRICES = "row long, at long, entries array<int>, exits array<int>, best array<double>"
+CHOSEN = "row long, at long, entry int, exit int"
+
+
+def _matrices(rows: list[dict]) -> list[np.ndarray]:
+    return [np.array(r["best"]).reshape(len(r["entries"]) // 2, -1) for r in rows]
+
+
+def scanned(matrices: DataFrame, fan: int = 256) -> DataFrame:
+    """row, at, and which entry and exit state each matrix has on its document's best path.
+
+    Up to ``fan`` consecutive matrices of a document are combined by a task at a time, as
+    often as it takes, and the states are picked from the whole down to the parts.
+    """
+
+    def product(table: pa.Table) -> pa.Table:
+        rows = table.sort_by("at").to_pylist()
+        whole = prefix_products(_matrices(rows))[-1]
+        row = {"row": rows[0]["row"], "at": rows[0]["at"] // fan, "entries": rows[0]["entries"], "exits": rows[-1]["exits"], "best": whole.ravel().tolist()}
+        return pa.Table.from_pylist([row], table.schema)
+
+    def pick(parts: pa.Table, above: pa.Table) -> pa.Table:
+        rows, told = parts.sort_by("at").to_pylist(), above.to_pylist()
+        if not rows:
+            return pa.table({n: pa.array([], t) for n, t in (("row", pa.int64()), ("at", pa.int64()), ("entry", pa.int32()), ("exit", pa.int32()))})
+        states = chosen_states(_matrices(rows), *((told[0]["entry"], told[0]["exit"]) if told else (0, 0)))
+        return pa.table({
+            "row": pa.array([r["row"] for r in rows], pa.int64()), "at": pa.array([r["at"] for r in rows], pa.int64()),
+            "entry": pa.array(states[:-1], pa.int32()), "exit": pa.array(states[1:], pa.int32()),
+        })
+
+    levels = [matrices]
+    most = matrices.agg(F.max("at")).first()[0] or 0
+    while most >= fan:
+        groups = levels[-1].withColumn("over", F.floor(F.col("at") / fan)).groupBy("row", "over")
+        levels.append(materialise(groups.applyInArrow(lambda t: product(t.drop_columns("over")), MATRICES), "products"))
+        most //= fan
+    chosen = matrices.sparkSession.createDataFrame([], CHOSEN)
+    for level in reversed(levels):
+        over = F.floor(F.col("at") / fan)
+        parts = level.withColumn("over", over).groupBy("row", "over")
+        chosen = materialise(parts.cogroup(chosen.withColumn("over", F.col("at")).groupBy("row", "over")).applyInArrow(pick, CHOSEN), "states")
+    return chosen
 
 
 def encode(
@@ -488,39 +386,33 @@ def encode(
             for r in block.to_pylist():
                 entries, exits, best = chunk(model, r).matrix()
                 places = [[r["from"] + x for node in nodes for x in node] for nodes in (entries, exits)]
-                rows.append({"row": r["row"], "a": r["a"], "entries": places[0], "exits": places[1], "best": best.ravel().tolist()})
+                rows.append({"row": r["row"], "at": r["a"] // chunk_chars, "entries": places[0], "exits": places[1], "best": best.ravel().tolist()})
             yield pa.RecordBatch.from_pylist(rows, pa.schema([
-                ("row", pa.int64()), ("a", pa.int32()), ("entries", pa.list_(pa.int32())), ("exits", pa.list_(pa.int32())),
+                ("row", pa.int64()), ("at", pa.int64()), ("entries", pa.list_(pa.int32())), ("exits", pa.list_(pa.int32())),
                 ("best", pa.list_(pa.float64())),
             ]))
 
-    def scan(table: pa.Table) -> pa.Table:
-        rows = table.sort_by("a").to_pylist()
-        states = chosen_states([np.array(r["best"]).reshape(len(r["entries"]) // 2, -1) for r in rows])
-        node = lambda places, i: places[2 * i : 2 * i + 2]
-        return pa.table({
-            "row": table.column("row"), "a": pa.array([r["a"] for r in rows], pa.int32()),
-            "entry": pa.array([node(r["entries"], s) for r, s in zip(rows, states)], pa.list_(pa.int32())),
-            "exit": pa.array([node(r["exits"], s) for r, s in zip(rows, states[1:])], pa.list_(pa.int32())),
-        })
-
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
         for block in text_blocks(batches, "text"):
             rows = block.to_pylist()
+            found = []
+            for r in rows:
+                ends = [tuple(x - r["from"] for x in r[name][2 * r[at] : 2 * r[at] + 2]) for name, at in (("entries", "entry"), ("exits", "exit"))]
+                found.append(chunk(model, r).traced(*ends))
+            inner, stops = encoded_block(model, pa.array([words[1:].replace(MARK, " ") for _, words, _ in found], pa.string()))
             ids = [
-                chunk(model, r).traced(tuple(x - r["from"] for x in r["entry"]), tuple(x - r["from"] for x in r["exit"]))
-                for r in rows
+                np.concatenate([np.array(head, np.int32), inner[a:b], np.array(tail, np.int32)])
+                for (head, _, tail), a, b in zip(found, [0, *stops[:-1].tolist()], stops.tolist())
             ]
             yield pa.RecordBatch.from_arrays(
                 [block.column("row"), block.column("a"), pa.array(ids, pa.list_(pa.int32()))], names=["row", "a", "ids"]
             )
 
-    ends = (
-        cut.mapInArrow(matrices, "row long, a int, entries array<int>, exits array<int>, best array<double>")
-        .groupBy("row").applyInArrow(scan, "row long, a int, entry array<int>, exit array<int>")
-    )
-    parts = cut.join(ends, ["row", "a"]).mapInArrow(trace, "row long, a int, ids array<int>")
+    at = F.floor(F.col("a") / chunk_chars).cast("long")
+    weights = materialise(cut.mapInArrow(matrices, MATRICES), "matrices")
+    ends = scanned(weights).join(weights.drop("best"), ["row", "at"])
+    parts = cut.withColumn("at", at).join(ends, ["row", "at"]).mapInArrow(trace, "row long, a int, ids array<int>")
     joined = parts.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("a", "ids"))).alias("parts"))
     tall = long.select("row", "doc_id").join(joined, "row").select(
         "doc_id", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"), F.size("parts").alias("n_chunks")
@@ -533,49 +425,32 @@ def encoded_block(model: PieceModel, texts: pa.Array) -> tuple[np.ndarray, np.nd
     plain = pc.and_(
         pc.invert(pc.match_substring_regex(texts, f"  |^ | $|{MARK}")), pc.greater(pc.binary_length(texts), 0)
     ).to_numpy(zero_copy_only=False)
-    out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
-    rows = np.flatnonzero(plain)
-    if len(rows):
-        lists = pc.split_pattern(texts.filter(pa.array(plain)), " ")
-        coded = lists.flatten().dictionary_encode()
-        each = encoded_words(model, [MARK + w for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()])
-        flat = np.frombuffer(b"".join(each), "<i4")
-        length = np.fromiter(map(len, each), np.int64, len(each)) // 4
-        place = coded.indices.to_numpy()
-        taken = length[place]
-        stops = np.cumsum(taken)
-        start = (np.cumsum(length) - length)[place]
-        ids = flat[np.repeat(start - (stops - taken), taken) + np.arange(stops[-1])]
-        ends = stops[lists.offsets.to_numpy()[1:] - 1]
-        for row, part in zip(rows.tolist(), np.split(ids, ends[:-1])):
-            out[row] = part
-    for row in np.flatnonzero(~plain).tolist():
-        text = texts[row].as_py()
-        if text:
-            out[row] = np.frombuffer(model.encode(marked(text)), "<i4")
-    return np.concatenate([np.zeros(0, np.int32), *out]), np.cumsum([len(o) for o in out])
-
-
-def encoded_words(model: PieceModel, words: list[str]) -> list[bytes]:
-    """Ids of words; new ones are put together from the parts between their cuts."""
-    known = model.whole
-    new = [w for w in words if w not in known]
-    if new:
-        if len(known) + len(new) > model.most:
-            known.clear()
-            new = words
-        text = "".join(new)
-        ends = np.cumsum([len(w) for w in new])
-        cuts = np.union1d(model.cuts(np.frombuffer(text.encode("utf-32-le"), np.uint32)), ends)
-        parts = [text[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
-        model.learn(list(set(parts)))
-        solved = list(map(model.word, parts))
-        stops = (np.searchsorted(cuts, ends) + 1).tolist()
-        known.update(zip(new, [b"".join(solved[a:b]) for a, b in zip([0, *stops[:-1]], stops)]))
-    out = [known[w] for w in words]
-    for word in [w for w in new if len(w) > model.longest]:
-        del known[word]
-    return out
+    lists = pc.split_pattern(texts.filter(pa.array(plain)), " ")
+    rest = [_UNITS.findall(marked(t)) if t else [] for t in texts.filter(pa.array(~plain)).to_pylist()]
+    # Words of plain texts have no mark yet; units of the others have theirs, one or more.
+    words = pa.concat_arrays([
+        pc.binary_join_element_wise(pa.scalar(MARK), lists.flatten(), ""), pa.array([u for units in rest for u in units], pa.string()),
+    ])
+    coded = words.dictionary_encode()
+    each = model.words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+    flat = np.frombuffer(b"".join(each), "<i4")
+    length = np.fromiter(map(len, each), np.int64, len(each)) // 4
+    place = coded.indices.to_numpy()
+    taken = length[place]
+    stops = np.cumsum(taken)
+    start = (np.cumsum(length) - length)[place]
+    ids = flat[np.repeat(start - (stops - taken), taken) + np.arange(int(taken.sum()))]
+    if plain.all():
+        return ids, stops[lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py() - 1]
+    # Back in the order of the texts.
+    order = np.r_[np.flatnonzero(plain), np.flatnonzero(~plain)]
+    sizes = np.r_[pc.list_value_length(lists).to_numpy(), [len(units) for units in rest]].astype(np.int64)
+    ends = np.r_[0, stops][np.cumsum(sizes)]
+    parts = np.split(ids, ends[:-1])
+    out: list[np.ndarray] = [ids[:0]] * len(texts)
+    for row, part in zip(order.tolist(), parts):
+        out[row] = part
+    return np.concatenate(out), np.cumsum([len(o) for o in out])
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -598,16 +473,18 @@ def digests(encoded: DataFrame, model_path: str) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
         for batch in batches:
-            ids = [np.asarray(x, "<i4") if x is not None else np.zeros(0, "<i4") for x in batch.column("ids").to_numpy(zero_copy_only=False)]
-            texts = [model.decode(x) for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()), batch.column("n_chunks"),
-                    pa.array([len(t) for t in texts], pa.int64()), pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()),
-                ],
-                names=["doc_id", "n_ids", "ids_crc32", "n_chunks", "decoded_chars", "decoded_crc32"],
-            )
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                ids = [np.asarray(x, "<i4") if x is not None else np.zeros(0, "<i4") for x in part.column("ids").to_numpy(zero_copy_only=False)]
+                texts = [model.decode(x) for x in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
+                        pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()), part.column("n_chunks"),
+                        pa.array([len(t) for t in texts], pa.int64()), pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()),
+                    ],
+                    names=["doc_id", "n_ids", "ids_crc32", "n_chunks", "decoded_chars", "decoded_crc32"],
+                )
 
     return encoded.mapInArrow(
         digest, "doc_id long, n_ids long, ids_crc32 long, n_chunks int, decoded_chars long, decoded_crc32 long"
