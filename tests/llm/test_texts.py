@@ -280,7 +280,6 @@ def check_packing(rows, texts, capacity=4096):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r.doc_id].append(r)
@@ -305,7 +304,9 @@ def check_packing(rows, texts, capacity=4096):
 
 
 def test_packing_of_odd_texts(spark):
-    texts = [t for t in ODD if t is None or "Σ" not in t]
+    random = np.random.default_rng(11)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "a", "Word", "Σ", "ΑΣ", "é", "'s", " ", " ", "\n", "9", ".", "İ"]
+    texts = ODD + ["a <|endoftext|> b", "x<|startoftext|>y<|endoftext|><|endoftext|>."] + ["".join(random.choice(bits, 12)) for _ in range(300)]
     check_packing(packing.pack(table(spark, texts), WORDS).collect(), texts)
     assert packing.pack(table(spark, []), WORDS).count() == 0
 
@@ -350,6 +351,28 @@ def long_texts():
     return texts + ["ab" * 400, "a" * 777, " " * 500, "日" * 300, "abc " * 200, "no_space_" * 90]
 
 
+def test_matrices_are_scanned_in_groups(spark):
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    for doc, count in enumerate((1, 2, 3, 4, 9, 40)):
+        sizes = [1, *rng.integers(2, 5, count - 1), 1]
+        matrices = [np.where(rng.random((a, b)) < 0.7, rng.integers(0, 9, (a, b)) * 1.0, -np.inf) for a, b in zip(sizes, sizes[1:])]
+        for m in matrices:
+            m[0, 0] = 0.0
+        nodes = [[x for i in range(n) for x in (i, i)] for n in sizes]
+        rows += [(doc, i, nodes[i], nodes[i + 1], m.ravel().tolist()) for i, m in enumerate(matrices)]
+        want[doc] = (matrices, float(pieces.prefix_products(matrices)[-1][0, 0]))
+    table_ = spark.createDataFrame(rows, pieces.MATRICES)
+    for fan in (2, 3, 256):
+        found = defaultdict(list)
+        for r in sorted(pieces.scanned(table_, fan).collect(), key=lambda r: (r.row, r.at)):
+            found[r.row].append((r.entry, r.exit))
+        for doc, (matrices, best) in want.items():
+            path = found[doc]
+            assert all(a[1] == b[0] for a, b in zip(path, path[1:])) and len(path) == len(matrices)
+            assert sum(m[i, j] for m, (i, j) in zip(matrices, path)) == best
+
+
 @pytest.mark.parametrize("chunk", [64, 150, 16_384])
 def test_pieces_equal_the_library(spark, library, chunk):
     texts = [t for t in ODD] + long_texts()

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import materialise, split_count, text_blocks
+from tripmart.llm.common import Recent, materialise, split_count, text_blocks
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, slot long"
@@ -52,78 +52,75 @@ class WordIds:
     For lower-casing tokenizers that drop white space, never join across it and
     end the last token of a piece with a suffix: a text's ids are those of its
     words in turn.  Words of letters, also with ASCII marks behind them, are
-    encoded many at a time and told apart by the suffix; other words go by their
-    offsets.  The store of words is emptied when full, so its memory is bounded.
+    encoded many at a time and told apart by the suffix; other words, such as those
+    that spell an added token, go by their offsets.  The stores of words have two
+    generations, so their memory is bounded and frequent words stay.
     """
 
-    def __init__(self, tokenizer, suffix: str, most: int = 150_000, longest: int = 64):
-        self._tokenizer, self._most, self._longest = tokenizer, most, longest
+    def __init__(self, tokenizer, suffix: str, most: int = 120_000, longest: int = 64):
+        self._tokenizer, self._longest = tokenizer, longest
         vocabulary = tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        self._known: dict[str, bytes] = {}
-        self._cores: dict[str, bytes] = {}
+        self._known, self._cores = Recent(most), Recent(most // 2)
 
-    def _letters(self, cores: list[str]) -> None:
+    def _short(self, word: str) -> bool:
+        return len(word) <= self._longest
+
+    def _letters(self, cores: list[str]) -> list[bytes]:
         """Ids of words that are one piece each."""
+        out = []
         for i in range(0, len(cores), 2000):
             part = cores[i : i + 2000]
             coded = self._tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
             ids = np.asarray(coded.ids, "<u4")
             stops = np.flatnonzero(self._ends[ids]) + 1
             if len(stops) != len(part):
-                self._by_offset(part, self._cores)
+                out += self._by_offset(part)
                 continue
             raw, to = ids.tobytes(), (4 * stops).tolist()
-            self._cores.update(zip(part, [raw[x:y] for x, y in zip([0, *to], to)]))
+            out += [raw[x:y] for x, y in zip([0, *to], to)]
+        return out
 
-    def _by_offset(self, words: list[str], store: dict[str, bytes]) -> None:
+    def _by_offset(self, words: list[str]) -> list[bytes]:
+        out = []
         for i in range(0, len(words), 1000):
             part = words[i : i + 1000]
             coded = self._tokenizer.encode(" ".join(part), add_special_tokens=False)
             starts = np.array([o[0] for o in coded.offsets], np.int64)
             to = (4 * np.searchsorted(starts, np.cumsum([len(w) + 1 for w in part]))).tolist()
             raw = np.asarray(coded.ids, "<u4").tobytes()
-            store.update(zip(part, [raw[x:y] for x, y in zip([0, *to], to)]))
+            out += [raw[x:y] for x, y in zip([0, *to], to)]
+        return out
 
-    def _learn(self, words: list[str]) -> None:
-        cores = self._cores
+    def _learn(self, words: list[str]) -> list[bytes]:
         whole, lows, tails, odd = [], [], [], []
-        for word in words:
+        for place, word in enumerate(words):
             core = word.rstrip(_MARKS)
             low = core.lower()
             # A capital sigma at the end of a word is lowered in another way by the tokenizer.
             if low.isalpha() and (low.isascii() or ("\u03a3" not in core and is_normalized("NFC", low))):
-                whole.append(word)
+                whole.append(place)
                 lows.append(low)
                 tails.append(word[len(core) :])
-            else:
-                odd.append(word)
-        self._letters(list(set(lows).difference(cores)))
-        self._by_offset(list(set(tails).difference(cores, [""])), cores)
-        cores[""] = b""
-        self._by_offset(odd, self._known)
-        heads = map(cores.__getitem__, lows)
-        self._known.update(zip(whole, map(bytes.__add__, heads, map(cores.__getitem__, tails))))
+            elif word:
+                odd.append(place)
+        heads, ends = list(set(lows)), [t for t in set(tails) if t]
+        core_of = dict(zip(heads, self._cores.values(heads, self._letters, self._short)))
+        tail_of = dict(zip(ends, self._cores.values(ends, self._by_offset, self._short))) | {"": b""}
+        out = [b""] * len(words)
+        for place, low, tail in zip(whole, lows, tails):
+            out[place] = core_of[low] + tail_of[tail]
+        for place, ids in zip(odd, self._by_offset([words[i] for i in odd])):
+            out[place] = ids
+        return out
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text ends."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        known = self._known
-        fresh = [w for w in words if w not in known]
-        if fresh:
-            if len(known) + len(fresh) > self._most:
-                known.clear()
-                self._cores.clear()
-                fresh = words
-            self._learn([w for w in fresh if w])
-            known[""] = b""
-        each = [known[w] for w in words]
-        for word in [w for w in fresh if len(w) > self._longest]:
-            del known[word]
-            self._cores.pop(word.rstrip(_MARKS).lower(), None)
+        each = self._known.values(words, self._learn, self._short)
         flat = np.frombuffer(b"".join(each), "<u4")
         length = np.fromiter(map(len, each), np.int64, len(each)) // 4
         place = coded.indices.to_numpy()
@@ -142,7 +139,6 @@ def tokenizer_words(path: str, suffix: str = "</w>") -> WordIds:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     tokenizer = Tokenizer.from_file(path)
     tokenizer.model._resize_cache(0)  # words are kept here
-    tokenizer.encode_special_tokens = True  # text is data, also where it spells a marker
     return WordIds(tokenizer, suffix)
 
 
