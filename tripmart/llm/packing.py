@@ -57,7 +57,7 @@ class WordIds:
     generations, so their memory is bounded and frequent words stay.
     """
 
-    def __init__(self, tokenizer, suffix: str, most: int = 120_000, longest: int = 64):
+    def __init__(self, tokenizer, suffix: str, most: int = 200_000, longest: int = 64):
         self._tokenizer, self._longest = tokenizer, longest
         vocabulary = tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
