@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import Recent, materialise, text_blocks
+from tripmart.llm.common import Recent, materialise, split_count, text_blocks
 
 MARK = "▁"
 ENCODED = "doc_id long, ids array<int>, n_chunks int"
@@ -65,7 +65,7 @@ class PieceModel:
         self.reach = max(map(len, self.id))
         if any(MARK in p.lstrip(MARK) for p in self.id) or self.reach > 32:
             raise ValueError("pieces with a space mark inside, or of more than 32 characters, are not supported")
-        self._edges: dict[str, tuple | None] = {}
+        self._edges: dict[str, tuple] = {}
         self._fits: dict[tuple[str, str], bool] = {}
         self._words, self._longest = Recent(most), longest
         self.stable = {p for p in self.id if self.edges(p) is not None}  # encoded as themselves
@@ -75,8 +75,8 @@ class PieceModel:
 
         None if the piece's own text is encoded in another way.
         """
-        held = self._edges.get(piece, False)
-        if held is not False:
+        held = self._edges.get(piece)
+        if held is not None:
             return held
         symbols, steps, firsts, lasts = list(piece), [], [piece[0]], [piece[-1]]
         while len(symbols) > 1:
@@ -92,7 +92,10 @@ class PieceModel:
             firsts.append(symbols[0])
             lasts.append(symbols[-1])
         found = (steps, firsts, lasts) if len(symbols) == 1 else None
-        self._edges[piece] = found
+        if found:
+            if len(self._edges) >= 4000:
+                self._edges.clear()
+            self._edges[piece] = found
         return found
 
     def fits(self, left: str, right: str) -> bool:
@@ -373,8 +376,9 @@ def encode(
         .select("row", "a", "b", "from", (F.col("b") == F.col("size")).alias("final"),
                 F.substring("marked", F.col("from") + 1, F.col("b") + reach - F.col("from")).alias("text"))
     )
-    spread = long.sparkSession.sparkContext.defaultParallelism
-    cut = materialise(cut.repartition(max(spread, 8), "row", "a"), "chunks")
+    # Some megabytes of text in a partition.
+    chunks = long.agg(F.sum(F.ceil((F.length("text") + 1) / chunk_chars))).first()[0] or 0
+    cut = materialise(cut.repartition(split_count(chunks, max(1, (8 << 20) // chunk_chars), least=8), "row", "a"), "chunks")
 
     def chunk(model: PieceModel, r: dict) -> Chunk:
         return Chunk(model, r["text"], r["a"] - r["from"], r["b"] - r["from"], r["a"] == 0, r["final"])
