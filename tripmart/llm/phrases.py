@@ -3,8 +3,8 @@
 Counts of all phrases of up to four words come from suffix trees truncated at that
 depth, built by vertical partitioning as in ERA (Mansour, Allam, Skiadopoulos and
 Kalnis, 2011).  A word's suffix is the word and up to three that follow it in its piece.
-Suffixes are divided by prefixes: a word whose suffixes would exceed the memory
-budget is extended by the next word, such a pair again, until every prefix is
+Suffixes are divided by prefixes: two words whose suffixes would exceed the memory
+budget are extended by the next word, and three such words again, until every prefix is
 small enough; prefixes are then grouped, by a histogram over their hashes, into
 groups of about the budget.  Every chunk of texts sends its distinct suffixes, with
 their number, to the group of their prefix.  A group sorts them, which is its
@@ -14,8 +14,9 @@ leaves below it.  Counts of the prefixes that were extended are known from divid
 The budget grows with the corpus once there would be more than ``MOST_GROUPS``
 groups, so extended prefixes, of which each takes more than a budget of suffixes,
 can be sent to all tasks.  A suffix ends where two neighbours are too rare for any candidate: hashes of
-neighbours are counted first, and bit tables of bounded size tell which words
-and which two neighbours may be frequent (a wrong yes costs shuffle only).
+neighbours are counted first, which gives the sizes of the shortest prefixes too, and bit
+tables of bounded size tell which words and which two neighbours may be frequent
+(a wrong yes costs shuffle only).
 
 Words are told apart by 64-bit hashes of language and word; the table of words is searched for
 two words with one hash, and if there are any, all is done with other hashes.
@@ -95,6 +96,13 @@ def _prefix_hashes(keys: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _within(held: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes are among the sorted ones held."""
+    if not len(held):
+        return np.zeros(len(hashes), bool)
+    return held[np.minimum(np.searchsorted(held, hashes), len(held) - 1)] == hashes
+
+
 def _combined(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct columns of ``keys`` and how often each occurs."""
     name = _prefix_hashes(keys)[-1]
@@ -128,23 +136,21 @@ class Division:
     seed: int
     words: Bits
     pairs: Bits | None = None
-    heavy: list[np.ndarray] = field(default_factory=list)  # sorted hashes of extended prefixes of 1, 2, 3 words
-    counts: list[np.ndarray] = field(default_factory=list)  # and their counts
+    large: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # kept hashes of neighbours above the budget
+    heavy: dict[int, np.ndarray] = field(default_factory=dict)  # by length, sorted hashes of extended prefixes
+    counts: dict[int, np.ndarray] = field(default_factory=dict)  # and their counts
     group: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int32))
 
     def extended(self, level: int, hashes: np.ndarray) -> np.ndarray:
         """Which prefixes of ``level`` words are extended."""
-        if level > len(self.heavy) or not len(self.heavy[level - 1]):
-            return np.zeros(len(hashes), bool)
-        held = self.heavy[level - 1]
-        return held[np.minimum(np.searchsorted(held, hashes), len(held) - 1)] == hashes
+        return _within(self.heavy.get(level, hashes[:0]), hashes)
 
     def count(self, level: int, hashes: np.ndarray) -> np.ndarray:
         """Counts of extended prefixes; any number for others."""
-        if level > len(self.heavy) or not len(self.heavy[level - 1]):
+        held = self.heavy.get(level)
+        if held is None or not len(held):
             return np.zeros(len(hashes), np.int64)
-        held = self.heavy[level - 1]
-        return self.counts[level - 1][np.minimum(np.searchsorted(held, hashes), len(held) - 1)]
+        return self.counts[level][np.minimum(np.searchsorted(held, hashes), len(held) - 1)]
 
     def neighbours(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Places whose word and the next of its piece may both be frequent, and the hashes of the two."""
@@ -221,8 +227,8 @@ def _bit_table(rows: DataFrame, count: int) -> Bits:
     return Bits(table.view(np.uint8), log_bits)
 
 
-def _pair_bits(texts: DataFrame, plan: Broadcast, least: int) -> Bits:
-    """Bits of the neighbours whose hash has ``least`` occurrences, which are all frequent ones and few others."""
+def _pair_counts(texts: DataFrame, plan: Broadcast, least: int) -> DataFrame:
+    """Hashes of neighbours with ``least`` occurrences, which are those of all frequent ones and few others."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         division = plan.value
@@ -231,28 +237,29 @@ def _pair_bits(texts: DataFrame, plan: Broadcast, least: int) -> Bits:
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int32))], names=["h", "n"])
 
     counted = texts.mapInArrow(count, "h long, n int").groupBy("h").agg(F.sum("n").alias("n"))
-    often = materialise(counted.where(F.col("n") >= least).select("h"), "neighbours")
-    return _bit_table(often, often.count())
+    return materialise(counted.where(F.col("n") >= least), "neighbours")
 
 
 def _level_table(texts: DataFrame, plan: Broadcast, level: int) -> DataFrame:
-    """Prefixes one word longer than ``level`` whose first ``level`` words are an extended prefix: keys, hash and count."""
+    """Prefixes one word longer than an extended prefix of ``level`` words (at 2, these too): keys, hash and count."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         division = plan.value
         for block in text_blocks(batches, "text", BLOCK_BYTES):
             keys = division.suffixes(words_of(block, division.seed))
-            keys = keys[: level + 1, keys[level] != 0]
-            for above in range(1, level + 1):
-                keys = keys[:, division.extended(above, _prefix_hashes(keys[:above])[-1])]
-            keys, counts = _combined(keys)
-            full = np.zeros((DEPTH, keys.shape[1]), np.uint64)
-            full[: level + 1] = keys
-            name = _prefix_hashes(keys)[level]
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(k.view(np.int64)) for k in full), pa.array(name.view(np.int64)), pa.array(counts.astype(np.int64))],
-                names=[*_KEYS, "h", "n"],
-            )
+            names = _prefix_hashes(keys)
+            keys = keys[:, _within(division.large, names[1] & _PAIR)]
+            if level > 2:
+                keys = keys[:, division.extended(level, _prefix_hashes(keys)[level - 1])]
+            parts = [keys[: level + 1, keys[level] != 0]] + ([keys[:2]] if level == 2 else [])
+            for part in parts:
+                part, counts = _combined(part)
+                full = np.zeros((DEPTH, part.shape[1]), np.uint64)
+                full[: len(part)] = part
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(k.view(np.int64)) for k in full), pa.array(_prefix_hashes(part)[-1].view(np.int64)), pa.array(counts.astype(np.int64))],
+                    names=[*_KEYS, "h", "n"],
+                )
 
     rows = texts.mapInArrow(count, "k1 long, k2 long, k3 long, k4 long, h long, n long")
     return materialise(rows.groupBy(*_KEYS, "h").agg(F.sum("n").alias("n")), f"prefixes-{level + 1}")
@@ -261,30 +268,41 @@ def _level_table(texts: DataFrame, plan: Broadcast, level: int) -> DataFrame:
 def _divided(texts: DataFrame, words: DataFrame, least: int, budget: int, seed: int) -> tuple[Division, list[DataFrame]] | None:
     """Extended prefixes, groups, and the tables of counted longer prefixes; None if two extended prefixes share a hash."""
     sc = texts.sparkSession.sparkContext
-    frequent = words.where(F.col("word") != "")
-    total, count = frequent.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    frequent = words.where(F.col("word") != "").select(F.col("key").alias("h"))
+    division = Division(seed, _bit_table(frequent, frequent.count()))
+    often = _pair_counts(texts, sc.broadcast(division), least)
+    total, count = often.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    division.pairs = _bit_table(often, count)
     budget = max(budget, -(-total // MOST_GROUPS))
-    division = Division(seed, _bit_table(frequent.select(F.col("key").alias("h")), count))
-    division.pairs = _pair_bits(texts, sc.broadcast(division), least)
     log_groups = min(MOST_GROUPS.bit_length() - 1, max(3, (8 * total // budget).bit_length()))
     load = np.zeros(1 << log_groups, np.int64)
-    tables = []
-    level_rows = frequent.select(F.col("key").alias("h"), "n")
-    for level in range(1, DEPTH):
-        held = level_rows.where(F.col("n") > budget).toArrow()
+
+    def loaded(rows: DataFrame) -> None:
+        light = rows.where(F.col("n") <= budget).groupBy(F.shiftrightunsigned("h", 64 - log_groups).alias("at")).agg(F.sum("n").alias("n")).toArrow()
+        load[light.column("at").to_numpy()] += light.column("n").to_numpy()
+
+    def sorted_hashes(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        held = rows.select("h", "n").toArrow()
         hashes, counts = held.column("h").to_numpy().view(np.uint64), held.column("n").to_numpy()
         order = np.argsort(hashes)
-        division.heavy.append(hashes[order])
-        division.counts.append(counts[order])
-        light = level_rows.where(F.col("n") <= budget).groupBy(F.shiftrightunsigned("h", 64 - log_groups).alias("at")).agg(F.sum("n").alias("n")).toArrow()
-        load[light.column("at").to_numpy()] += light.column("n").to_numpy()
-        if not len(hashes):
-            break
-        tables.append(_level_table(texts, sc.broadcast(division), level))
-        level_rows = tables[-1].select("h", "n")
-        shared = level_rows.groupBy("h").agg(F.count("*").alias("rows"), F.max("n").alias("most"))
-        if not shared.where(f"rows > 1 AND most > {budget}").isEmpty():
-            return None
+        return hashes[order], counts[order]
+
+    loaded(often)
+    division.large = sorted_hashes(often.where(F.col("n") > budget))[0]
+    tables = []
+    if len(division.large):
+        tables.append(_level_table(texts, sc.broadcast(division), 2))
+        longer = tables[0].where("k3 <> 0")
+        loaded(longer)
+        for level, rows in ((2, tables[0].where("k3 = 0")), (3, longer.where(F.col("n") > budget))):
+            division.heavy[level], division.counts[level] = sorted_hashes(rows)
+            if (division.heavy[level][1:] == division.heavy[level][:-1]).any():
+                return None
+        if len(division.heavy[3]):
+            same = longer.groupBy("h").agg(F.count("*").alias("rows"), F.max("n").alias("most"))
+            if not same.where(f"rows > 1 AND most > {budget}").isEmpty():
+                return None
+            tables.append(_level_table(texts, sc.broadcast(division), 3))
     running = np.cumsum(load)
     division.group = (np.maximum(running - 1, 0) // budget).astype(np.int32)
     return division, tables
@@ -299,9 +317,9 @@ def _sent(texts: DataFrame, plan: Broadcast) -> DataFrame:
             keys, counts = _combined(division.suffixes(words_of(block, division.seed)))
             # The hash of the shortest prefix that is not extended; what ends before it is counted already.
             names, goes = _prefix_hashes(keys), np.zeros(keys.shape[1], bool)
-            chosen = names[0].copy()
+            chosen = names[1].copy()
             open_ = np.ones(keys.shape[1], bool)
-            for level in range(1, DEPTH):
+            for level in range(2, DEPTH):
                 there = open_ & (keys[level - 1] != 0)
                 further = there & division.extended(level, names[level - 1])
                 stays = there & ~further
@@ -326,9 +344,9 @@ def subtree_nodes(keys: np.ndarray, n: np.ndarray, division: Division, least: in
         changed[1:] |= keys[d, 1:] != keys[d, :-1]
         first = np.flatnonzero(changed)
         whole = np.add.reduceat(n, first) if len(first) else n[:0]
-        if d < DEPTH - 1:
+        if 0 < d < DEPTH - 1:
             far = division.extended(d + 1, names[d][first])
-            if d:
+            if d > 1:
                 far &= known[-1][np.searchsorted(starts[-1], first, "right") - 1]
             whole = np.where(far, division.count(d + 1, names[d][first]), whole)
         else:
@@ -365,8 +383,8 @@ def _subtrees(plan: Broadcast, least: int):
             keys = np.stack([table.column(k).to_numpy().view(np.uint64) for k in _KEYS])
             # What shares its prefix with the last suffix waits for the next batches.
             last, names = keys[:, -1], _prefix_hashes(keys[:, -1:])
-            same = np.ones(keys.shape[1], bool)
-            for level in range(1, DEPTH):
+            same = keys[0] == last[0]
+            for level in range(2, DEPTH):
                 same &= keys[level - 1] == last[level - 1]
                 if not division.extended(level, names[level - 1])[0]:
                     break
