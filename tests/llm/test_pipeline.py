@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripmart.llm import language, packing, partenum, quality
+from tripmart.llm import language, packing, quality
 
 
 @pytest.fixture(scope="module")
@@ -46,8 +46,8 @@ def test_stages_keep_rows_and_columns(spark, folder):
     good = quality.scored(first, net).where("score >= 0.5 AND doc_id IS NOT NULL").select("doc_id").distinct().count()
     second = spark.read.parquet(f"{folder}/kept-quality.parquet")
     assert abs(good - second.where("doc_id IS NOT NULL").select("doc_id").distinct().count()) <= 3  # learned from fewer rows
-    leaders = partenum.similar_groups(second).where("component_id = doc_id")
-    assert {r.doc_id for r in leaders.collect()} == {i for i in ids if i is not None}
+    texts = {r.doc_id: r.text for r in second.where("doc_id IS NOT NULL").collect()}
+    assert brute_leaders(texts, 5, 80) == {i for i in ids if i is not None}
 
 
 def test_run_packs_what_the_stages_keep(spark, folder):
@@ -106,6 +106,31 @@ def test_near_duplicates_go_by_id_and_text(spark):
     assert len(unnamed) == 1 and unnamed[0][1].startswith(four)
 
 
+def test_row_keys_tell_nulls_and_places_apart(spark):
+    rows = [(1, None, "a"), (1, "a", None), (1, "a", "a"), (None, "a", "a"), (1, "", "a"), (None, None, None), (1, "a", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    keys = [r[0] for r in corpus_pipeline.keyed(docs, "doc_id", "text", "source").select(corpus_pipeline.ROW).collect()]
+    assert len(set(keys)) == 6 and keys[2] == keys[6]
+    with pytest.raises(ValueError):
+        corpus_pipeline.keyed(docs.withColumn(corpus_pipeline.ROW, F.lit(1)), "doc_id")
+
+
+def test_clashing_names_ties_and_a_very_long_text(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 60")
+    first = docs.where("length(text) > 300").orderBy("doc_id").first()
+    long = spark.createDataFrame([(70, (first.text + " ") * 400, first.lang, first.source, 1), (71, first.text, first.lang, first.source, 1)], docs.schema)
+    wide = docs.unionByName(long).withColumns({name: F.lit(7) for name in ("component_id", "score", "rejected", "sign", "row", "id", "key")})
+    wide.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{folder}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    got = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, got, str(tmp_path))
+        assert got.columns == wide.columns
+    ids = {r.doc_id for r in got.collect()}
+    assert 71 not in ids or first.doc_id not in ids
+    assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == len(ids)
+
+
 def test_empty_documents(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     docs.write.parquet(str(tmp_path / "documents.parquet"))

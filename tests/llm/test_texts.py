@@ -165,20 +165,32 @@ def test_all_pairs_equal_brute_force(spark, monkeypatch, block):
     assert got == wanted and set(of) == set(ids)
 
 
-def test_similar_sets_share_a_signature():
-    """Pairs at the very threshold, in all sizes and across bands."""
+@pytest.mark.parametrize("similarity", [90, 80])
+def test_similar_sets_share_a_signature(similarity):
+    """Different sets at the very threshold, in all sizes and across bands."""
     rng = np.random.default_rng(5)
-    for size in [*range(1, 60), 150, 500, 2000]:
+    for size in [*range(1, 130), 150, 300, 500, 2000]:
         for _ in range(6):
             shared = rng.integers(0, 2**63, size, np.uint64)
-            spare = (10 * size // 9 - size) if size >= 9 else 0  # union may be this much larger
+            spare = (100 - similarity) * size // similarity  # union may be this much larger
             left = int(rng.integers(0, spare + 1))
             a = np.unique(np.r_[shared, rng.integers(0, 2**63, left, np.uint64)])
             b = np.unique(np.r_[shared, rng.integers(0, 2**63, spare - left, np.uint64)])
             both, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
-            assert 100 * both >= 90 * union
-            x, y = partenum.signatures([a, b], 90)
-            assert len(np.intersect1d(x, y)), (size, left, spare)
+            assert 100 * both >= similarity * union
+            x, y = partenum.signatures([a, b], similarity)
+            assert both == union or len(np.intersect1d(x, y)), (size, left, spare)
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 30, 200, 1000])
+def test_unrelated_sets_share_next_to_nothing(size):
+    rng = np.random.default_rng(size)
+    count = 4000 if size <= 200 else 1000
+    for similarity in (90, 80):
+        signs = partenum.signatures([np.unique(rng.integers(0, 2**63, size, np.uint64)) for _ in range(count)], similarity)
+        _, held = np.unique(np.concatenate(signs), return_counts=True)
+        # Signatures that two of them share, against all of their pairs.
+        assert (held.astype(float) * (held - 1) / 2).sum() <= 0.001 * count * (count - 1) / 2
 
 
 def test_jaccard_empty_and_repeated(spark):

@@ -3,13 +3,18 @@
 A document is the set of its distinct word n-grams.  Sets whose sizes allow the
 wanted similarity meet in a size band; within a band, similarity bounds the
 number of n-grams in which two sets differ.  The n-gram domain is split by hash into
-first-level partitions, so that similar sets differ at most once in one of
-them, and each of these into three parts, of which two are then equal: each
-pair of parts is a signature (PartEnum; Arasu, Ganti and Kaushik, 2006).  Similar
-sets therefore share a signature; sharing one is verified on the sets.
+first-level partitions, so that similar sets differ at most a few times in one of
+them, and each of these into parts, of which all but so many are then equal: each
+choice of these is a signature (PartEnum; Arasu, Ganti and Kaushik, 2006).  Similar
+sets therefore share a signature; sharing one is verified on the sets.  A band in which
+similar sets are equal has no signatures; where they differ once at most, they are the set
+and the set without one n-gram.  A signature of parts without n-grams would be
+shared by sets that have nothing in common: there are some more partitions than needed, so
+that similar sets agree in as many more, and a set with no more empty partitions than that
+leaves such signatures out.
 
 Equal sets are one class from the start, and only classes take part in what
-follows.  First every class meets the smallest and the largest class of each of
+follows: their signatures are shuffled once, and those of one class alone end there.  First every class meets the smallest and the largest class of each of
 its signatures (stars, so linear in the group).  Then classes that share a
 signature and are still in different components meet each other, in blocks of
 bounded size, so a signature of very many classes is spread over tasks.  Pairs
@@ -28,19 +33,21 @@ other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
+from itertools import combinations
+from math import comb, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import materialise, text_blocks
 from tripmart.llm.components import components
 from tripmart.llm.grams import chained, mixed, word_hashes
 
-SETS = (
-    "doc_id long, n_shingles long, first long, second long, sketch array<long>, signatures array<long>"
-)
+SETS = "doc_id long, n_shingles long, first long, second long, sketch array<long>"
 BAND = 1.3
 SKETCH_BITS = 1024
 BLOCK = 1500
@@ -82,6 +89,63 @@ def most_apart(size: np.ndarray, similarity: int) -> np.ndarray:
     return 2 * size * (100 - similarity) // (100 + similarity)
 
 
+@dataclass(frozen=True)
+class Scheme:
+    """First-level partitions, parts of each, how many parts may differ, and partitions beyond those needed."""
+
+    partitions: int
+    parts: int
+    differ: int
+    spare: int
+
+
+@lru_cache(maxsize=4096)
+def scheme_of(limit: int, apart: int) -> Scheme | None:
+    """For sets up to ``limit`` that differ in up to ``apart`` n-grams: the smaller the sets, the more of their n-grams go into a signature."""
+    if apart < 2:
+        return None
+    differ, parts = (apart, apart + 4) if apart < 4 else (3, 7) if apart < 8 else (2, 6) if apart < 24 else (1, 3)
+    needed = apart // (differ + 1) + 1
+    # Empty signatures of a set somewhat below the band, and what makes more than that unlikely.
+    filled = 0.85 * limit / BAND / needed * (parts - differ) / parts
+    empty = comb(parts, differ) * needed * exp(-filled)
+    spare = min(int(empty + 4 * sqrt(empty)), needed) if parts == 3 else 0
+    return Scheme(needed + spare, parts, differ, spare)
+
+
+def _part_signatures(sets: list[np.ndarray], band: np.ndarray, schemes: list[Scheme]) -> list[np.ndarray]:
+    """Signatures of sets whose schemes have the same parts."""
+    parts, differ = schemes[0].parts, schemes[0].differ
+    sizes = np.array([len(s) for s in sets])
+    count = np.array([scheme.partitions for scheme in schemes])
+    bases = np.cumsum(count) - count
+    value = mixed(np.concatenate(sets) ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    first = (value >> np.uint64(20)).astype(np.int64) % count[owner]
+    place = (bases[owner] + first) * parts + (value & np.uint64(0xFFFFF)).astype(np.int64) % parts
+    order = np.argsort(place, kind="stable")
+    total = np.zeros(parts * int(count.sum()), np.uint64)
+    filled, begin = np.unique(place[order], return_index=True)
+    total[filled] = np.add.reduceat(mixed(value)[order], begin)
+    total = total.reshape(-1, parts)
+    held = np.bincount(place, minlength=total.size).reshape(-1, parts)
+    of = np.repeat(np.arange(len(sets)), count)
+    name = mixed((band[of] * 1_000_003).astype(np.uint64) + np.arange(len(of)).astype(np.uint64) - bases[of].astype(np.uint64))
+    signs, full = [], []
+    for j, chosen in enumerate(combinations(range(parts), parts - differ)):
+        joint = mixed(name + np.uint64(j))
+        for i in chosen:
+            joint = joint + total[:, i] * np.uint64(2 * i + 1)
+        signs.append(mixed(joint))
+        full.append(held[:, list(chosen)].any(axis=1))
+    signs, full = np.stack(signs, axis=1).view(np.int64), np.stack(full, axis=1)
+    # A set with more empty partitions than spare ones keeps its empty signatures.
+    blank = np.add.reduceat((~full).any(axis=1).astype(np.int64), bases)
+    keep = full | (blank > np.array([scheme.spare for scheme in schemes]))[of][:, None]
+    stops = np.cumsum(np.add.reduceat(keep.sum(axis=1), bases))
+    return np.split(signs[keep], stops[:-1])
+
+
 def signatures(sets: list[np.ndarray], similarity: int) -> list[np.ndarray]:
     """Signatures of each set, for its own band and, where a larger partner may be there, the next."""
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -93,27 +157,19 @@ def signatures(sets: list[np.ndarray], similarity: int) -> list[np.ndarray]:
             continue
         band = own[chosen] + step
         limit = high[chosen] if step == 0 else _band_of(next_low[chosen])[1]
-        parts = most_apart(limit, similarity) // 2 + 1
-        bases = np.cumsum(parts) - parts
-        flat = np.concatenate([sets[i] for i in chosen])
-        owner = np.repeat(np.arange(len(chosen)), sizes[chosen])
-        value = mixed(flat ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-        first = (value >> np.uint64(20)).astype(np.int64) % parts[owner]
-        place = (bases[owner] + first) * 3 + (value & np.uint64(0xFFFFF)).astype(np.int64) % 3
-        order = np.argsort(place, kind="stable")
-        total = np.zeros(3 * int(parts.sum()), np.uint64)
-        filled, begin = np.unique(place[order], return_index=True)
-        total[filled] = np.add.reduceat(mixed(value)[order], begin)
-        total = total.reshape(-1, 3)
-        of = np.repeat(np.arange(len(chosen)), parts)
-        name = mixed((band[of] * 1_000_003).astype(np.uint64) + np.arange(len(of)).astype(np.uint64) - bases[of].astype(np.uint64))
-        both = [
-            mixed(mixed(name + np.uint64(j)) + total[:, a] + total[:, b] * np.uint64(3))
-            for j, (a, b) in enumerate(((0, 1), (0, 2), (1, 2)))
-        ]
-        rows = np.stack(both, axis=1).view(np.int64)
-        for i, base, count in zip(chosen.tolist(), bases.tolist(), parts.tolist()):
-            out[i].append(rows[base : base + count].ravel())
+        apart = most_apart(limit, similarity)
+        schemes = [scheme_of(x, y) for x, y in zip(limit.tolist(), apart.tolist())]
+        for kind in {(scheme.parts, scheme.differ) for scheme in schemes if scheme}:
+            at = [i for i, scheme in enumerate(schemes) if scheme and (scheme.parts, scheme.differ) == kind]
+            found = _part_signatures([sets[chosen[i]] for i in at], band[at], [schemes[i] for i in at])
+            for i, signs in zip(at, found):
+                out[chosen[i]].append(signs)
+        for i in np.flatnonzero(apart == 1).tolist():
+            # The set and the set without one n-gram.
+            value = mixed(sets[chosen[i]] ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+            whole = value.sum(dtype=np.uint64)
+            name = mixed(np.array([band[i]], np.uint64) * np.uint64(1_000_003))
+            out[chosen[i]].append(mixed(name + np.r_[whole, whole - value]).view(np.int64))
     return [np.concatenate(o) if o else np.zeros(0, np.int64) for o in out]
 
 
@@ -129,15 +185,13 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def described(docs: DataFrame, n: int, similarity: int) -> DataFrame:
-    """Per row: id, set size, fingerprint of the set, signatures."""
+def described(docs: DataFrame, n: int) -> DataFrame:
+    """Per row: id, set size, fingerprint and sketch of the set."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text", 2 << 20):
             sets = shingle_sets(block.column("text"), n)
-            signs = signatures(sets, similarity)
             sums = [(mixed(s).sum(dtype=np.uint64), mixed(s ^ np.uint64(0x5A5A)).sum(dtype=np.uint64)) for s in sets]
-            lengths = np.array([len(s) for s in signs], np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -145,17 +199,32 @@ def described(docs: DataFrame, n: int, similarity: int) -> DataFrame:
                     pa.ListArray.from_arrays(
                         pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (SKETCH_BITS // 64)), pa.array(sketches(sets).ravel())
                     ),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32)),
-                        pa.array(np.concatenate(signs) if signs else np.zeros(0, np.int64)),
-                    ),
                 ],
-                names=["doc_id", "n_shingles", "first", "second", "sketch", "signatures"],
+                names=["doc_id", "n_shingles", "first", "second", "sketch"],
             )
 
     return docs.mapInArrow(describe, SETS)
 
 
+def shared_signatures(docs: DataFrame, rows: DataFrame, leaders: DataFrame, n: int, similarity: int) -> DataFrame:
+    """sign, doc_id, low, high: signatures that several classes have, with the smallest and largest of these.
+
+    Documents none of whose rows leads a class are left out before anything is signed.
+    """
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, "text", 2 << 20):
+            found = signatures(shingle_sets(block.column("text"), n), similarity)
+            ids = np.repeat(block.column("doc_id").to_numpy(), [len(f) for f in found])
+            signs = np.concatenate(found) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(signs, pa.int64()), pa.array(ids, pa.int64())], names=["sign", "doc_id"])
+
+    led = materialise(rows.select("doc_id").distinct().join(leaders.select("doc_id"), "doc_id", "left_anti"), "led")
+    signed = docs.join(led, "doc_id", "left_anti").mapInArrow(sign, "sign long, doc_id long")
+    ends = Window.partitionBy("sign")
+    return signed.repartition("sign").withColumns({"low": F.min("doc_id").over(ends), "high": F.max("doc_id").over(ends)}).where("low < high").distinct()
+
+
 def packed_sets(docs: DataFrame, n: int) -> DataFrame:
     """Per row of doc_id, text: the set as bytes."""
 
@@ -255,7 +324,7 @@ def similar_groups(
     narrow = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")
     ).where("doc_id IS NOT NULL")
-    rows = materialise(described(narrow, n, similarity), "sets")
+    rows = materialise(described(narrow, n), "sets")
     equal = ["n_shingles", "first", "second"]
     classes = materialise(
         rows.where("n_shingles > 0").groupBy(*equal).agg(F.min("doc_id").alias("class_id")), "classes"
@@ -264,9 +333,7 @@ def similar_groups(
         "doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id")
     )
     leaders = rows.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", *equal]).dropDuplicates(["doc_id", *equal])
-    signs = leaders.select("doc_id", F.explode("signatures").alias("sign"))
-    shared = signs.groupBy("sign").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    groups = materialise(signs.join(shared, "sign"), "groups")
+    groups = materialise(shared_signatures(narrow, rows, classes.withColumnRenamed("class_id", "doc_id"), n, similarity), "groups")
     drawn = materialise(
         leaders.select("doc_id", "n_shingles", "sketch").join(groups.select("doc_id").distinct(), "doc_id"), "sketches"
     )
@@ -322,7 +389,7 @@ def similar_pairs(
     narrow = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")
     ).where("doc_id IS NOT NULL")
-    rows = materialise(described(narrow, n, similarity), "sets")
+    rows = materialise(described(narrow, n), "sets")
     equal = ["n_shingles", "first", "second"]
     classes = materialise(
         rows.where("n_shingles > 0").groupBy(*equal).agg(F.min("doc_id").alias("class_id")), "classes"
@@ -333,10 +400,8 @@ def similar_pairs(
     leaders = materialise(
         rows.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", *equal]).dropDuplicates(["doc_id", *equal]), "leaders"
     )
-    signs = leaders.select("doc_id", "n_shingles", F.explode("signatures").alias("sign"))
-    shared = signs.groupBy("sign").agg(F.count("*").alias("size")).where("size > 1").select(
-        "sign", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")
-    )
-    met = signs.join(shared, "sign").join(leaders.select("doc_id", "n_shingles", "sketch"), ["doc_id", "n_shingles"])
+    groups = materialise(shared_signatures(narrow, rows, leaders, n, similarity), "groups").select("sign", "doc_id")
+    shared = groups.groupBy("sign").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    met = groups.join(shared, "sign").join(leaders.select("doc_id", "n_shingles", "sketch"), "doc_id")
     pairs = materialise(allowed_pairs(met.withColumn("label", F.col("doc_id")), similarity).distinct(), "pairs")
     return verified(pairs, named_sets(narrow, pairs, n), similarity).distinct(), members
