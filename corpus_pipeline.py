@@ -23,9 +23,12 @@ from tripmart.llm.common import materialise, read
 ROW = "pipeline_row_key"
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """With a key of what a decision depends on, so equal rows get equal decisions."""
-    return docs.withColumn(ROW, F.xxhash64("doc_id", "text", "source"))
+def keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """With a key of what a decision depends on, so equal rows get equal decisions; nulls count, and where they are."""
+    if ROW in docs.columns:
+        raise ValueError(f"a column of documents is named {ROW}")
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return docs.withColumn(ROW, F.xxhash64(*values, *(F.col(c).isNull() for c in columns)))
 
 
 def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
@@ -34,16 +37,16 @@ def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language cannot be told."""
-    keyed = _keyed(docs)
-    judged = language.of_documents(keyed, language.learn(docs), id_col=ROW)
-    return _without(keyed, judged.where("rejected"), ROW).select(docs.columns)
+    rows = keyed(docs, "doc_id", "text", "source")
+    judged = language.of_documents(rows, language.learn(docs), id_col=ROW)
+    return _without(rows, judged.where("rejected"), ROW).select(docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the classifier holds for label 0."""
     net = quality.learned(docs, read(spark, sf_dir, "labels"))
-    keyed = _keyed(docs)
-    return _without(keyed, quality.scored(keyed, net, id_col=ROW).where("score < 0.5").withColumnRenamed("doc_id", ROW), ROW).select(docs.columns)
+    rows = keyed(docs, "doc_id", "text", "source")
+    return _without(rows, quality.scored(rows, net, id_col=ROW).where("score < 0.5").withColumnRenamed("doc_id", ROW), ROW).select(docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,14 +55,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Id and text together are a document, so rows of one id with different texts
     are judged apart, and rows with null id by their texts.
     """
-    keyed = docs.withColumn(ROW, F.xxhash64("doc_id", "text"))
+    rows = keyed(docs, "doc_id", "text")
     groups = materialise(
-        partenum.similar_groups(keyed, n=5, similarity=80, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id"), "groups"
+        partenum.similar_groups(rows, n=5, similarity=80, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id"), "groups"
     )
-    leaders = groups.join(keyed.select(ROW, "doc_id").distinct(), ROW).groupBy("component_id").agg(
+    leaders = groups.join(rows.select(ROW, "doc_id").distinct(), ROW).groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", ROW)).alias("first")
     ).select(f"first.{ROW}")
-    left = _without(keyed, groups.join(leaders, ROW, "left_anti"), ROW)
+    left = _without(rows, groups.join(leaders, ROW, "left_anti"), ROW)
     often = materialise(left.groupBy(ROW).count().where("count > 1").select(ROW), "repeated")
     once = left.join(often, ROW, "left_anti")
     first = left.join(often, ROW).groupBy(ROW).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
