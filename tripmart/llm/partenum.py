@@ -104,7 +104,7 @@ def scheme_of(limit: int, apart: int) -> Scheme | None:
     """For sets up to ``limit`` that differ in up to ``apart`` n-grams: the smaller the sets, the more of their n-grams go into a signature."""
     if apart < 2:
         return None
-    differ, parts = (apart, apart + 4) if apart < 4 else (3, 7) if apart < 8 else (2, 6) if apart < 24 else (1, 3)
+    differ, parts = (apart, apart + 4) if apart < 4 else (3, 7) if apart < 8 else (4, 8) if apart < 10 else (2, 6) if apart < 24 else (1, 3)
     needed = apart // (differ + 1) + 1
     # Empty signatures of a set somewhat below the band, and what makes more than that unlikely.
     filled = 0.85 * limit / BAND / needed * (parts - differ) / parts
