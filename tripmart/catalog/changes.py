@@ -33,7 +33,8 @@ from tripmart.operators import silver as cleaning
 from tripmart.plans import elt
 from tripmart.session import materialise, scratch_path
 from tripmart.sources import landing as files
-from tripmart.sources.lake import overwrite_partitions, overwrite_run, read_table
+from tripmart.sources.contract import RESCUED
+from tripmart.sources.lake import overwrite_partitions, overwrite_run, read_table, stored_partitions
 from tripmart.streaming.months import follow_landing
 
 AS_OF = dt.date(2002, 6, 1)
@@ -168,6 +169,50 @@ def stream_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(read_table(spark, lake.gold))
 
 
+def stream_deferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months too recent for a first run of the stream are loaded by one on a later day, without new files."""
+    landing, lake = sample_landing(spark, sf_dir), sample_lake(spark)
+    for day in (GATE_DAY, AS_OF):
+        follow_landing(spark, landing, lake, as_of=day).awaitTermination()
+    return plain(read_table(spark, lake.gold))
+
+
+def _spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table of landed files whose passenger counts and distances are text, some of them no numbers."""
+    landing, lake = scratch_path(spark, "landing"), sample_lake(spark)
+    spoiled = {
+        "passenger_count": F.when(F.col("trip_key") % 10 == 3, "many").otherwise(F.col("passenger_count").cast("string")),
+        "trip_distance": F.when(F.col("trip_key") % 15 == 3, "3.x").otherwise(F.col("trip_distance").cast("string")),
+    }
+    land(sample_trips(spark, sf_dir).withColumns(spoiled), landing)
+    elt.backfill(spark, landing, lake, HISTORY, AS_OF)
+    return read_table(spark, lake.bronze)
+
+
+def rescued_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of values that could not be cast, as they came, with the trips they belong to."""
+    told = _spoiled(spark, sf_dir).select("trip_key", "passenger_count", "trip_distance", F.explode_outer(RESCUED).alias("column", "text"))
+    return told.where("column IS NOT NULL").groupBy("column", "text").agg(
+        F.count("*").alias("value_count"), F.sum("trip_key").alias("keys"), F.count("passenger_count").alias("passengers_known"),
+        F.count("trip_distance").alias("distances_known"),
+    )
+
+
+def rescued_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of such a table: rows with rescued values, and values by column."""
+    raw = _spoiled(spark, sf_dir)
+    rows = cleaning.reject_audit(raw).where("rule IN ('values_cast', 'all_rows')").select("rule", "row_count")
+    values = cleaning.rescued_counts(raw).select(F.col("column").alias("rule"), F.col("value_count").alias("row_count"))
+    return rows.unionByName(values)
+
+
+def listed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of a stored table from its listing alone."""
+    lake = sample_lake(spark)
+    overwrite_partitions(sample_gold(spark, sf_dir), lake.gold, rebalance=True)
+    return stored_partitions(spark, lake.gold)
+
+
 # -- fitted models: what must hold whatever the trainer does ---------------------
 
 
@@ -256,7 +301,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         drift_new_surcharge, drift_extra_column, drift_in_month, landing_folders, rebuild_to_empty, run_replaced_by_empty,
-        silver_bad_numbers, gold_bad_numbers, backfill_with_gap, stream_gated, fare_invariants, tip_invariants,
+        silver_bad_numbers, gold_bad_numbers, backfill_with_gap, stream_gated, stream_deferred, rescued_casts, rescued_audit,
+        listed_months, fare_invariants, tip_invariants,
         zone_layouts, forest_layouts, zone_invariants,
     )
 }
@@ -314,6 +360,23 @@ ORACLE = {
  LEFT JOIN (SELECT year AS y, month AS n, SUM(row_count) AS trips FROM gold GROUP BY ALL)
    ON y = year(m) AND n = month(m) AND strftime(m, '%Y-%m') <> '{GAP}'""",
     ),
+    "stream_deferred": with_tables("gold", "SELECT * FROM gold"),
+    "rescued_casts": with_tables(
+        "trips",
+        f"""SELECT 'passenger_count' AS "column", 'many' AS text, COUNT(*) AS value_count, {big("SUM(trip_key)")} AS keys,
+ CAST(0 AS BIGINT) AS passengers_known, COUNT(CASE WHEN trip_key % 15 <> 3 THEN trip_distance END) AS distances_known
+ FROM trips WHERE trip_key % 10 = 3
+ UNION ALL SELECT 'trip_distance', '3.x', COUNT(*), {big("SUM(trip_key)")}, COUNT(CASE WHEN trip_key % 10 <> 3 THEN passenger_count END), 0
+ FROM trips WHERE trip_key % 15 = 3""",
+    ),
+    "rescued_audit": with_tables(
+        "trips",
+        """SELECT 'values_cast' AS rule, COUNT(*) AS row_count FROM trips WHERE trip_key % 10 = 3 OR trip_key % 15 = 3
+ UNION ALL SELECT 'all_rows', COUNT(*) FROM trips
+ UNION ALL SELECT 'passenger_count', COUNT(*) FROM trips WHERE trip_key % 10 = 3
+ UNION ALL SELECT 'trip_distance', COUNT(*) FROM trips WHERE trip_key % 15 = 3""",
+    ),
+    "listed_months": with_tables("gold", "SELECT DISTINCT year, month FROM gold"),
     "stream_gated": with_tables("gold", "SELECT * FROM gold WHERE year * 100 + month <= 199801"),
     "fare_invariants": with_tables(
         "silver",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tripmart.config import Months, TripContract
 from tripmart.functions.calendar import in_range
-from tripmart.sources.contract import align
+from tripmart.sources.contract import RESCUED, align
 
 MONEY_TYPE = "decimal(10,2)"
 NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double"}
@@ -175,6 +175,18 @@ def clean(
     )
 
 
+def rescued_counts(raw: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """How many values of each column could not be cast, of rows that were brought to the contract.
+
+    ``column`` and ``value_count``; columns without such values give no row.
+    """
+    if RESCUED not in raw.columns:
+        none = raw.select(*by, F.lit("").alias("column"), F.lit(0).cast("long").alias("value_count"))
+        return none.where("false")
+    names = raw.select(*by, F.explode(F.map_keys(RESCUED)).alias("column"))
+    return names.groupBy(*by, "column").agg(F.count("*").alias("value_count"))
+
+
 def reject_audit(
     raw: DataFrame,
     months: Months | None = None,
@@ -183,7 +195,9 @@ def reject_audit(
 ) -> DataFrame:
     """Rows that fail each rule, and a warning count of durations <= 0.
 
-    A row is counted under every rule it fails.  All counts come from one
+    A row is counted under every rule it fails; where the raw table keeps texts of values
+    that could not be cast, its rows with such values are counted as ``values_cast``, a
+    warning too (``rescued_counts`` tells the columns).  All counts come from one
     aggregation pass and are turned into rows afterwards, so no row is copied.
     """
     has_file_month = {"year", "month"} <= set(raw.columns)
@@ -195,6 +209,8 @@ def reject_audit(
         F.lit(False),
     )
     kept = ~reduce(lambda a, b: a | b, [c for n, c in broken.items() if n != "duration_positive"])
+    if RESCUED in table.columns:
+        broken["values_cast"] = F.col(RESCUED).isNotNull()
     counts = [F.count_if(test).alias(name) for name, test in broken.items()]
     counts += [F.count_if(kept).alias("kept_rows"), F.count(F.lit(1)).alias("all_rows")]
     wide = table.groupBy(*by).agg(*counts)

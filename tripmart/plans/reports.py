@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.config import ModelConfig, Months
 from tripmart.operators import serving
-from tripmart.sources.lake import Lake, in_run, latest_run, read_table
+from tripmart.sources.lake import Lake, in_run, newest_run, read_table
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,8 @@ class Reports:
     def _run(self, path: str, year: int | None, month: int | None) -> DataFrame:
         table = self._table(path)
         if year is None or month is None:
-            return latest_run(table)
+            newest = newest_run(self.spark, path)
+            return table.where("false") if newest is None else in_run(table, *newest)
         return in_run(table, year, month)
 
     def monthly_kpis(self, year: int, month: int) -> DataFrame:

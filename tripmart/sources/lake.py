@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -13,6 +14,8 @@ from pyspark.sql.types import StructType
 
 from tripmart.config import Months
 from tripmart.functions.calendar import in_month_list, in_partitions
+from tripmart.sources.records import read_record, write_record
+from tripmart.sources.schema import merged_schema
 
 log = logging.getLogger(__name__)
 
@@ -74,6 +77,28 @@ class Lake:
         return self.table("_stream_checkpoints")
 
 
+SCHEMA_RECORD = "_schema.json"
+
+
+def stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The schema record of a table; None if it has none.  No Spark job."""
+    text = read_record(spark, f"{path.rstrip('/')}/{SCHEMA_RECORD}")
+    return None if text is None else StructType.fromJson(json.loads(text))
+
+
+def _schema_after(df: DataFrame, path: str, keys: tuple[str, str]) -> StructType:
+    """Schema of the table once ``df`` is written; raises where a type would change."""
+    known = stored_schema(df.sparkSession, path)
+    if known is None:
+        # A table from before there were records: its footers are merged once.
+        try:
+            known = df.sparkSession.read.option("mergeSchema", "true").parquet(path).schema
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+    return merged_schema(known, df.schema, keys)
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -87,11 +112,12 @@ def read_table(
     ``months`` becomes a partition filter and ``columns`` the read schema; both
     are done by the optimizer.  A month that was never written gives no rows.
 
-    Without ``schema`` the table has the columns of all of its files: a column
-    that came with a later month is null before it.  Footers are merged by a
-    distributed job.  Raw types are fixed by the contract; a column outside it
-    must keep its type, or the read stops with the two types.
+    Without ``schema`` the table has the columns of its schema record, which every
+    write keeps up to date: a column that came with a later month is null before
+    it.  No file is opened and no job runs until rows are asked for.  Only a table
+    without a record has its footers merged, by a distributed job.
     """
+    schema = schema or stored_schema(spark, path)
     reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
     df = reader.parquet(path)
     if months is not None:
@@ -140,6 +166,28 @@ def file_inventory(spark: SparkSession, root: str, keys: tuple[str, str] = MONTH
     )
 
 
+def stored_partitions(spark: SparkSession, path: str, keys: tuple[str, str] = MONTH_KEYS) -> DataFrame:
+    """Distinct partition keys of a stored table, as ``keys``, from its listing; no data file is opened.
+
+    A partition that was replaced by an empty one is listed too.  A table that is not
+    there has none.
+    """
+    try:
+        listed = file_inventory(spark, path, keys)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ", ".join(f"{k} int" for k in keys))
+    found = listed.where("year IS NOT NULL AND month IS NOT NULL").groupBy("year", "month").agg(F.count("*").alias("files"))
+    return found.select(F.col("year").alias(keys[0]), F.col("month").alias(keys[1]))
+
+
+def newest_run(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """The most recent run of a run-partitioned table, from its listing; it may have no rows."""
+    newest = stored_partitions(spark, path, RUN_KEYS).agg(F.max(F.struct(*RUN_KEYS)).alias("run")).first().run
+    return None if newest is None else (newest[0], newest[1])
+
+
 def month_inventory(table: DataFrame, keys: tuple[str, str] = MONTH_KEYS) -> DataFrame:
     """Distinct months of a table or of a file listing."""
     return table.select(*keys).distinct()
@@ -178,9 +226,14 @@ def overwrite_partitions(
     and a month of any size is split over as many tasks as it needs.
 
     A partition of ``rebuilt`` that got no row still holds its old files after
-    the write; it is replaced by an empty one.
+    the write; it is replaced by an empty one, so readers see its old rows for a
+    moment longer than those of the others.
+
+    Columns that are new to the table are added to its schema record; a column whose type
+    neither stays nor widens (see ``merged_schema``) stops the write before anything is stored.
     """
     spark, pairs = df.sparkSession, list(rebuilt or ())
+    schema = _schema_after(df, path, keys)
     before = stored_files(spark, path, keys, pairs) if pairs else {}
     rows = df.hint("rebalance", *[F.col(k) for k in keys]) if rebalance else df
     (
@@ -190,6 +243,8 @@ def overwrite_partitions(
         .partitionBy(*keys)
         .parquet(path)
     )
+    if schema != stored_schema(spark, path):
+        write_record(spark, f"{path.rstrip('/')}/{SCHEMA_RECORD}", schema.json())
     after = stored_files(spark, path, keys, list(before)) if before else {}
     empty = spark.createDataFrame([], df.drop(*keys).schema)
     for pair, names in before.items():

@@ -108,6 +108,6 @@ def ingest(
     """Copy months from landing to the raw table, in the types of the contract.
 
     A scan task holds rows of one file's month, so no shuffle is needed.  A value
-    that its column's type cannot hold becomes null.
+    that its column's type cannot hold becomes null; its text stays in ``rescued_values``.
     """
     overwrite_partitions(read_landing(spark, landing, pairs, contract), bronze, rebuilt=pairs)

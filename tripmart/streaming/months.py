@@ -8,6 +8,7 @@ month may arrive in any number of files, and a repeated batch changes nothing.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tripmart.plans.elt import rebuild
 from tripmart.session import prepare
 from tripmart.sources.lake import Lake, file_month
 from tripmart.sources.landing import ingest, month_gate, ready_months
+from tripmart.sources.records import read_record, write_record
 
 
 def touched_months(batch: DataFrame) -> list[tuple[int, int]]:
@@ -25,6 +27,17 @@ def touched_months(batch: DataFrame) -> list[tuple[int, int]]:
     return sorted((r.year, r.month) for r in batch.select("year", "month").distinct().collect())
 
 
+def deferred_months(spark: SparkSession, lake: Lake) -> list[tuple[int, int]]:
+    """Landed months that the stream has seen and not loaded yet."""
+    text = read_record(spark, f"{lake.checkpoints}/_deferred.json")
+    return [(year, month) for year, month in json.loads(text or "[]")]
+
+
+def _defer(spark: SparkSession, lake: Lake, months: list[tuple[int, int]]) -> None:
+    if months != deferred_months(spark, lake):
+        write_record(spark, f"{lake.checkpoints}/_deferred.json", json.dumps(months))
+
+
 def follow_raw_table(
     spark: SparkSession,
     lake: Lake,
@@ -69,21 +82,31 @@ def follow_landing(
     """Start a query that loads all landed files not seen yet, then stops.
 
     Only the file listing is streamed; the contents are read by the load of the
-    months concerned.  Months too recent on day ``as_of`` (default: today) are left
-    out; a back-fill loads them once they are ready.
+    months concerned.  Months too recent on day ``as_of`` (default: today) are kept in a
+    record beside the stream's checkpoint and offered again whenever this is called and with every
+    batch, so they are loaded once they are ready, also if no other file comes.
     """
     prepare(spark)
     day = as_of or dt.date.today()
 
+    def load(session: SparkSession, seen: list[tuple[int, int]]) -> None:
+        waiting = sorted({*deferred_months(session, lake), *seen})
+        if not waiting:
+            return
+        landed = session.createDataFrame(waiting, "year int, month int")
+        wanted = Months.between("%d-%d" % waiting[0], "%d-%d" % waiting[-1])
+        ready = ready_months(month_gate(landed, wanted, day))
+        # Recorded before the load: a failure in between leaves them waiting, and a load can be repeated.
+        _defer(session, lake, waiting)
+        if ready:
+            ingest(session, landing, lake.bronze, ready, contract)
+            rebuild(session, lake, ready, contract)
+            _defer(session, lake, [m for m in waiting if m not in ready])
+
     def on_batch(batch: DataFrame, _batch_id: int) -> None:
-        months = touched_months(batch.where("year IS NOT NULL AND month IS NOT NULL"))
-        if months:
-            landed = batch.sparkSession.createDataFrame(months, "year int, month int")
-            wanted = Months.between("%d-%d" % months[0], "%d-%d" % months[-1])
-            months = ready_months(month_gate(landed, wanted, day))
-        if months:
-            ingest(batch.sparkSession, landing, lake.bronze, months, contract)
-            rebuild(batch.sparkSession, lake, months, contract)
+        load(batch.sparkSession, touched_months(batch.where("year IS NOT NULL AND month IS NOT NULL")))
+
+    load(spark, [])
 
     year, month = file_month(F.col("path"))
     return (
