@@ -117,7 +117,8 @@ def test_large_groups_are_linked_by_distinct_ids(monkeypatch):
         totals = []
         for held in (old, new):
             total = Counter()
-            for key, times in zip(np.frombuffer(held[4], np.int64).tolist(), np.frombuffer(held[5], np.int64).tolist()):
+            keys = np.frombuffer(held[4], np.int64).tolist()
+            for key, times in zip(keys, np.frombuffer(held[5], np.int64).tolist() or [1] * len(keys)):
                 total[key] += times
             totals.append(total)
         assert totals[0] == totals[1]

@@ -44,6 +44,7 @@ from tripmart.llm.common import Recent, materialise, text_blocks
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 _SPACES = r"[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _ODD = f"{_SPACES} | {_SPACES}|^ | $"
+_ONCE = np.int64(1).tobytes()
 _LARGE_GROUP = 4096  # links in one group above which equal ids are put together first
 STORED = (
     "kind int, chunk long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string,"
@@ -104,7 +105,7 @@ class Aligner:
         self._units, self._longest = Recent(most), longest
 
     def units(self, units: list[str]) -> list[tuple]:
-        """Per distinct unit: numbers of A tokens, B tokens, groups and links; pairs and their times as bytes; its groups as text.
+        """Per distinct unit: numbers of A tokens, B tokens, groups and links; pairs and their times as bytes (empty: once each); its groups as text.
 
         A unit whose bytes do not come back has -1 A tokens.
         """
@@ -112,8 +113,8 @@ class Aligner:
 
     def _solve(self, units: list[str]) -> list[tuple]:
         out = []
-        for i in range(0, len(units), 20_000):
-            out += self._aligned(units[i : i + 20_000])
+        for i in range(0, len(units), 8_000):
+            out += self._aligned(units[i : i + 8_000])
         return out
 
     def _aligned(self, units: list[str]) -> list[tuple]:
@@ -156,6 +157,7 @@ class Aligner:
             keys, times, owner = keys[order], times[order], owner[order]
         held = (8 * np.searchsorted(owner, np.arange(len(units) + 1))).tolist()
         key_bytes, time_bytes = keys.tobytes(), times.tobytes()
+        once = np.bincount(owner, weights=times - 1, minlength=len(units)) == 0
 
         # The groups as text: A ids, then B ids, with a line end behind each unit.
         names = [""] * (len(a) + len(b))
@@ -172,9 +174,9 @@ class Aligner:
         groups = np.bincount(of_unit, minlength=len(units))
         links = np.bincount(of_unit, weights=in_a * in_b, minlength=len(units)).astype(np.int64)
         return [
-            (x, y, g, n, key_bytes[s:e], time_bytes[s:e], text)
-            for x, y, g, n, s, e, text in zip(
-                count_a.tolist(), count_b.tolist(), groups.tolist(), links.tolist(), held, held[1:], texts
+            (x, y, g, n, key_bytes[s:e], b"" if one else time_bytes[s:e], text)
+            for x, y, g, n, s, e, one, text in zip(
+                count_a.tolist(), count_b.tolist(), groups.tolist(), links.tolist(), held, held[1:], once.tolist(), texts
             )
         ]
 
@@ -228,7 +230,7 @@ def _batch(**columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(rows, f.type)).cast(f.type) for f in _FIELDS], schema=_FIELDS)
 
 
-def encoded(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = 3 << 20) -> DataFrame:
+def encoded(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = 1 << 20) -> DataFrame:
     """Stored rows of three kinds: documents (0), chunks with their distinct pairs (1), a task's vector of same-bytes pairs (2)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +262,7 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = 3 << 2
 
             # Links of the units, and in how many documents each distinct pair is.
             links = np.frombuffer(b"".join([f[4] for f in found]), np.int64)
-            times = np.frombuffer(b"".join([f[5] for f in found]), np.int64)
+            times = np.frombuffer(b"".join([f[5] or _ONCE * (len(f[4]) // 8) for f in found]), np.int64)
             held = np.fromiter((len(f[4]) // 8 for f in found), np.int64, len(found))
             keys, refs = np.unique(links, return_inverse=True)
             owner = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
@@ -308,7 +310,7 @@ def pair_counts(stored: DataFrame) -> DataFrame:
 
 
 def align(
-    docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 3 << 20
+    docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 1 << 20
 ) -> DataFrame:
     """Per document: numbers of tokens, groups and links; links that are the most frequent of their A id; summed counts; digest of the groups."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
