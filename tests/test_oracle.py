@@ -15,7 +15,7 @@ from tripmart.catalog import all_queries as queries  # noqa: E402
 
 ROWS_ONLY = {
     "rf_regression", "rf_regression_rmse", "rf_tip_class", "rf_tip_scores", "kmeans_zones",
-    "silhouette", "forecast_city", "forecast_zones", "ml_month", "full_month",
+    "silhouette", "forecast_city", "forecast_zones", "ml_month", "full_month", "backtest_zones",
 }
 
 

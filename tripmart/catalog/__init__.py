@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.catalog import (
+    certificates,
     changes,
     cleaning,
     demand,
@@ -23,7 +24,7 @@ from tripmart.catalog import (
 )
 from tripmart.session import prepare
 
-_MODULES = (ingest, cleaning, mart, features, models, demand, reports, runs, changes)
+_MODULES = (ingest, cleaning, mart, features, models, demand, reports, runs, changes, certificates)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -159,6 +159,9 @@ class ModelConfig:
     depth: int = 4
     bins: int = 32
     subsample: float = 0.5
+    # Whether a tree draws its rows with replacement; without, and with subsample 1,
+    # every tree sees all rows.
+    bootstrap: bool = True
     seed: int = 42
     train_percent: int = 80
     # Below 100, the tip classifier is fitted on a repeatable sample of its

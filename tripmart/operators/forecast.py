@@ -19,16 +19,18 @@ from __future__ import annotations
 import datetime as dt
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add, and_
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from tripmart.config import ForecastConfig
-from tripmart.functions.exact import whole_trips
+from tripmart.functions.exact import ratio_half_up, whole_trips
 
 YEAR_DAYS, WEEK_DAYS = 365.25, 7
 
@@ -214,6 +216,172 @@ def forecast_many(
     )
 
 
+# -- checks of a fit -----------------------------------------------------------
+
+
+def _design_days(spark: SparkSession, history: History, cfg: ForecastConfig, first: dt.date, last: dt.date) -> DataFrame:
+    """``ds`` and one design column per term for the days from ``first`` to ``last``."""
+    days = spark.range(1).select(_days(_day(first), _day(last), 0).alias("ds"))
+    return days.select("ds", *[c.alias(f"design_{n}") for n, c in design(F.col("ds"), history, cfg).items()])
+
+
+def _same(left: str, right: str, names: list[str]) -> Column:
+    """Equality of ``names`` where null equals null."""
+    return reduce(and_, [F.col(f"{left}.{n}").eqNullSafe(F.col(f"{right}.{n}")) for n in names])
+
+
+def certificate(
+    series: DataFrame,
+    fitted: DataFrame,
+    keys: list[str],
+    history: History,
+    cfg: ForecastConfig = ForecastConfig(),
+) -> DataFrame:
+    """How far each fit is from the ridge optimum: ``X'(y - Xb) = Lb`` must hold.
+
+    Residuals are formed row by row, one per key and day of the history (a day
+    without a row has demand 0), so nothing the solver worked with is used
+    again.  ``gap`` is the largest deviation over the terms, as a share of
+    ``sqrt(days * sum of y squared)`` (by which no such sum can be larger for
+    columns between -1 and 1); ``sigma_rows`` is the deviation of the residuals.
+    """
+    days = F.broadcast(_design_days(series.sparkSession, history, cfg, history.first, history.last))
+    names = list(design(F.col("ds"), history, cfg))
+    each = fitted.select(*keys, "beta", "sigma", _days(_day(history.first), _day(history.last), 0).alias("ds"))
+    rows = each.alias("f").join(series.alias("s"), _same("f", "s", [*keys, "ds"]), "left")
+    y = F.coalesce(F.col("s.y").cast("double"), F.lit(0.0)).alias("y")
+    rows = rows.select(*[F.col(f"f.{c}").alias(c) for c in (*keys, "beta", "sigma", "ds")], y).join(days, "ds")
+    fit = reduce(add, [F.get("beta", F.lit(i)) * F.col(f"design_{n}") for i, n in enumerate(names)])
+    rows = rows.withColumn("left_over", F.col("y") - fit)
+    sums = rows.groupBy(*keys).agg(
+        F.first("beta").alias("beta"),
+        F.first("sigma").alias("sigma"),
+        F.count(F.lit(1)).alias("days"),
+        F.sum(F.col("y") * F.col("y")).alias("squares"),
+        F.sum(F.col("left_over") * F.col("left_over")).alias("rss"),
+        *[F.sum(F.col("left_over") * F.col(f"design_{n}")).alias(f"sum_{n}") for n in names],
+    )
+    gaps = [
+        F.abs(F.col(f"sum_{n}") - F.lit(float(w)) * F.get("beta", F.lit(i)))
+        for i, (n, w) in enumerate(zip(names, penalties(cfg)))
+    ]
+    scale = F.greatest(F.sqrt(F.col("squares") * F.col("days")), F.lit(1.0))
+    return sums.select(
+        *keys,
+        "days",
+        (F.greatest(*gaps) / scale).alias("gap"),
+        "sigma",
+        F.sqrt(F.col("rss") / F.col("days")).alias("sigma_rows"),
+        F.sqrt(F.col("squares") / F.col("days")).alias("size"),
+    )
+
+
+def cut_offs(history: History, horizon: int, count: int) -> list[dt.date]:
+    """The ``count`` latest last days of training that leave ``horizon`` whole days each, without overlap."""
+    days = [history.last - dt.timedelta(days=horizon * i) for i in range(count, 0, -1)]
+    return [d for d in days if d > history.first]
+
+
+def fit_at(
+    series: DataFrame,
+    keys: list[str],
+    first: dt.date,
+    origins: list[dt.date],
+    cfg: ForecastConfig = ForecastConfig(),
+) -> DataFrame:
+    """One fit per key and origin, each on the days up to its origin only.
+
+    One pass over the series: a row meets the design of every origin it lies
+    before (at most ``len(origins)`` rows), and is summed before the shuffle.
+    A key without rows up to an origin has no fit there.
+    """
+    histories = {o: History(first, o) for o in origins}
+    spark = series.sparkSession
+    parts = [_design_days(spark, h, cfg, first, o).withColumn("origin", _day(o)) for o, h in histories.items()]
+    names = list(design(F.col("ds"), histories[origins[0]], cfg))
+    days = F.broadcast(reduce(DataFrame.unionByName, parts))
+    y = F.col("y").cast("double")
+    sums = series.join(days, "ds").groupBy(*keys, "origin").agg(
+        F.array(*[F.sum(y * F.col(f"design_{n}")) for n in names]).alias("sums"),
+        F.sum(y * y).alias("squares"),
+    )
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for origin, part in batch.groupby("origin"):
+                yield from _solver([*keys, "origin"], histories[origin], cfg)(iter([part]))
+
+    schema = StructType(
+        [sums.schema[k] for k in (*keys, "origin")]
+        + [StructField("beta", ArrayType(DoubleType())), StructField("sigma", DoubleType())]
+    )
+    return sums.mapInPandas(solve, schema)
+
+
+def back_test(
+    series: DataFrame,
+    keys: list[str],
+    first: dt.date,
+    origins: list[dt.date],
+    horizon: int,
+    cfg: ForecastConfig = ForecastConfig(),
+    weeks: int = 4,
+) -> DataFrame:
+    """Forecast, weekday baseline and actual demand of the ``horizon`` days after every origin.
+
+    One row per key, origin and day: ``y`` (0 where there is no row),
+    ``yhat`` with its band, and ``recent``, the demand of the same weekday in the
+    last ``weeks`` weeks before the origin added up (the baseline is
+    ``recent / weeks``).  Tables of days are bounded by origins and horizon.
+    """
+    spark = series.sparkSession
+    fitted = fit_at(series, keys, first, origins, cfg)
+    shapes, uses = [], []
+    for o in origins:
+        span = [o + dt.timedelta(days=h) for h in range(1, horizon + 1)]
+        ahead = _design_days(spark, History(first, o), cfg, span[0], span[-1])
+        shapes.append(ahead.withColumn("origin", _day(o)))
+        uses += [(o, d, d, True) for d in span]
+        back = [o - dt.timedelta(days=i) for i in range(7 * weeks)]
+        uses += [(o, d, b, False) for d in span for b in back if (d - b).days % 7 == 0]
+    names = [c for c in shapes[0].columns if c.startswith("design_")]
+    value = reduce(add, [F.get("beta", F.lit(i)) * F.col(n) for i, n in enumerate(names)])
+    ahead = fitted.join(F.broadcast(reduce(DataFrame.unionByName, shapes)), "origin")
+    ahead = with_band(ahead, value, F.col("sigma"), cfg).select(
+        *keys, "origin", F.col("ds").alias("day"), "yhat", "yhat_lower", "yhat_upper"
+    )
+    # Which days of the series count for which forecast day, as the day itself or as its past.
+    used = spark.createDataFrame(uses, "origin date, day date, ds date, itself boolean")
+    seen = series.join(F.broadcast(used), "ds").groupBy(*keys, "origin", "day").agg(
+        F.sum(F.when(F.col("itself"), F.col("y"))).alias("y"),
+        F.sum(F.when(~F.col("itself"), F.col("y"))).alias("recent"),
+    )
+    both = ahead.alias("a").join(seen.alias("s"), _same("a", "s", [*keys, "origin", "day"]), "left")
+    zero = F.lit(0).cast("bigint")
+    return both.select(
+        *[F.col(f"a.{c}").alias(c) for c in ahead.columns],
+        F.coalesce("s.y", zero).alias("y"),
+        F.coalesce("s.recent", zero).alias("recent"),
+    )
+
+
+def back_test_scores(tested: DataFrame, keys: list[str], weeks: int = 4) -> DataFrame:
+    """Per key: days tested, percent of them inside the band, mean error of the forecast and of the baseline.
+
+    Errors are sums of whole trips, divided once.
+    """
+    inside = (F.col("y") >= F.col("yhat_lower")) & (F.col("y") <= F.col("yhat_upper"))
+    n = F.count(F.lit(1))
+    error = F.sum(F.abs(F.col("y") - F.col("yhat")))
+    naive_error = F.sum(F.abs(F.col("y") * weeks - F.col("recent")))
+    return tested.groupBy(*keys).agg(
+        n.alias("days"),
+        ratio_half_up(F.count_if(inside), n, factor=100).cast("double").alias("inside_pct"),
+        ratio_half_up(error, n).cast("double").alias("mae"),
+        ratio_half_up(naive_error, n * weeks).cast("double").alias("mae_naive"),
+    )
+
+
 # -- one series -------------------------------------------------------------
 
 CITY = "series"
