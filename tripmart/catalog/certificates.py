@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.catalog import reports as given
 from tripmart.catalog.common import (
+    HISTORY,
     MONTH,
     RUN_MONTH,
     WINDOW,
@@ -15,16 +18,21 @@ from tripmart.catalog.common import (
     half_up,
     sample_gold,
     sample_lake,
+    sample_landing,
     sample_silver,
     with_tables,
 )
 from tripmart.catalog.demand import CITY_SQL, HORIZON, SHAPE
-from tripmart.catalog.features import SAMPLE_LABELS, given_clusters, given_fares, given_tips
-from tripmart.config import ModelConfig
+from tripmart.catalog.features import CLUSTERS_SQL, SAMPLE_LABELS, given_clusters, given_fares, given_tips
+from tripmart.catalog.runs import AS_OF
+from tripmart.config import ModelConfig, Months, Run
 from tripmart.operators import clusters, features, forecast, forests, models, windows
+from tripmart.plans import elt
+from tripmart.plans import models as training
+from tripmart.plans.month import run_full_month
 from tripmart.plans.reports import Reports
 from tripmart.session import materialise
-from tripmart.sources.lake import Lake, overwrite_partitions, overwrite_run
+from tripmart.sources.lake import Lake, overwrite_partitions, overwrite_run, read_table, warn_if_empty
 
 CFG = ModelConfig()
 # Every tree sees all rows, so the value of a leaf is the mean of the rows that reach it.
@@ -210,6 +218,14 @@ def lake_zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.zone_clusters()
 
 
+def lake_zone_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested lists of zones by label, laid out."""
+    lake, read = _lake(spark)
+    labelled = models.label_zones(given_clusters(sample_gold(spark, sf_dir)), SAMPLE_LABELS)
+    overwrite_run(labelled, lake.clusters, YEAR, MONTH)
+    return read.zone_lists(YEAR, MONTH).select("cluster_label", F.inline("zones"))
+
+
 def _stored_forecast(spark: SparkSession, sf_dir: str) -> Reports:
     lake, read = _lake(spark)
     overwrite_run(given._given_forecast(spark, sf_dir), lake.forecasts, YEAR, MONTH)
@@ -230,12 +246,65 @@ def lake_peak_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_forecast(spark, sf_dir).forecast().select(F.inline("peak_days"))
 
 
+# -- whole runs -------------------------------------------------------------
+
+
+def _run_tables(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Runs and rows of every table that a monthly run of the models writes."""
+    paths = {
+        "fare_predictions": lake.fare_predictions, "tip_predictions": lake.tip_predictions,
+        "zone_profiles": lake.zone_profiles, "clusters": lake.clusters, "forecasts": lake.forecasts,
+        "zone_forecasts": lake.zone_forecasts, "metrics": lake.metrics,
+    }
+    counts = [
+        read_table(spark, path).groupBy("run_year", "run_month").agg(F.count("*").alias("row_count"))
+        .withColumn("name", F.lit(name))
+        for name, path in paths.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def ml_month_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run of all models leaves: one run per table, with the rows that the month asks for."""
+    lake, _ = _lake(spark)
+    overwrite_partitions(sample_silver(spark, sf_dir), lake.silver, rebalance=True)
+    elt.build_gold(spark, lake, HISTORY.pairs)
+    training.run_models(spark, lake, Run(YEAR, MONTH, AS_OF))
+    return _run_tables(spark, lake)
+
+
+def full_month_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after landing, loading and training in one call, over an earlier run of the month."""
+    lake, _ = _lake(spark)
+    landing = sample_landing(spark, sf_dir)
+    elt.backfill(spark, landing, lake, HISTORY, AS_OF)
+    overwrite_run(spark.range(3), lake.metrics, YEAR, MONTH)
+    run_full_month(spark, landing, lake, Run(YEAR, MONTH, AS_OF))
+    return _run_tables(spark, lake)
+
+
+def empty_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of three months of a stored table the scan warns of as empty, and their rows."""
+    lake, _ = _lake(spark)
+    overwrite_partitions(sample_silver(spark, sf_dir), lake.silver, rebalance=True)
+    parts = []
+    for months in (RUN_MONTH, RUN_MONTH.before(1), Months.of(1990, 1)):
+        (year, month), = months.pairs
+        rows = read_table(spark, lake.silver, months)
+        empty = warn_if_empty(rows, f"{year}-{month:02d}")
+        parts.append(rows.agg(
+            F.lit(year).alias("year"), F.lit(month).alias("month"), F.lit(empty).alias("warned"),
+            F.count("*").alias("row_count"),
+        ))
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         fare_forest_table, fare_forest_leaves, tip_forest_table, zone_certificate, forecast_optimal, backtest_zones,
         backtest_baseline, lake_kpis, lake_top_zones, lake_fare_report, lake_tip_report, lake_zone_clusters,
-        lake_forecast_report, lake_peak_days,
+        lake_zone_lists, lake_forecast_report, lake_peak_days, ml_month_tables, full_month_tables, empty_scan,
     )
 }
 
@@ -245,7 +314,34 @@ _BEFORE = f"year * 12 + month - 1 >= {_PAST.first} AND year * 12 + month - 1 < {
 _TIP = "CASE WHEN tip_c * 100 > fare_c * 20 THEN 'Alta' WHEN tip_c * 100 >= fare_c * 5 THEN 'Media' ELSE 'Baja' END"
 _ORIGINS = ", ".join(f"({HORIZON * i})" for i in range(1, ORIGINS + 1))
 
+_WIDE = RUN_MONTH.widened(WINDOW)
+_UNTIL = f"pickup_date < DATE '{RUN_MONTH.stop_day}'"
+_RUN_TABLES = f"""SELECT {YEAR} AS run_year, {MONTH} AS run_month, name, row_count FROM (
+ SELECT unnest(['fare_predictions', 'tip_predictions']) AS name,
+  (SELECT COUNT(*) FROM silver WHERE {_NOW} AND passenger_count IS NOT NULL) AS row_count
+ UNION ALL SELECT unnest(['zone_profiles', 'clusters']), (SELECT COUNT(DISTINCT PULocationID) FROM gold
+  WHERE year * 12 + month - 1 >= {_WIDE.first} AND year * 12 + month - 1 < {_WIDE.stop})
+ UNION ALL SELECT 'forecasts', MAX(pickup_date) - MIN(pickup_date) + 1 + {CFG.horizon_days} FROM gold WHERE {_UNTIL}
+ UNION ALL SELECT 'zone_forecasts', COUNT(DISTINCT PULocationID)
+  * (MAX(pickup_date) - MIN(pickup_date) + 1 + {CFG.horizon_days}) FROM gold WHERE {_UNTIL}
+ UNION ALL SELECT 'metrics', 5)"""
+
 ORACLE = {
+    "ml_month_tables": with_tables("gold", _RUN_TABLES),
+    "full_month_tables": with_tables("gold", _RUN_TABLES),
+    "empty_scan": with_tables(
+        "silver",
+        f"""SELECT CAST(m // 12 AS INT) AS year, CAST(m % 12 + 1 AS INT) AS month, COUNT(s.m2) = 0 AS warned, COUNT(s.m2) AS row_count
+ FROM (VALUES ({RUN_MONTH.first}), ({RUN_MONTH.first - 1}), ({1990 * 12})) w(m)
+ LEFT JOIN (SELECT year * 12 + month - 1 AS m2 FROM silver) s ON s.m2 = w.m GROUP BY m""",
+    ),
+    "lake_zone_lists": with_tables(
+        "gold",
+        f"""SELECT cluster_label, PULocationID AS pu_location_id, cluster, {given._two("avg_revenue")} AS avg_revenue,
+ {given._two("avg_distance")} AS avg_distance, {big("total_trips")} AS total_trips
+ FROM clusters JOIN labels USING (cluster)""",
+        CLUSTERS_SQL,
+    ),
     "fare_forest_table": with_tables(
         "silver",
         f"""SELECT COUNT(*) AS row_count, {CFG.trees} AS trees, TRUE AS equal

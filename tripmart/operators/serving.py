@@ -156,6 +156,20 @@ def zones_by_label(clusters: DataFrame) -> DataFrame:
     )
 
 
+def zone_lists(clusters: DataFrame) -> DataFrame:
+    """The zones of each label as one list of points, by zone, for a scatter chart.
+
+    One row per label.  A list is as long as the label has zones; zones are places
+    of one city, not rows of the data.
+    """
+    point = F.struct("pu_location_id", "cluster", "avg_revenue", "avg_distance", "total_trips")
+    return (
+        zone_clusters(clusters)
+        .groupBy("cluster_label")
+        .agg(F.sort_array(F.collect_list(point)).alias("zones"))
+    )
+
+
 # -- forecast ---------------------------------------------------------------
 
 

@@ -62,6 +62,9 @@ class Reports:
     def zones_by_label(self, year: int | None = None, month: int | None = None) -> DataFrame:
         return serving.zones_by_label(self._run(self.lake.clusters, year, month))
 
+    def zone_lists(self, year: int | None = None, month: int | None = None) -> DataFrame:
+        return serving.zone_lists(self._run(self.lake.clusters, year, month))
+
     def _forecast(self, year: int | None, month: int | None) -> DataFrame:
         return self._run(self.lake.forecasts, year, month).drop("run_year", "run_month")
 
