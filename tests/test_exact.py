@@ -1,10 +1,10 @@
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_FLOOR, ROUND_HALF_UP, Decimal, localcontext
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tripmart.functions.exact import from_units, ratio_half_up, units, whole_trips
+from tripmart.functions.exact import carried, from_units, ratio_half_up, unit_limbs, units, whole_trips
 
 
 def test_ratio_rounds_half_away_from_zero(spark):
@@ -45,3 +45,29 @@ def test_trip_counts_round_to_even_and_not_below_zero(spark):
     values = [-3.2, 0.5, 1.5, 2.5, 2.51]
     df = spark.createDataFrame([(v,) for v in values], "x double")
     assert [r.n for r in df.select(whole_trips(F.col("x")).alias("n")).collect()] == [0, 0, 2, 2, 3]
+
+
+def _floor_of(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    sums = df.agg(*[F.sum(c).alias(f"l{i}") for i, c in enumerate(unit_limbs(F.col("x")))])
+    return sums.select(carried([F.col(c) for c in sums.columns]).alias("u")).first().u
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(1e-18, 1e9) | st.floats(-1e9, -1e-18) | st.floats(1e-18, 1e-3) | st.integers(0, 10**6).map(lambda i: i / 100), min_size=1, max_size=60))
+def test_sums_of_distances_are_exact(spark, values):
+    with localcontext() as ctx:
+        ctx.prec = 100
+        want = (sum(Decimal(repr(v)) for v in values) * 10**4).to_integral_value(ROUND_FLOOR)
+        assert _floor_of(spark, values) == want
+
+
+def test_sums_of_very_fine_and_uncountable_values(spark):
+    assert _floor_of(spark, [0.00004] * 3) == 1
+    assert _floor_of(spark, [0.00005, 0.00004, 0.00001]) == 1
+    assert _floor_of(spark, [0.00005, 0.00004, 0.000009999999999999999]) == 0
+    assert _floor_of(spark, [0.0001, -1e-30]) == 0
+    assert _floor_of(spark, [1e-30, 5e-324] * 4) == 0
+    assert _floor_of(spark, [123456789.123456, 1e10, 0.0]) == 101234567891234
+    assert _floor_of(spark, [float("nan"), float("inf"), 1e16, None]) is None
+    assert _floor_of(spark, [float("nan"), 2.5]) == 25000

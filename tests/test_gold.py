@@ -59,6 +59,14 @@ def test_partitioning_does_not_change_the_mart(spark, silver_table, gold_table):
     assert same_rows(gold_table, shuffled)
 
 
+def test_fine_distances_are_not_rounded_one_by_one(spark):
+    assert mart(raw_trips(spark, *[{"trip_distance": 0.00004}] * 3)).first().avg_distance == 0.0
+    ties = [{"trip_distance": d} for d in (0.00499, 0.00501, 0.005)]  # each alone, rounded first, would differ
+    assert mart(raw_trips(spark, *ties)).first().avg_distance == 0.01
+    below = [{"trip_distance": d} for d in (0.00499, 0.005, 0.005, 0.005000000001)]
+    assert mart(raw_trips(spark, *below)).first().avg_distance == 0.0
+
+
 def test_rollup_grains_agree(spark, gold_table):
     rows = gold.rollup(gold_table)
     totals = {

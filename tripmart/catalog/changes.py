@@ -152,6 +152,12 @@ def gold_bad_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(mart.zone_day(cleaning.clean(_bad_numbers(spark, sf_dir))))
 
 
+def gold_fine_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart of trips whose distances have six decimals: rounded once, as a mean, not one by one."""
+    fine = F.expr("CAST(CAST(trip_distance AS DECIMAL(20,6)) + CAST(trip_key % 97 AS DECIMAL(10,0)) * 0.000014BD AS DOUBLE)")
+    return plain(mart.zone_day(cleaning.clean(sample_trips(spark, sf_dir).withColumn("trip_distance", fine))))
+
+
 def backfill_with_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A month without a file: the others are loaded, the gate tells the gap."""
     landing, lake = scratch_path(spark, "landing"), sample_lake(spark)
@@ -301,7 +307,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         drift_new_surcharge, drift_extra_column, drift_in_month, landing_folders, rebuild_to_empty, run_replaced_by_empty,
-        silver_bad_numbers, gold_bad_numbers, backfill_with_gap, stream_gated, stream_deferred, rescued_casts, rescued_audit,
+        silver_bad_numbers, gold_bad_numbers, gold_fine_distances, backfill_with_gap, stream_gated, stream_deferred, rescued_casts, rescued_audit,
         listed_months, fare_invariants, tip_invariants,
         zone_layouts, forest_layouts, zone_invariants,
     )
@@ -317,6 +323,13 @@ def _with_bad(sql: str) -> str:
     return sql.replace("l_quantity / 4 - 0.5 AS trip_distance", _BAD)
 
 
+def _with_fine(sql: str) -> str:
+    # Summed in millionths.
+    fine = "l_quantity / 4 - 0.5 + (l_orderkey * 31 + l_linenumber * 7) % 100 % 97 * 0.000014 AS trip_distance"
+    millionths = sql.replace("trip_distance * 10000)", "trip_distance * 1000000)").replace("row_count * 10000,", "row_count * 1000000,")
+    return millionths.replace("l_quantity / 4 - 0.5 AS trip_distance", fine)
+
+
 _MONTH_OF = "CAST(year(tpep_pickup_datetime) AS INT) AS year, CAST(month(tpep_pickup_datetime) AS INT) AS month"
 _NOW = f"year = {YEAR} AND month = {MONTH}"
 _TIP = """CASE WHEN tip_c * 100 > fare_c * 20 THEN 'Alta' WHEN tip_c * 100 >= fare_c * 5 THEN 'Media' ELSE 'Baja' END"""
@@ -351,6 +364,7 @@ ORACLE = {
         "gold", f"SELECT {YEAR} AS run_year, {MONTH - 1} AS run_month, COUNT(*) AS row_count FROM gold"
     ),
     "silver_bad_numbers": _with_bad(with_tables("derived", audit_sql("tpep_pickup_datetime IS NOT NULL"))),
+    "gold_fine_distances": _with_fine(with_tables("gold", "SELECT * FROM gold")),
     "gold_bad_numbers": _with_bad(with_tables("gold", "SELECT * FROM gold")),
     "backfill_with_gap": with_tables(
         "gold",

@@ -116,11 +116,8 @@ class TripContract:
     rate_codes: tuple[int, int] = RATE_CODES
     card_payment: int = CARD_PAYMENT
     stored_flag: str = STORED_FLAG
-    # Distances are summed as whole 1/10**scale units, so that a sum does not
-    # depend on the order in which tasks finish.
-    distance_scale: int = 4
     # A larger distance, infinity or "not a number" (which sorts above all
-    # numbers) is rejected: it could not be counted in those units.
+    # numbers) is rejected: it is no distance.
     distance_most: float = 1e9
 
     def canonical(self, name: str) -> str:

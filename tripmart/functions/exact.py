@@ -24,6 +24,48 @@ def units(value: Column, scale: int = 2) -> Column:
     return F.rint(value.cast("double") * (10**scale)).try_cast("bigint")
 
 
+LIMB, LIMBS = 8, 4  # digits in a limb, limbs below the unit
+
+
+def unit_limbs(value: Column, scale: int = 4) -> list[Column]:
+    """``value`` as whole ``10**-scale`` units, rounded towards 0, and the decimals below, eight to a limb.
+
+    Digits are those of the number's text, so no binary noise comes in.  The limbs reach to the 36th
+    decimal (scale 4), which holds every digit of a double from 1e-19 up; later decimals are cut off.
+    All limbs have the number's sign.  Not a number, infinity and what reaches
+    ``10**(15 - scale)`` are null.
+    """
+    value = value.cast("double")
+    whole = F.rint(value * 10**scale)
+    coarse = whole / F.lit(float(10**scale)) == value
+    counted = F.abs(value) < float(10 ** (15 - scale))
+    text = F.upper(F.abs(value).cast("string"))
+    mantissa = F.substring_index(text, "E", 1)
+    power = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).cast("int")).otherwise(0)
+    # The number without its point, at least one digit before it.
+    decimals = F.length(F.substring_index(mantissa, ".", -1)) - power
+    digits = F.replace(mantissa, F.lit("."))
+    digits = F.lpad(digits, F.greatest(F.length(digits), decimals + 1), F.lit("0"))
+    before = F.length(digits) - decimals
+    fixed = F.rpad(digits, before + scale + LIMB * LIMBS, F.lit("0"))
+    sign = F.signum(value).cast("bigint")
+    top = F.substring(fixed, F.lit(1), before + scale)
+    limbs = [F.substring(fixed, before + scale + 1 + LIMB * i, F.lit(LIMB)) for i in range(LIMBS)]
+    units_ = F.when(coarse, whole.cast("bigint")).otherwise(top.cast("bigint") * sign)
+    below = [F.when(coarse, F.lit(0).cast("bigint")).otherwise(limb.cast("bigint") * sign) for limb in limbs]
+    return [F.when(counted, c) for c in (units_, *below)]
+
+
+def carried(limbs: list[Column]) -> Column:
+    """Whole units, rounded down, of sums of :func:`unit_limbs`: carries go up from the last limb."""
+    full = 10**LIMB
+    carry = F.lit(0).cast("bigint")
+    for limb in reversed(limbs[1:]):
+        total = limb + carry
+        carry = F.call_function("div", total - F.pmod(total, F.lit(full)), F.lit(full))
+    return limbs[0] + carry
+
+
 def from_units(count: Column, scale: int = 2) -> Column:
     """Inverse of :func:`units`, as a decimal."""
     return (count.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.config import TripContract
-from tripmart.functions.exact import from_units, ratio_half_up, units
+from tripmart.functions.exact import carried, from_units, ratio_half_up, unit_limbs, units
 
 
 def trust_score(flagged: Column, trips: Column) -> Column:
@@ -29,9 +29,11 @@ def zone_day(silver: DataFrame, contract: TripContract = TripContract()) -> Data
 
     All aggregates are sums and counts of whole numbers, so they are combined
     before the shuffle: a zone-day with most of the trips costs one row per
-    task, and the result does not depend on the order of the rows.
+    task, and the result does not depend on the order of the rows.  Distances
+    are summed with all their decimals, so their mean is rounded once.
     """
-    scale = contract.distance_scale
+    distance = unit_limbs(F.col("trip_distance"))
+    limbs = [f"distance_{i}" for i in range(len(distance))]
     seconds = F.rint(F.col("trip_duration_minutes") * 60).cast("bigint")
     sums = silver.groupBy(
         F.to_date("tpep_pickup_datetime").alias("pickup_date"), F.col("PULocationID")
@@ -43,7 +45,7 @@ def zone_day(silver: DataFrame, contract: TripContract = TripContract()) -> Data
         F.count("total_amount").alias("total_n"),
         F.sum(units(F.col("tip_amount"))).alias("tip_c"),
         F.sum(units(F.col("fare_amount"))).alias("fare_c"),
-        F.sum(units(F.col("trip_distance"), scale)).alias("distance_u"),
+        *[F.sum(limb).alias(name) for limb, name in zip(distance, limbs)],
         F.count("trip_distance").alias("distance_n"),
         F.sum("passenger_count").alias("total_passengers_transported"),
         F.sum(seconds).alias("seconds"),
@@ -59,7 +61,7 @@ def zone_day(silver: DataFrame, contract: TripContract = TripContract()) -> Data
         ratio_half_up(F.col("total_c"), F.col("total_n") * 100).alias("avg_revenue"),
         from_units(F.col("tip_c")).alias("total_tips_profit"),
         tip_efficiency(F.col("tip_c"), F.col("fare_c")).cast("double").alias("tip_efficiency_pct"),
-        ratio_half_up(F.col("distance_u"), F.col("distance_n") * 10**scale)
+        ratio_half_up(carried([F.col(name) for name in limbs]), F.col("distance_n") * 10**4)
         .cast("double")
         .alias("avg_distance"),
         "total_passengers_transported",
