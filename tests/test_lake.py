@@ -152,6 +152,37 @@ def test_ingest_keeps_rows_and_marks_the_file_month(spark, tmp_path):
     assert bronze.where(F.month("tpep_pickup_datetime") != F.col("month")).isEmpty()
 
 
+def test_jobs_of_a_landing_read_do_not_grow_with_the_files(spark, tmp_path):
+    df = months_of_trips(spark, "2024-01")
+    other = df.withColumn("passenger_count", F.col("passenger_count").cast("string"))
+
+    def jobs(count):
+        root = str(tmp_path / f"landing {count}")
+        for month in range(1, count + 1):
+            (df, other)[month % 2].coalesce(1).write.parquet(f"{root}/trips_2024-{month:02d}.parquet")
+        group = f"landing-{count}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            rows = files.read_landing(spark, root, [(2024, m) for m in range(1, count + 1)])
+            found = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert rows.groupBy("month").count().count() == count
+        return found
+
+    assert jobs(2) == jobs(8)
+
+
+def test_footers_are_told_apart_by_their_schemas(spark, tmp_path):
+    for name, kind in (("a", "int"), ("b", "int"), ("c", "bigint"), ("d", "timestamp"), ("e", "timestamp_ntz")):
+        value = F.lit("2024-01-01").cast(kind) if kind.startswith("t") else F.lit(1).cast(kind)
+        spark.range(3).select(value.alias("v")).coalesce(1).write.parquet(str(tmp_path / f"{name}_2024-01.parquet"))
+    prints = {r.path.split("/")[-2][0]: r.footer for r in files.footer_prints(file_inventory(spark, str(tmp_path))).collect()}
+    assert prints["a"] == prints["b"] and len(set(prints.values())) == 4 and None not in prints.values()
+    unknown = spark.createDataFrame([("nowhere://host/x.parquet",)], "path string")
+    assert files.footer_prints(unknown).first().footer is None
+
+
 def test_month_run_gates_and_repeats(spark, tmp_path):
     landing, lake = str(tmp_path / "landing"), Lake(str(tmp_path / "lake"))
     df = months_of_trips(spark, "2024-01", "2024-02", "2024-11")

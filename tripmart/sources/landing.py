@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +20,8 @@ from tripmart.sources.contract import union_drifted
 from tripmart.sources.lake import file_inventory, overwrite_partitions
 
 READY, TOO_RECENT, MISSING = "ready", "too_recent", "missing"
-FOOTER_READERS = 16
+# Where a file written by Spark keeps the types it is read back with.
+ROW_METADATA = b"org.apache.spark.sql.parquet.row.metadata"
 
 
 def month_gate(
@@ -58,6 +64,35 @@ def missing_months(gate: DataFrame) -> list[tuple[int, int]]:
     return sorted((r.year, r.month) for r in rows)
 
 
+def _footer_print(path: str) -> str | None:
+    """Digest of what a file's schema is read from; null where workers cannot open its file system."""
+    scheme, _, rest = path.partition(":")
+    try:
+        if scheme == "file":
+            opened, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+        else:
+            opened, name = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}:{quote(rest)}")
+        source = opened.open_input_file(name)
+    except (OSError, pa.ArrowException):
+        return None
+    with source, pq.ParquetFile(source) as file:
+        told = (file.metadata.metadata or {}).get(ROW_METADATA, b"")
+        columns = str(file.schema).partition("\n")[2]  # its first line names the object
+        return hashlib.sha256(columns.encode() + b"\0" + told).hexdigest()
+
+
+def footer_prints(files: DataFrame) -> DataFrame:
+    """path, footer: a digest of each file's schema, its footer read in the task that lists it."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column("path")
+            prints = pa.array([_footer_print(p) for p in paths.to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([paths, prints], names=["path", "footer"])
+
+    return files.select("path").mapInArrow(read, "path string, footer string")
+
+
 def read_landing(
     spark: SparkSession,
     root: str,
@@ -67,20 +102,25 @@ def read_landing(
     """Rows of the given months' files plus the month each file is for.
 
     Files differ in column types, spelling and columns, also within a month, so
-    each is read with the schema of its own footer.  Files with the same schema
-    are read together: the plan has one scan per distinct schema (two, if some
-    files carry their month in the name and others in their folders).
+    each is read with the schema of its own footer.  Footers are read in tasks and
+    told apart by a digest; the schema of one file per digest is asked for, so the
+    number of jobs depends on how many schemas there are, not on how many files.
+    (A file whose file system only the JVM can open is asked for by itself.)
+    Files with the same schema are read together: the plan has one scan per distinct
+    schema (two, if some files carry their month in the name and others in their folders).
     """
     listed = file_inventory(spark, root).where(in_month_list(pairs))
-    files = [(r.path, "/year=" in r.path) for r in listed.select("path").orderBy("path").collect()]
+    files = sorted((r.path, r.footer) for r in footer_prints(listed).collect())
     if not files:
         raise FileNotFoundError(f"no landed file for {pairs} in {root}")
-    # Footers only; the reads are independent, so several are in flight at once.
-    with ThreadPoolExecutor(FOOTER_READERS) as pool:
-        schemas = list(pool.map(lambda f: spark.read.parquet(f[0]).schema, files))
+    schemas = {}
+    for path, footer in files:
+        if (footer or path) not in schemas:
+            schemas[footer or path] = spark.read.parquet(path).schema
     alike = defaultdict(list)
-    for (path, in_folders), schema in zip(files, schemas):
-        alike[schema.json(), in_folders].append((path, schema))
+    for path, footer in files:
+        schema = schemas[footer or path]
+        alike[schema.json(), "/year=" in path].append((path, schema))
 
     # The month in the path, by substring: a pattern match would run per row.
     path = F.col("_metadata.file_path")
