@@ -31,6 +31,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,10 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.common import Recent, materialise, text_blocks
 
+_DOUBLE = re.compile(r"\s\s")
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 _SPACES = r"[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _ODD = f"{_SPACES} | {_SPACES}|^ | $"
-_ONCE = np.int64(1).tobytes()
 _LARGE_GROUP = 4096  # links in one group above which equal ids are put together first
 STORED = (
     "kind int, chunk long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string,"
@@ -73,6 +74,15 @@ def units_of(text: str) -> list[str]:
     return [f" {part}" for part in _GAP.split(text)] if text else []
 
 
+def _taken(values: pa.Array, places: np.ndarray) -> bytes:
+    """The chosen texts, one behind the other."""
+    if not len(places):
+        return b""
+    _, stops, data = values.take(pa.array(places)).buffers()
+    width = np.int64 if values.type == pa.large_string() else np.int32
+    return data.to_pybytes()[: np.frombuffer(stops, width)[len(places)]]
+
+
 class Aligner:
     """Both tokenizers, the identity map and the alignment of units."""
 
@@ -101,7 +111,10 @@ class Aligner:
                 named.setdefault(self.raw_b[i], i)
         self.same = np.array([named.get(raw, -1) if raw else -1 for raw in self.raw_a], np.int64)
         self._size_a, self._size_b = (np.array([len(r) for r in raws], np.int64) for raws in (self.raw_a, self.raw_b))
-        self._name_a, self._name_b = ([str(i) for i in range(len(raws))] for raws in (self.raw_a, self.raw_b))
+        self._raws = [pa.array(raws, pa.binary()) for raws in (self.raw_a, self.raw_b)]
+        # Ids as text with the sign behind them: A ids within a group and at its end, B ids also at the end of a unit.
+        signs = [(self.raw_a, ",|"), (self.raw_b, ",;\n")]
+        self._names = pa.array([f"{i}{sign}" for raws, marks in signs for sign in marks for i in range(len(raws))])
         self._units, self._longest = Recent(most), longest
 
     def units(self, units: list[str]) -> list[tuple]:
@@ -117,13 +130,23 @@ class Aligner:
             out += self._aligned(units[i : i + 8_000])
         return out
 
+    def _joined(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """A and B ids of all units, in turn: 50 units go as one text, unless white space at an end of one would join it to the next."""
+        texts = []
+        for i in range(0, len(units), 50):
+            run = "".join(units[i : i + 50])
+            texts += units[i : i + 50] if _DOUBLE.search(run) else [run]
+        return self._coded_a(texts), self.b.encode([t[1:] for t in texts], num_threads=1)
+
+    def _coded_a(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _aligned(self, units: list[str]) -> list[tuple]:
-        coded_a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        coded_b = self.b.encode([u[1:] for u in units], num_threads=1)
         raws = [u.encode() for u in units]
-        flat_a, flat_b = ([i for ids in coded for i in ids] for coded in (coded_a, coded_b))
         whole = b"".join(raws)
-        if b"".join(map(self.raw_a.__getitem__, flat_a)) != whole or b"".join(map(self.raw_b.__getitem__, flat_b)) != whole:
+        a, b = (np.fromiter(chain.from_iterable(coded), np.int64) for coded in self._joined(units))
+        if _taken(self._raws[0], a) != whole or _taken(self._raws[1], b) != whole:
+            coded_a, coded_b = self._coded_a(units), self.b.encode([u[1:] for u in units], num_threads=1)
             good = [
                 b"".join(map(self.raw_a.__getitem__, x)) == raw == b"".join(map(self.raw_b.__getitem__, y))
                 for raw, x, y in zip(raws, coded_a, coded_b)
@@ -131,14 +154,14 @@ class Aligner:
             solved = iter(self._aligned([u for u, fine in zip(units, good) if fine]) if any(good) else ())
             return [next(solved) if fine else (-1, 0, 0, 0, b"", b"", "") for fine in good]
 
-        a, b = np.array(flat_a, np.int64), np.array(flat_b, np.int64)
-        count_a, count_b = (np.fromiter(map(len, coded), np.int64, len(units)) for coded in (coded_a, coded_b))
         end_a, end_b = np.cumsum(self._size_a[a]), np.cumsum(self._size_b[b])
+        stops = np.cumsum([len(r) for r in raws])
+        count_a, count_b = (np.diff(np.searchsorted(end, stops, "right"), prepend=0) for end in (end_a, end_b))
         ends = np.intersect1d(end_a, end_b, assume_unique=True)
         group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
         in_a, in_b = (np.bincount(g, minlength=len(ends)) for g in (group_a, group_b))
         first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
-        of_unit = np.searchsorted(np.cumsum([len(r) for r in raws]), ends)
+        of_unit = np.searchsorted(stops, ends)
 
         # Links of usual groups one by one, those of very large ones by distinct ids.
         large = in_a * in_b > _LARGE_GROUP
@@ -160,17 +183,13 @@ class Aligner:
         once = np.bincount(owner, weights=times - 1, minlength=len(units)) == 0
 
         # The groups as text: A ids, then B ids, with a line end behind each unit.
-        names = [""] * (len(a) + len(b))
-        place_a, place_b = np.arange(len(a)) + first_b[group_a], np.arange(len(b)) + first_a[group_b] + in_a[group_b]
+        names = np.empty(len(a) + len(b), np.int64)
         last_a = np.arange(len(a)) == (first_a + in_a - 1)[group_a]
-        last_b = (np.arange(len(b)) == (first_b + in_b - 1)[group_b]).astype(np.int8)
+        last_b = (np.arange(len(b)) == (first_b + in_b - 1)[group_b]).astype(np.int64)
         last_b[np.cumsum(count_b) - 1] = 2
-        for name, tokens, places, marks, signs in (
-            (self._name_a, flat_a, place_a, last_a, (",", "|")), (self._name_b, flat_b, place_b, last_b, (",", ";", "\n"))
-        ):
-            for at, token, mark in zip(places.tolist(), tokens, marks.tolist()):
-                names[at] = name[token] + signs[mark]
-        texts = "".join(names).split("\n")
+        names[np.arange(len(a)) + first_b[group_a]] = a + last_a * len(self.raw_a)
+        names[np.arange(len(b)) + first_a[group_b] + in_a[group_b]] = 2 * len(self.raw_a) + b + last_b * len(self.raw_b)
+        texts = _taken(self._names, names).decode().split("\n")
         groups = np.bincount(of_unit, minlength=len(units))
         links = np.bincount(of_unit, weights=in_a * in_b, minlength=len(units)).astype(np.int64)
         return [
@@ -208,7 +227,7 @@ def _unit_lists(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     if empty.any():
         places = places[~np.repeat(empty, sizes)]
         sizes[empty] = 0
-    return [f" {w}" for w in coded.dictionary.to_pylist()], places, np.cumsum(sizes)
+    return pc.binary_join_element_wise("", coded.dictionary, " ").to_pylist(), places, np.cumsum(sizes)
 
 
 def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -248,11 +267,13 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = 1 << 2
                 sizes = np.where(broken, 0, sizes)
             stops = np.cumsum(sizes)
             numbers = [_sums(counts[places, j], sizes) for j in range(4)]
-            texts, row = [f[6] for f in found], places.tolist()
-            shas = [
-                hashlib.sha256(";".join([texts[u] for u in row[a:b]]).encode()).hexdigest() if b > a else ""
-                for a, b in zip([0, *stops[:-1].tolist()], stops.tolist())
-            ]
+            texts = pa.array([f"{f[6]};" for f in found], pa.large_string())
+            written, ends = _taken(texts, places), np.cumsum(pc.binary_length(texts).to_numpy()[places])
+            shas, begin = [], 0
+            for stop, some in zip(stops.tolist(), (sizes > 0).tolist()):
+                end = int(ends[stop - 1]) if some else begin
+                shas.append(hashlib.sha256(written[begin : end - 1]).hexdigest() if some else "")
+                begin = end
             yield _batch(
                 kind=pa.array(np.zeros(len(sizes), np.int32)), chunk=pa.array(np.full(len(sizes), chunk)), doc_id=block.column("doc_id"),
                 n_a=pa.array(numbers[0]), n_b=pa.array(numbers[1]), n_groups=pa.array(numbers[2]), n_links=pa.array(numbers[3]),
@@ -262,8 +283,10 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = 1 << 2
 
             # Links of the units, and in how many documents each distinct pair is.
             links = np.frombuffer(b"".join([f[4] for f in found]), np.int64)
-            times = np.frombuffer(b"".join([f[5] or _ONCE * (len(f[4]) // 8) for f in found]), np.int64)
-            held = np.fromiter((len(f[4]) // 8 for f in found), np.int64, len(found))
+            held = np.array([len(f[4]) for f in found], np.int64) // 8
+            times, before = np.ones(len(links), np.int64), np.cumsum(held) - held
+            for i in [i for i, f in enumerate(found) if f[5]]:
+                times[before[i] : before[i] + held[i]] = np.frombuffer(found[i][5], np.int64)
             keys, refs = np.unique(links, return_inverse=True)
             owner = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
             seen = np.unique(owner * max(1, len(found)) + places)  # distinct units of each document
