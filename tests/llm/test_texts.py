@@ -399,11 +399,14 @@ def test_pieces_equal_the_library(spark, library, chunk):
 
 def test_pieces_of_documents(spark, library, documents):
     texts = {r.doc_id: r.text for r in documents.collect()}
-    for r in pieces.digests(pieces.encode(documents, PIECES, chunk_chars=2000), PIECES).collect():
+    found = pieces.encode_digests(documents, PIECES, chunk_chars=2000).collect()
+    assert sorted(found) == sorted(pieces.digests(pieces.encode(documents, PIECES, chunk_chars=2000), PIECES).collect())
+    assert len(found) == len(texts) and max(r.n_chunks for r in found) > 1
+    for r in found:
         ids = np.array(library.encode(texts[r.doc_id]), "<i4")
         assert (r.n_ids, r.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
         assert (r.decoded_chars, r.decoded_crc32) == (len(texts[r.doc_id]), zlib.crc32(texts[r.doc_id].encode()))
-    assert pieces.encode(table(spark, []), PIECES).count() == 0
+    assert pieces.encode(table(spark, []), PIECES).count() == 0 == pieces.encode_digests(table(spark, []), PIECES).count()
 
 
 def test_max_plus_products_are_associative():

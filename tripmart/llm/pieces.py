@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -343,9 +343,14 @@ def scanned(matrices: DataFrame, fan: int = 256) -> DataFrame:
 
 
 def encode(
-    docs: DataFrame, model_path: str, chunk_chars: int = 16_384, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, model_path: str, chunk_chars: int = 16_384, id_col: str = "doc_id", text_col: str = "text",
+    then: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None, schema: str = ENCODED,
 ) -> DataFrame:
-    """Per document: doc_id, ids, n_chunks."""
+    """Per document: doc_id, ids, n_chunks.
+
+    ``then`` works on these rows where they arise and gives rows of ``schema``: as a map of its
+    own it would keep a second Python worker, with a second model, beside each task's first.
+    """
     reach = 64
     if chunk_chars < reach:
         raise ValueError("a chunk must be longer than any piece")
@@ -363,7 +368,10 @@ def encode(
                 [block.column("doc_id"), lists, pa.array(np.ones(len(stops), np.int32))], names=["doc_id", "ids", "n_chunks"]
             )
 
-    short = narrow.where(~giant).mapInArrow(whole, ENCODED)
+    def whole_then(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return then(whole(batches)) if then else whole(batches)
+
+    short = narrow.where(~giant).mapInArrow(whole_then, schema)
 
     long = materialise(narrow.where(giant).withColumn("row", F.monotonically_increasing_id()), "giants")
     with_mark = F.concat(F.lit(MARK), F.replace("text", F.lit(" "), F.lit(MARK)))
@@ -421,7 +429,7 @@ def encode(
     tall = long.select("row", "doc_id").join(joined, "row").select(
         "doc_id", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"), F.size("parts").alias("n_chunks")
     )
-    return short.unionByName(tall)
+    return short.unionByName(tall.mapInArrow(then, schema) if then else tall)
 
 
 def encoded_block(model: PieceModel, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -471,9 +479,10 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(texts, "doc_id long, text string")
 
 
-def digests(encoded: DataFrame, model_path: str) -> DataFrame:
-    """Per document: number and CRC-32 of its ids (little-endian 32-bit), and characters and CRC-32 of the decoded text."""
+DIGESTS = "doc_id long, n_ids long, ids_crc32 long, n_chunks int, decoded_chars long, decoded_crc32 long"
 
+
+def _digest(model_path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
         for batch in batches:
@@ -490,6 +499,16 @@ def digests(encoded: DataFrame, model_path: str) -> DataFrame:
                     names=["doc_id", "n_ids", "ids_crc32", "n_chunks", "decoded_chars", "decoded_crc32"],
                 )
 
-    return encoded.mapInArrow(
-        digest, "doc_id long, n_ids long, ids_crc32 long, n_chunks int, decoded_chars long, decoded_crc32 long"
-    )
+    return digest
+
+
+def digests(encoded: DataFrame, model_path: str) -> DataFrame:
+    """Per document: number and CRC-32 of its ids (little-endian 32-bit), and characters and CRC-32 of the decoded text."""
+    return encoded.mapInArrow(_digest(model_path), DIGESTS)
+
+
+def encode_digests(
+    docs: DataFrame, model_path: str, chunk_chars: int = 16_384, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """:func:`digests` of :func:`encode`, worked out in the tasks that encode."""
+    return encode(docs, model_path, chunk_chars, id_col, text_col, _digest(model_path), DIGESTS)

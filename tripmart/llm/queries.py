@@ -59,7 +59,7 @@ def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return pieces.digests(pieces.encode(read(spark, sf_dir, "documents"), model), model)
+    return pieces.encode_digests(read(spark, sf_dir, "documents"), model)
 
 
 # Host and path rules of the address filter.
