@@ -2,9 +2,10 @@ from decimal import ROUND_FLOOR, ROUND_HALF_UP, Decimal, localcontext
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from helpers import plan_of
 from pyspark.sql import functions as F
 
-from tripmart.functions.exact import carried, from_units, ratio_half_up, unit_limbs, units, whole_trips
+from tripmart.functions.exact import carried, from_units, ratio_half_up, unit_limbs, units, whole_trips, with_unit_limbs
 
 
 def test_ratio_rounds_half_away_from_zero(spark):
@@ -71,3 +72,16 @@ def test_sums_of_very_fine_and_uncountable_values(spark):
     assert _floor_of(spark, [123456789.123456, 1e10, 0.0]) == 101234567891234
     assert _floor_of(spark, [float("nan"), float("inf"), 1e16, None]) is None
     assert _floor_of(spark, [float("nan"), 2.5]) == 25000
+
+
+def test_limbs_as_columns_work_the_text_out_once(spark):
+    values = [3.25, 0.100014, -12.000002, 0.1 + 0.2, 1e-17, -7.123456789012345, 99999999999.9999, 1e11, None, float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    names = [f"l{i}" for i in range(5)]
+    told = with_unit_limbs(df, "x", names)
+    assert told.columns == ["x", *names]
+    plain = df.select("x", *[c.alias(n) for c, n in zip(unit_limbs(F.col("x")), names)])
+    assert told.exceptAll(plain).isEmpty() and plain.exceptAll(told).isEmpty()
+    sums = told.agg(*[F.sum(n).alias(n) for n in names])
+    assert plan_of(sums).count("as string") <= 2
+    assert [tuple(r)[1:3] for r in told.where("x in (0.100014, -12.000002)").orderBy("x").collect()] == [(-120000, -2000000), (1000, 14000000)]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,52 @@ def units(value: Column, scale: int = 2) -> Column:
 
 
 LIMB, LIMBS = 8, 4  # digits in a limb, limbs below the unit
+WHOLE = 15  # digits of whole units
+
+
+class _Split:
+    """A double as whole ``10**-scale`` units and limbs below, by arithmetic where that is exact.
+
+    A number of at most 15 digits that ends within the first limb is told by its whole count of that
+    limb's last place: the division back gives the same double for no other such number.  All others
+    need the digits of their text.
+    """
+
+    def __init__(self, value: Column, scale: int):
+        self.value = value = value.cast("double")
+        self.scale = scale
+        self.whole = F.rint(value * 10**scale)
+        self.coarse = self.whole / F.lit(float(10**scale)) == value
+        self.places = F.rint(value * 10 ** (scale + LIMB))
+        self.fine = (F.abs(self.places) < 1e15) & (self.places / F.lit(float(10 ** (scale + LIMB))) == value)
+        self.counted = F.abs(value) < float(10 ** (WHOLE - scale))
+
+    def text(self) -> Column:
+        """The number's text without its sign; null where arithmetic is enough, and if it is not counted."""
+        return F.when(self.counted & ~self.coarse & ~self.fine, F.upper(F.abs(self.value).cast("string")))
+
+    def digits(self, text: Column) -> Column:
+        """``WHOLE`` digits of whole units and those of the limbs, without a point."""
+        mantissa = F.substring_index(text, "E", 1)
+        power = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).cast("int")).otherwise(0)
+        # The number without its point, at least one digit before it.
+        decimals = F.length(F.substring_index(mantissa, ".", -1)) - power
+        digits = F.replace(mantissa, F.lit("."))
+        digits = F.lpad(digits, F.greatest(F.length(digits), decimals + 1), F.lit("0"))
+        before = F.length(digits) - decimals
+        fixed = F.rpad(digits, before + self.scale + LIMB * LIMBS, F.lit("0"))
+        return F.lpad(fixed, WHOLE + LIMB * LIMBS, "0")
+
+    def limbs(self, digits: Column) -> list[Column]:
+        """Whole units and limbs, given :meth:`digits`."""
+        sign = F.signum(self.value).cast("bigint")
+        parts = [F.substring(digits, 1, WHOLE)]
+        parts += [F.substring(digits, WHOLE + 1 + LIMB * i, LIMB) for i in range(LIMBS)]
+        top, first, *rest = [part.cast("bigint") * sign for part in parts]
+        places, full, zero = self.places.cast("bigint"), F.lit(10**LIMB), F.lit(0).cast("bigint")
+        top = F.when(self.coarse, self.whole.cast("bigint")).when(self.fine, F.call_function("div", places, full)).otherwise(top)
+        first = F.when(self.coarse, zero).when(self.fine, places % full).otherwise(first)
+        return [F.when(self.counted, c) for c in (top, first, *(F.coalesce(c, zero) for c in rest))]
 
 
 def unit_limbs(value: Column, scale: int = 4) -> list[Column]:
@@ -35,25 +81,19 @@ def unit_limbs(value: Column, scale: int = 4) -> list[Column]:
     All limbs have the number's sign.  Not a number, infinity and what reaches
     ``10**(15 - scale)`` are null.
     """
-    value = value.cast("double")
-    whole = F.rint(value * 10**scale)
-    coarse = whole / F.lit(float(10**scale)) == value
-    counted = F.abs(value) < float(10 ** (15 - scale))
-    text = F.upper(F.abs(value).cast("string"))
-    mantissa = F.substring_index(text, "E", 1)
-    power = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).cast("int")).otherwise(0)
-    # The number without its point, at least one digit before it.
-    decimals = F.length(F.substring_index(mantissa, ".", -1)) - power
-    digits = F.replace(mantissa, F.lit("."))
-    digits = F.lpad(digits, F.greatest(F.length(digits), decimals + 1), F.lit("0"))
-    before = F.length(digits) - decimals
-    fixed = F.rpad(digits, before + scale + LIMB * LIMBS, F.lit("0"))
-    sign = F.signum(value).cast("bigint")
-    top = F.substring(fixed, F.lit(1), before + scale)
-    limbs = [F.substring(fixed, before + scale + 1 + LIMB * i, F.lit(LIMB)) for i in range(LIMBS)]
-    units_ = F.when(coarse, whole.cast("bigint")).otherwise(top.cast("bigint") * sign)
-    below = [F.when(coarse, F.lit(0).cast("bigint")).otherwise(limb.cast("bigint") * sign) for limb in limbs]
-    return [F.when(counted, c) for c in (units_, *below)]
+    split = _Split(value, scale)
+    return split.limbs(split.digits(split.text()))
+
+
+def with_unit_limbs(df: DataFrame, column: str, names: list[str], scale: int = 4) -> DataFrame:
+    """``df`` with :func:`unit_limbs` of a column as columns ``names``.
+
+    The text and its digits are columns of their own on the way, so each is worked out once a row and
+    stands once in the generated code, not once in every limb.
+    """
+    split, text, digits = _Split(F.col(column), scale), f"{names[0]}_text", f"{names[0]}_digits"
+    told = df.withColumn(text, split.text()).withColumn(digits, split.digits(F.col(text)))
+    return told.withColumns(dict(zip(names, split.limbs(F.col(digits))))).drop(text, digits)
 
 
 def carried(limbs: list[Column]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.config import TripContract
-from tripmart.functions.exact import carried, from_units, ratio_half_up, unit_limbs, units
+from tripmart.functions.exact import LIMBS, carried, from_units, ratio_half_up, units, with_unit_limbs
 
 
 def trust_score(flagged: Column, trips: Column) -> Column:
@@ -32,10 +32,9 @@ def zone_day(silver: DataFrame, contract: TripContract = TripContract()) -> Data
     task, and the result does not depend on the order of the rows.  Distances
     are summed with all their decimals, so their mean is rounded once.
     """
-    distance = unit_limbs(F.col("trip_distance"))
-    limbs = [f"distance_{i}" for i in range(len(distance))]
+    limbs = [f"distance_{i}" for i in range(1 + LIMBS)]
     seconds = F.rint(F.col("trip_duration_minutes") * 60).cast("bigint")
-    sums = silver.groupBy(
+    sums = with_unit_limbs(silver, "trip_distance", limbs).groupBy(
         F.to_date("tpep_pickup_datetime").alias("pickup_date"), F.col("PULocationID")
     ).agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -45,7 +44,7 @@ def zone_day(silver: DataFrame, contract: TripContract = TripContract()) -> Data
         F.count("total_amount").alias("total_n"),
         F.sum(units(F.col("tip_amount"))).alias("tip_c"),
         F.sum(units(F.col("fare_amount"))).alias("fare_c"),
-        *[F.sum(limb).alias(name) for limb, name in zip(distance, limbs)],
+        *[F.sum(name).alias(name) for name in limbs],
         F.count("trip_distance").alias("distance_n"),
         F.sum("passenger_count").alias("total_passengers_transported"),
         F.sum(seconds).alias("seconds"),
