@@ -4,9 +4,11 @@ import pytest
 from helpers import plan_of, raw_trips, same_rows
 from pyspark.sql import functions as F
 
+from tripmart.catalog.common import month_file
 from tripmart.config import RAW_COLUMNS, Months, Run, TripContract
 from tripmart.operators import gold, silver
 from tripmart.plans import elt
+from tripmart.session import small_scans
 from tripmart.sources import landing as files
 from tripmart.sources.contract import align, union_drifted
 from tripmart.sources.lake import (
@@ -259,3 +261,43 @@ def test_landing_stream_loads_each_month_once_it_arrives(spark, tmp_path):
     elt.backfill(spark, landing, other, Months.between("2024-01", "2024-02"), AS_OF)
     assert same_rows(stored(spark, other.gold), stored(spark, lake.gold))
     assert stored(spark, lake.gold).agg(F.sum("row_count")).first()[0] == 12
+
+
+def test_writes_without_a_shuffle_read_small_splits(spark, tmp_path):
+    key = "spark.sql.files.maxPartitionBytes"
+    months_of_trips(spark, "2024-01", "2024-02", "2024-03").withColumn("year", F.lit(2024)).withColumn(
+        "month", F.month("tpep_pickup_datetime")
+    ).coalesce(1).write.parquet(f"{tmp_path}/in")
+    before, seen = spark.conf.get(key), []
+
+    class Seen:
+        def __call__(self, writer, path, *args, **kwargs):
+            seen.append(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+            return plain(writer, path, *args, **kwargs)
+
+    from pyspark.sql import DataFrameWriter
+
+    plain, seen_by = DataFrameWriter.parquet, Seen()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: seen_by(self, path, *a, **k))
+        overwrite_partitions(spark.read.parquet(f"{tmp_path}/in"), f"{tmp_path}/out")
+    assert seen[0] <= 32 << 20 and spark.conf.get(key) == before
+    assert read_table(spark, f"{tmp_path}/out").groupBy("month").count().count() == 3
+
+
+def test_sessions_with_smaller_splits_keep_them(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1m")
+    try:
+        with small_scans(spark):
+            assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_landed_names_are_those_of_the_date_pattern(spark):
+    days = ["1998-03-01 00:00:00", "1000-01-31 12:00:00", "9999-12-31 23:59:59", "0987-06-05 01:02:03", None]
+    df = spark.createDataFrame([(d,) for d in days], "d string").select(F.col("d").try_cast("timestamp_ntz").alias("t"))
+    want = F.concat(F.date_format("t", "yyyy-MM"), F.lit(".parquet"))
+    assert df.where(~month_file(F.col("t")).eqNullSafe(want)).isEmpty()

@@ -6,7 +6,7 @@ and rounds quotients once, half up, on integers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import MONEY_COLUMNS, Months
@@ -51,10 +51,20 @@ def sample_landing(spark: SparkSession, sf_dir: str, months: Months | None = Non
     return root
 
 
+def month_file(pickup: Column) -> Column:
+    """``YYYY-MM.parquet`` of a pickup; a date pattern runs only for years of other than four digits."""
+    year, month = F.year(pickup), F.lpad(F.month(pickup).cast("string"), 2, "0")
+    plainly = F.concat(year.cast("string"), F.lit("-"), month)
+    text = F.when(year.between(1000, 9999), plainly).otherwise(F.date_format(pickup, "yyyy-MM"))
+    return F.concat(text, F.lit(".parquet"))
+
+
 def land(table: DataFrame, root: str, mode: str = "append") -> None:
     """Trips as files of the months of their pickups, added to a landing folder."""
-    name = F.concat(F.date_format("tpep_pickup_datetime", "yyyy-MM"), F.lit(".parquet"))
-    rows = table.withColumn("trips", name).hint("rebalance", F.col("trips"))
+    pickup = F.col("tpep_pickup_datetime")
+    # Months are told apart by a number on the way; the name of the file is made where it is written.
+    numbered = table.withColumn("trips", F.year(pickup) * 12 + F.month(pickup))
+    rows = numbered.hint("rebalance", F.col("trips")).withColumn("trips", month_file(pickup))
     writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("trips")
     writer.parquet(root)
 

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Bytes of stored files that one task reads and sorts by partition before it writes them.
+SORTED_BYTES = 32 << 20
+
+
 def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> SparkSession:
     """A single-machine session for tests and the bench."""
     builder = (
@@ -46,6 +52,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def small_scans(spark: SparkSession, most: int = SORTED_BYTES) -> Iterator[None]:
+    """Scans that run within this block read at most ``most`` bytes of files in a task.
+
+    A write without a shuffle sorts what each task reads by partition, and a row in the sort takes about
+    ten times its bytes in the file, so the default split of 128 MB would take more than 1 GB.  Smaller tasks also
+    leave fewer cores idle at the end.  A session that reads less already is left as it is.
+    """
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key, None)
+    if spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() <= most:
+        yield
+        return
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under a folder that driver and executors share.
 

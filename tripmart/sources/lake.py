@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import logging
 from collections.abc import Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -14,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from tripmart.config import Months
 from tripmart.functions.calendar import in_month_list, in_partitions
+from tripmart.session import small_scans
 from tripmart.sources.records import read_record, write_record
 from tripmart.sources.schema import merged_schema
 
@@ -221,7 +223,8 @@ def overwrite_partitions(
 
     The overwrite mode is an option of this write, not of the session.  With
     ``rebalance=False`` tasks write what they hold, which needs no shuffle and
-    is right when the input is laid out by month already.  ``rebalance=True``
+    is right when the input is laid out by month already; each task sorts what it
+    read by partition, so it reads a bounded number of bytes (``small_scans``).  ``rebalance=True``
     is for scattered input: it shuffles by partition key to sized partitions,
     and a month of any size is split over as many tasks as it needs.
 
@@ -236,13 +239,9 @@ def overwrite_partitions(
     schema = _schema_after(df, path, keys)
     before = stored_files(spark, path, keys, pairs) if pairs else {}
     rows = df.hint("rebalance", *[F.col(k) for k in keys]) if rebalance else df
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy(*keys)
-        .parquet(path)
-    )
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    with nullcontext() if rebalance else small_scans(spark):
+        writer.option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).parquet(path)
     if schema != stored_schema(spark, path):
         write_record(spark, f"{path.rstrip('/')}/{SCHEMA_RECORD}", schema.json())
     after = stored_files(spark, path, keys, list(before)) if before else {}
