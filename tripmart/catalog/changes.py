@@ -35,6 +35,7 @@ from tripmart.session import materialise, scratch_path
 from tripmart.sources import landing as files
 from tripmart.sources.contract import RESCUED
 from tripmart.sources.lake import overwrite_partitions, overwrite_run, read_table, stored_partitions
+from tripmart.sources.sample import trips
 from tripmart.streaming.months import follow_landing
 
 AS_OF = dt.date(2002, 6, 1)
@@ -54,8 +55,10 @@ CFG = ModelConfig(forest_layout=4)
 
 def _two_eras(spark: SparkSession, sf_dir: str, **later) -> tuple[str, DataFrame, DataFrame]:
     """A new landing folder, and trips before and after the change, which adds ``later``."""
-    table, first = sample_trips(spark, sf_dir), F.col("tpep_pickup_datetime") < F.lit(LATER)
-    return scratch_path(spark, "landing"), table.where(first), table.where(~first).withColumns(later)
+    # Each side is landed by a job of its own, which joins the orders of that side only.
+    first = F.col("tpep_pickup_datetime") < F.lit(LATER)
+    old, new = trips(spark, sf_dir, before=LATER), trips(spark, sf_dir, since=LATER)
+    return scratch_path(spark, "landing"), old.where(first), new.where(~first).withColumns(later)
 
 
 def drift_new_surcharge(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,12 +71,19 @@ DUCKDB_TIMES = {
 }
 
 
-def trips(spark: SparkSession, sf_dir: str, months: Months | None = None) -> DataFrame:
+def trips(
+    spark: SparkSession,
+    sf_dir: str,
+    months: Months | None = None,
+    since: str | None = None,
+    before: str | None = None,
+) -> DataFrame:
     """The derived trips, optionally only those that can touch ``months``.
 
     A pickup is 0 to 86399 seconds after the order date, so a month implies a
     range of order dates.  That range cuts the orders scan before the join;
-    the exact month filter is still the caller's.
+    the exact month filter is still the caller's.  So it is with ``since`` and ``before``,
+    days that cut the orders a day off, on one side each.
     """
     lineitem = spark.read.schema(LINEITEM).parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet")
@@ -85,6 +92,10 @@ def trips(spark: SparkSession, sf_dir: str, months: Months | None = None) -> Dat
             f"o_orderdate > timestamp_ntz'{months.start_day}' - interval 1 day"
             f" AND o_orderdate < timestamp_ntz'{months.stop_day}'"
         )
+    if since is not None:
+        orders = orders.where(f"o_orderdate > timestamp_ntz'{since}' - interval 1 day")
+    if before is not None:
+        orders = orders.where(f"o_orderdate < timestamp_ntz'{before}' + interval 1 day")
     text = TRIPS_SQL.format(lineitem="{lineitem}", orders="{orders}", hint=JOIN_HINT, **SPARK_TIMES)
     return spark.sql(text, lineitem=lineitem, orders=orders)
 
