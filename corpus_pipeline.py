@@ -3,8 +3,8 @@
 Every stage is a function of (session, documents, table folder).  All but the
 last return rows of their input with its columns.  A stage decides by row
 (language, quality) or by id and text (near duplicates), stores the rows that go
-as narrow keys, and takes them out of its input: where few rows go, Spark broadcasts
-their keys by their stored size, else it joins.
+as narrow keys, and takes them out of its input: rows that are surely not among the keys by
+a broadcast table of bits stay where they are, the others are joined (``common.without``).
 
 Rows with null id pass the first two stages by their own merits, stay in a group
 of near duplicates only if none of it has an id, and are packed.  Empty tables
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import language, packing, partenum, quality
-from tripmart.llm.common import materialise, read
+from tripmart.llm.common import among, materialise, read, without
 
 ROW = "pipeline_row_key"
 
@@ -32,7 +32,7 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
-    return docs.join(materialise(gone.select(key).distinct(), "gone"), key, "left_anti")
+    return without(docs, materialise(gone.select(key).distinct(), "gone"), key)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,10 +62,12 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     leaders = groups.join(rows.select(ROW, "doc_id").distinct(), ROW).groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", ROW)).alias("first")
     ).select(f"first.{ROW}")
-    left = _without(rows, groups.join(leaders, ROW, "left_anti"), ROW)
-    often = materialise(left.groupBy(ROW).count().where("count > 1").select(ROW), "repeated")
-    once = left.join(often, ROW, "left_anti")
-    first = left.join(often, ROW).groupBy(ROW).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    gone = materialise(groups.join(leaders, ROW, "left_anti").select(ROW).distinct(), "gone")
+    often = materialise(
+        rows.groupBy(ROW).count().where("count > 1").select(ROW).join(gone, ROW, "left_anti"), "repeated"
+    )
+    once = without(rows, gone.unionByName(often), ROW)
+    first = among(rows, often, ROW).groupBy(ROW).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return once.select(docs.columns).unionByName(first.select(docs.columns))
 
 

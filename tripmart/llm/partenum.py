@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import materialise, text_blocks
+from tripmart.llm.common import among, materialise, text_blocks, without
 from tripmart.llm.components import components
 from tripmart.llm.grams import chained, mixed, word_hashes
 
@@ -220,7 +220,7 @@ def shared_signatures(docs: DataFrame, rows: DataFrame, leaders: DataFrame, n: i
             yield pa.RecordBatch.from_arrays([pa.array(signs, pa.int64()), pa.array(ids, pa.int64())], names=["sign", "doc_id"])
 
     led = materialise(rows.select("doc_id").distinct().join(leaders.select("doc_id"), "doc_id", "left_anti"), "led")
-    signed = docs.join(led, "doc_id", "left_anti").mapInArrow(sign, "sign long, doc_id long")
+    signed = without(docs, led, "doc_id").mapInArrow(sign, "sign long, doc_id long")
     ends = Window.partitionBy("sign")
     return signed.repartition("sign").withColumns({"low": F.min("doc_id").over(ends), "high": F.max("doc_id").over(ends)}).where("low < high").distinct()
 
@@ -258,7 +258,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 def named_sets(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """Sets of the documents that occur in the pairs."""
     named = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "named")
-    held = packed_sets(docs.join(named, "doc_id"), n)
+    held = packed_sets(among(docs, named, "doc_id"), n)
     # Of repeated ids the smallest class is meant, whichever row that is: keep every set.
     return materialise(held.distinct(), "grams")
 
