@@ -417,3 +417,29 @@ def test_max_plus_products_are_associative():
         running = pieces.max_plus(running, m)
         slow.append(running)
     assert all(np.allclose(a, b, equal_nan=True) for a, b in zip(pieces.prefix_products(matrices), slow))
+
+
+def test_sets_move_only_with_pairs_that_wide_sketches_allow(spark):
+    rng = np.random.default_rng(7)
+    common = rng.integers(0, 2**63, 1500).astype(np.uint64)
+
+    def near(base, other):
+        return np.unique(np.concatenate([base, rng.integers(0, 2**63, other).astype(np.uint64)]))
+
+    sets = [near(common, 1500), near(common, 1500), near(common, 90), near(common, 90), near(common[:200], 10)]
+    # The narrow sketch is as good as full of such sets: it would let all pairs of the same size through.
+    rows = [(i, bytearray(s.tobytes()), len(s), bytearray(partenum.wide_sketch(s))) for i, s in enumerate(sets)]
+    held = spark.createDataFrame(rows, "doc_id long, grams binary, held long, wide binary")
+    pairs = spark.createDataFrame([(i, j) for i in range(5) for j in range(i + 1, 5)], "a long, b long")
+    assert [tuple(r) for r in partenum.possible_pairs(pairs, held, 80).collect()] == [(2, 3)]
+    assert [tuple(r) for r in partenum.verified(pairs, held, 80).collect()] == [(2, 3)]
+
+
+def test_wide_sketches_never_tell_sets_further_apart_than_they_are():
+    rng = np.random.default_rng(8)
+    for size, gone in [(1, 0), (1, 1), (5, 2), (60, 7), (700, 100), (5000, 900), (5000, 4000)]:
+        left = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        right = np.unique(np.concatenate([left[gone:], rng.integers(0, 2**63, gone // 2).astype(np.uint64)]))
+        apart = len(np.setxor1d(left, right))
+        told = partenum.least_apart(partenum.wide_sketch(left), partenum.wide_sketch(right))
+        assert told <= apart and (size < 100 or told > apart * 0.7)

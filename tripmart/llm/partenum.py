@@ -20,8 +20,8 @@ signature and are still in different components meet each other, in blocks of
 bounded size, so a signature of very many classes is spread over tasks.  Pairs
 are only handed on if a parity sketch allows them: one bit per n-gram hash,
 flipped by each n-gram, so two sets differ at least in as many n-grams as their
-sketches in bits, and no similar pair is lost.  What is left is verified on
-the whole sets, for which only the texts concerned are read again.
+sketches in bits, and no similar pair is lost.  What is left is told apart in the same way by
+sketches that grow with their set, and verified on the whole sets, for which only the texts concerned are read again.
 
 Defined cases: a text with fewer words than ``n`` is one n-gram of all its
 words; null, empty and blank texts have an empty set and link with nothing; a
@@ -225,19 +225,58 @@ def shared_signatures(docs: DataFrame, rows: DataFrame, leaders: DataFrame, n: i
     return signed.repartition("sign").withColumns({"low": F.min("doc_id").over(ends), "high": F.max("doc_id").over(ends)}).where("low < high").distinct()
 
 
+def wide_sketch(grams: np.ndarray) -> bytes:
+    """Parity of the n-grams that fall on each of four to eight bits per n-gram, a power of two of them."""
+    width = max(64, 1 << int(4 * len(grams) - 1).bit_length())
+    odd = np.bincount((mixed(grams ^ np.uint64(0x6969)) % np.uint64(width)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def least_apart(left: bytes, right: bytes) -> int:
+    """Elements in which sets of these wide sketches differ at least; the wider one is folded to the width of the other."""
+    x, y = (np.frombuffer(sketch, np.uint64) for sketch in (left, right))
+    width = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(words.reshape(-1, width), axis=0) for words in (x, y))
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
+
+
 def packed_sets(docs: DataFrame, n: int) -> DataFrame:
-    """Per row of doc_id, text: the set as bytes."""
+    """Per row of doc_id, text: the set as bytes, its size and its wide sketch."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text", 2 << 20):
-            held = pa.array([s.tobytes() for s in shingle_sets(block.column("text"), n)], pa.binary())
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), held], names=["doc_id", "grams"])
+            sets = shingle_sets(block.column("text"), n)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    block.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([len(s) for s in sets], pa.int64()), pa.array([wide_sketch(s) for s in sets], pa.binary()),
+                ],
+                names=["doc_id", "grams", "held", "wide"],
+            )
+
+    return docs.mapInArrow(pack, "doc_id long, grams binary, held long, wide binary")
 
-    return docs.mapInArrow(pack, "doc_id long, grams binary")
+
+def possible_pairs(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Of the pairs (a, b), those whose sizes and wide sketches allow the similarity, which no similar pair's forbid."""
+
+    def rule(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = (batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()).tolist()
+            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
+            good = [least_apart(p, q) * (100 + similarity) <= n * (100 - similarity) for p, q, n in zip(x, y, both)]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    left, right = (
+        sets.select(F.col("doc_id").alias(k), F.col("held").alias(f"n_{k}"), F.col("wide").alias(w)) for k, w in (("a", "x"), ("b", "y"))
+    )
+    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity
+    met = pairs.select("a", "b").join(left, "a").join(right, "b").where(fits)
+    return met.select("a", "b", "n_a", "n_b", "x", "y").mapInArrow(rule, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Of the pairs (a, b), those whose sets are similar enough."""
+    """Of the pairs (a, b), those whose sets are similar enough; sets go with those only that are possible."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,15 +291,19 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+    possible = materialise(possible_pairs(pairs, sets, similarity), "possible")
+    return possible.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
 
 
-def named_sets(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """Sets of the documents that occur in the pairs."""
+def named_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """Sets of the documents that occur in the pairs; ``rows`` has the ids of all documents, as often as they occur."""
     named = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "named")
-    held = packed_sets(among(docs, named, "doc_id"), n)
-    # Of repeated ids the smallest class is meant, whichever row that is: keep every set.
-    return materialise(held.distinct(), "grams")
+    held = materialise(packed_sets(among(docs, named, "doc_id"), n), "grams")
+    # Of repeated ids the smallest class is meant, whichever row that is: keep every set, each once.
+    repeated = materialise(
+        rows.select("doc_id").join(named, "doc_id", "left_semi").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated"
+    )
+    return without(held, repeated, "doc_id").unionByName(among(held, repeated, "doc_id").distinct())
 
 
 def allowed_pairs(rows: DataFrame, similarity: int) -> DataFrame:
@@ -349,7 +392,7 @@ def similar_groups(
     )
     possible = apart * (100 + similarity) <= (F.col("n_a") + F.col("n_b")) * (100 - similarity)
     star = materialise(star.join(left, "a").join(right, "b").where(possible).select("a", "b"), "pairs")
-    links = materialise(verified(star, named_sets(narrow, star, n), similarity), "links")
+    links = materialise(verified(star, named_sets(narrow, rows, star, n), similarity), "links")
 
     # Pairs that share a signature and are not connected yet.
     labelled = groups.select("sign", "doc_id").join(
@@ -363,7 +406,7 @@ def similar_groups(
         .distinct().join(star, ["a", "b"], "left_anti"),
         "pairs",
     )
-    more = verified(rest, named_sets(narrow, rest, n), similarity)
+    more = verified(rest, named_sets(narrow, rows, rest, n), similarity)
     equals = members.where("doc_id <> class_id").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
     everything = components(links.unionByName(more).unionByName(equals))
     return (
@@ -404,4 +447,4 @@ def similar_pairs(
     shared = groups.groupBy("sign").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     met = groups.join(shared, "sign").join(leaders.select("doc_id", "n_shingles", "sketch"), "doc_id")
     pairs = materialise(allowed_pairs(met.withColumn("label", F.col("doc_id")), similarity).distinct(), "pairs")
-    return verified(pairs, named_sets(narrow, pairs, n), similarity).distinct(), members
+    return verified(pairs, named_sets(narrow, rows, pairs, n), similarity).distinct(), members
