@@ -443,3 +443,18 @@ def test_wide_sketches_never_tell_sets_further_apart_than_they_are():
         apart = len(np.setxor1d(left, right))
         told = partenum.least_apart(partenum.wide_sketch(left), partenum.wide_sketch(right))
         assert told <= apart and (size < 100 or told > apart * 0.7)
+
+
+def test_ascii_words_are_looked_up_by_letters_and_marks():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(WORDS)
+    words = packing.WordIds(Tokenizer.from_file(WORDS), "</w>")
+    plain = ["Word word, WORD!! (word", "a]b a-b x^ y\\ z] q- w_ [] -- ..", "don't end' 'tis", "Zwölf é. naïve, ß", "a1 1a 1, <unk> x</w>", "x" * 300 + "!", ""]
+    ids, stops = words.of(pa.array([*plain, None]))
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in plain] + [[]]
+    assert [list(x) for x in np.split(ids, stops[:-1])] == want
+    # One entry for all forms of an ASCII word, none for each form.
+    words = packing.WordIds(Tokenizer.from_file(WORDS), "</w>")
+    words.of(pa.array(["Word word, WORD!! word; word!!"]))
+    assert len(words._known) == 0 and len(words._cores) == 4

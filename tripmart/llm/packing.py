@@ -21,9 +21,11 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from unicodedata import is_normalized
 
 import numpy as np
@@ -44,6 +46,14 @@ PACKED = (
 )
 GROUP_ITEMS = 2048
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII without the apostrophe, which starts contractions
+_PLAIN = rf"^(?P<core>[A-Za-z]+)(?P<tail>[{re.escape(_MARKS)}]*)$"
+
+
+def _gathered(values: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The stretches of ``values`` (one after the other, of ``sizes``) that are ``chosen``, in that order."""
+    taken = sizes[chosen]
+    begin = (np.cumsum(sizes) - sizes)[chosen]
+    return values[np.repeat(begin - (np.cumsum(taken) - taken), taken) + np.arange(int(taken.sum()))]
 
 
 class WordIds:
@@ -53,7 +63,8 @@ class WordIds:
     end the last token of a piece with a suffix: a text's ids are those of its
     words in turn.  Words of letters, also with ASCII marks behind them, are
     encoded many at a time and told apart by the suffix; other words, such as those
-    that spell an added token, go by their offsets.  The stores of words have two
+    that spell an added token, go by their offsets.  ASCII words are cut into letters and
+    marks, which are looked up apart, for all words of a block at once.  The stores of words have two
     generations, so their memory is bounded and frequent words stay.
     """
 
@@ -62,7 +73,7 @@ class WordIds:
         vocabulary = tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        self._known, self._cores = Recent(most), Recent(most // 2)
+        self._known, self._cores = Recent(most // 2), Recent(most)
 
     def _short(self, word: str) -> bool:
         return len(word) <= self._longest
@@ -119,10 +130,26 @@ class WordIds:
         """Ids of all texts one after the other, and where each text ends."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = lists.flatten().dictionary_encode()
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        each = self._known.values(words, self._learn, self._short)
-        flat = np.frombuffer(b"".join(each), "<u4")
-        length = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        words = coded.dictionary
+        parts = pc.extract_regex(words, _PLAIN)
+        plain = parts.is_valid()
+        cores = pc.ascii_lower(parts.filter(plain).field(0)).dictionary_encode()
+        tails = parts.filter(plain).field(1).dictionary_encode()
+        found = self._cores.values(cores.dictionary.to_pylist(), self._letters, self._short)
+        marks = [t for t in tails.dictionary.to_pylist() if t]
+        mark_of = dict(zip(marks, self._cores.values(marks, self._by_offset, self._short))) | {"": b""}
+        kinds = [found, [mark_of[t] for t in tails.dictionary.to_pylist()]]
+        kinds.append(self._known.values(words.filter(pc.invert(plain)).to_pylist(), self._learn, self._short) + [b""])
+        pool = np.frombuffer(b"".join(chain.from_iterable(kinds)), "<u4")
+        sizes = np.fromiter(map(len, chain.from_iterable(kinds)), np.int64) // 4
+        # Of each distinct word the places in the pool of its letters and marks, or of the whole word and of nothing.
+        plain = plain.to_numpy(zero_copy_only=False)
+        held = np.full((len(words), 2), len(sizes) - 1)
+        held[plain, 0] = cores.indices.to_numpy()
+        held[plain, 1] = tails.indices.to_numpy() + len(kinds[0])
+        held[~plain, 0] = np.arange(len(kinds[2]) - 1) + len(kinds[0]) + len(kinds[1])
+        flat = _gathered(pool, sizes, held.ravel())
+        length = sizes[held].sum(axis=1)
         place = coded.indices.to_numpy()
         taken = length[place]
         stops = np.cumsum(taken)
