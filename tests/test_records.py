@@ -1,19 +1,21 @@
 """Schema records, rescued values, listings and months that wait."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from helpers import plan_of, raw_trips
+from helpers import plan_of, raw_trips, same_rows
 from tripmart.config import Months
 from tripmart.operators import silver
+from tripmart.sources import sample
 from tripmart.sources.contract import RESCUED, align
 from tripmart.sources.lake import (
     RUN_KEYS, Lake, newest_run, overwrite_partitions, overwrite_run, read_table, stored_partitions, stored_schema,
 )
-from tripmart.sources.records import read_record, write_record
+from tripmart.sources.records import read_record, stored_bytes, write_record
 from tripmart.sources.schema import merged_schema
 from tripmart.streaming.months import deferred_months, follow_landing
 
@@ -44,6 +46,41 @@ def test_records_are_replaced(spark, tmp_path):
     assert [p.name for p in (tmp_path / "a").iterdir() if not p.name.endswith(".crc")] == ["_r.json"]
 
 
+def test_sizes_are_those_of_the_files(spark, tmp_path):
+    assert stored_bytes(spark, f"{tmp_path}/none") == 0
+    for name in ("a", "b"):
+        (tmp_path / "t" / name).mkdir(parents=True)
+        (tmp_path / "t" / name / "f").write_bytes(b"12345")
+    assert stored_bytes(spark, f"{tmp_path}/t") == 10
+    assert stored_bytes(spark, f"{tmp_path}/t/*/f") == 10
+    assert stored_bytes(spark, f"{tmp_path}/t/b/f") == 5
+
+
+def test_tasks_of_the_join_of_trips_grow_with_the_files(spark, tmp_path, monkeypatch):
+    # Orders 0 and 50 to 59 have no lines, lines without a key or with one that no order has give no trips, order 7 is there twice.
+    spark.range(60).union(spark.createDataFrame([(7,)], "id bigint")).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 9).alias("o_custkey"), F.lit("1998-03-05").cast("timestamp_ntz").alias("o_orderdate")
+    ).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    key = F.when(F.col("id") % 10 == 9, None).when(F.col("id") % 10 == 8, F.col("id") + 1000).otherwise(1 + F.col("id") % 49)
+    spark.range(1000).select(
+        key.alias("l_orderkey"), F.col("id").alias("l_partkey"), (F.col("id") % 7).alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        F.lit(4.0).alias("l_quantity"), F.col("id").cast("double").alias("l_extendedprice"), F.lit(0.05).alias("l_discount"),
+        F.lit(0.02).alias("l_tax"), F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+    ).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plainly = sample.trips(spark, str(tmp_path))
+    assert "REPARTITION_BY_NUM" not in plan_of(plainly)
+    size = sum(stored_bytes(spark, f"{tmp_path}/{t}.parquet") for t in ("lineitem", "orders"))
+    monkeypatch.setattr(sample, "JOINED_BYTES", -(-size // (5 * tasks)))
+    assert jobs(spark, lambda: sample.trips(spark, str(tmp_path))) == 0
+    for narrowed in ({}, {"months": Months.of(1998, 3)}, {"since": "1998-03-01"}):
+        many = sample.trips(spark, str(tmp_path), **narrowed)
+        exchanges = re.findall(r"Arguments: hashpartitioning\(\w+#\w+, (\d+)\), (\w+)", plan_of(many))
+        assert len(exchanges) == 2 and len(set(exchanges)) == 1 and exchanges[0][1] == "REPARTITION_BY_NUM"
+        assert 4 * tasks < int(exchanges[0][0]) <= 5 * tasks
+        assert many.count() > 0 and same_rows(plainly, many)
+
+
 def test_merged_schema_grows_and_widens():
     old = StructType([StructField("a", IntegerType()), StructField("B", StringType(), False), StructField("year", LongType())])
     new = StructType([StructField("b", StringType()), StructField("A", LongType()), StructField("c", DoubleType()), StructField("month", StringType())])

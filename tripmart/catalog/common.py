@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tripmart.config import MONEY_COLUMNS, Months
 from tripmart.operators import gold as mart
 from tripmart.operators import silver as cleaning
-from tripmart.session import scratch_path
+from tripmart.session import scratch_path, small_scans
 from tripmart.sources.lake import Lake, overwrite_partitions
 from tripmart.sources.sample import trips, trips_sql
 
@@ -66,7 +66,8 @@ def land(table: DataFrame, root: str, mode: str = "append") -> None:
     numbered = table.withColumn("trips", F.year(pickup) * 12 + F.month(pickup))
     rows = numbered.hint("rebalance", F.col("trips")).withColumn("trips", month_file(pickup))
     writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("trips")
-    writer.parquet(root)
+    with small_scans(table.sparkSession):
+        writer.parquet(root)
 
 
 def plain(df: DataFrame) -> DataFrame:

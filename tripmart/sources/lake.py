@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import logging
 from collections.abc import Sequence
-from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -226,7 +225,8 @@ def overwrite_partitions(
     is right when the input is laid out by month already; each task sorts what it
     read by partition, so it reads a bounded number of bytes (``small_scans``).  ``rebalance=True``
     is for scattered input: it shuffles by partition key to sized partitions,
-    and a month of any size is split over as many tasks as it needs.
+    and a month of any size is split over as many tasks as it needs.  A shuffle to more than 200
+    tasks sorts what each task read too, so its scans are bounded alike.
 
     A partition of ``rebuilt`` that got no row still holds its old files after
     the write; it is replaced by an empty one, so readers see its old rows for a
@@ -240,7 +240,7 @@ def overwrite_partitions(
     before = stored_files(spark, path, keys, pairs) if pairs else {}
     rows = df.hint("rebalance", *[F.col(k) for k in keys]) if rebalance else df
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    with nullcontext() if rebalance else small_scans(spark):
+    with small_scans(spark):
         writer.option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).parquet(path)
     if schema != stored_schema(spark, path):
         write_record(spark, f"{path.rstrip('/')}/{SCHEMA_RECORD}", schema.json())

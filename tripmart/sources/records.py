@@ -1,4 +1,4 @@
-"""Small text records in any file system Spark can reach, read and written without a Spark job."""
+"""Small text records, and sizes, in any file system Spark can reach, read and written without a Spark job."""
 
 from __future__ import annotations
 
@@ -13,6 +13,12 @@ def _located(spark: SparkSession, path: str):
     return jvm, place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files at or below a path, which may be a pattern as in a reader; 0 if there are none."""
+    _, place, files = _located(spark, path)
+    return sum(files.getContentSummary(found.getPath()).getLength() for found in files.globStatus(place) or ())
+
+
 def read_record(spark: SparkSession, path: str) -> str | None:
     """Text of the record, None if it is not there."""
     jvm, place, files = _located(spark, path)
