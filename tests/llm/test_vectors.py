@@ -1,5 +1,8 @@
 """Near-duplicate vectors and nearest neighbours against brute force, and their defined cases."""
 
+import tracemalloc
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +82,58 @@ def test_audit_sees_small_groups_beside_a_large_one(monkeypatch):
     assert {(a, b) for a, b in zip(q.tolist(), r.tolist())} == {(a, b) for a, b in np.argwhere(linked).tolist()}
 
 
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_graph_is_built_in_bounded_memory():
+    """Entries of all vectors of a shard were searched at once, which held neighbours and marks for each of them."""
+    points = hnsw.unit(np.random.default_rng(4).standard_normal((6000, 128))).astype(np.float32)
+    graph, peak = peak_mb(lambda: hnsw.Graph.build(points))
+    assert peak < 100
+    assert [len(x.links) for x in graph.layers] == [41, 500, 6000]
+
+
+def test_links_of_a_large_group_are_not_held():
+    """All pairs of a group of equal vectors would be 2,000 x 2,000; their numbers and one tree are kept."""
+    ids = np.arange(2000)[::-1].copy()
+    x = np.full((2000, 4), 0.5)
+    graph, trees = hnsw.Graph.build(x.astype(np.float32)), hnsw.Trees(ids)
+    joined = hnsw.Joined(trees, np.arange(2000))
+    q, r = hnsw.audited(graph, x, x, 0.95, 24, 0.99, 64, np.arange(2000), joined)
+    assert len(q) == len(r) == 0 and (joined.counted == 1999).all()
+    a, b = trees.forest()
+    assert sorted(a.tolist()) == list(range(1, 2000)) and not b.any()
+
+
+def test_rows_of_a_graph_and_its_queries_in_any_batches(spark, clustered):
+    """A shard's graph and several blocks reach a task in small batches; ids repeat and lengths differ."""
+    rows = clustered + [(i, [9.0] * 16) for i, _ in clustered[:30]] + [(5000 + i, v[:8]) for i, v in clustered[:50]]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = hnsw.near_duplicates(table(spark, rows), query_block=40, width=8, task_rows=200).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    first = {}
+    for i, v in rows:
+        first[i] = min(first.get(i, v), v)
+    links = []
+    for size in (8, 16):
+        own = [i for i, v in first.items() if len(v) == size]
+        x = np.array([first[i] for i in own])
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        links += [(own[a], own[b]) for a, b in np.argwhere(np.triu(x @ x.T >= 0.95, 1))]
+    group = groups_of(links, list(first))
+    degree = Counter(i for pair in links for i in pair)
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == {
+        i: (degree[i], group[i], group[i] == i) for i in first
+    }
+
+
 ODD = [
     (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]),
     (7, [1.0, None]), (8, []), (9, [1.0, 0.0, 0.0]), (2, [2.0, 0.0]), (None, [1.0, 0.0]), (10, [1e30, 1e-30]),
